@@ -123,14 +123,16 @@ def fit(
     best = _best_of_grid(rows, keys, coarse, period)
     if fine_steps is not None:
         around = rows.join(best.drop("sse"), keys)
-        fine = tuple(
-            F.transform(F.array(*map(F.lit, steps)),
-                        lambda step, name=name: F.least(F.greatest(F.col(name) + step, F.lit(0.0)), F.lit(1.0)))
-            for name, steps in zip(("alpha", "beta", "gamma"), fine_steps))
+        fine = tuple(_around(name, steps) for name, steps in zip(("alpha", "beta", "gamma"), fine_steps))
         best = _best_of_grid(around, keys, fine, period)
     return _models(rows.join(best.drop("sse"), keys, "left"), keys, series, period)
 
 
+def _around(name: str, steps: Sequence[float]) -> Column:
+    """The parameter moved by each step, kept within 0..1."""
+    return F.array(*[F.least(F.greatest(F.col(name) + step, F.lit(0.0)), F.lit(1.0)) for step in steps])
+
+
 def smooth(
     train: DataFrame, alpha: float, beta: float, gamma: float, series: Sequence[str] = (), period: int = PERIOD,
 ) -> DataFrame:

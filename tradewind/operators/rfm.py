@@ -169,7 +169,7 @@ def score_crosstab(rfm: DataFrame, rows: str, columns: str, bins: int = 5, prefi
     """Customers by two scores: a row per score 1..bins, a column per score, 0 where nobody is."""
     prefix = prefix or columns[0]
     scores = list(range(1, bins + 1))
-    counted = rfm.groupBy(rows).pivot(columns, scores).agg(F.count("*"))
+    counted = rfm.groupBy(rows).pivot(columns, scores).agg(F.count(F.lit(1)))
     axis = rfm.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias(rows))
     return (
         axis.join(counted, rows, "left").na.fill(0)

@@ -14,9 +14,10 @@ from tradewind.plans.tables import facts
 from tradewind.sources import stage
 
 
-def _sql_value_score(value: str, edges: str, descending: bool = False) -> str:
-    inner = f"len(list_filter({edges}[2:-2], edge -> edge < {value}))"
-    return f"CAST(len({edges}) - 1 - {inner} AS INTEGER)" if descending else f"CAST(1 + {inner} AS INTEGER)"
+def _sql_value_score(value: str, edges: str, bins: int, descending: bool = False) -> str:
+    above = " + ".join(f"CASE WHEN {i} < len({edges}) AND {value} > {edges}[{i}] THEN 1 ELSE 0 END"
+                       for i in range(2, bins + 1))
+    return f"CAST(len({edges}) - 1 - ({above}) AS INTEGER)" if descending else f"CAST(1 + {above} AS INTEGER)"
 
 
 def _sql_rank_score(order_by: str, bins: int) -> str:
@@ -49,9 +50,9 @@ define("d_rfm_v1", f"""
     SELECT *, concat(R_Score, F_Score, M_Score) AS RFM_Segment,
            {_sql_segment(rfm.SEGMENTS_V1, 'R_Score', 'F_Score', 'M_Score')} AS Customer_Segment
     FROM (SELECT customer_unique_id, recency, frequency, monetary,
-                 {_sql_value_score('recency', 'r_edges', descending=True)} AS R_Score,
-                 {_sql_value_score('frequency', 'f_edges')} AS F_Score,
-                 {_sql_value_score('monetary', 'm_edges')} AS M_Score
+                 {_sql_value_score('recency', 'r_edges', 5, descending=True)} AS R_Score,
+                 {_sql_value_score('frequency', 'f_edges', 5)} AS F_Score,
+                 {_sql_value_score('monetary', 'm_edges', 5)} AS M_Score
           FROM d_customers_paid,
                (SELECT {_sql_edges('recency', 5)} AS r_edges, {_sql_edges('frequency', 5, True)} AS f_edges,
                        {_sql_edges('monetary', 5, True)} AS m_edges FROM d_customers_paid))""")
@@ -59,16 +60,16 @@ define("d_rfm_v2", f"""
     SELECT *, concat(R_score, F_score, M_score) AS RFM_score,
            {_sql_segment(rfm.SEGMENTS_V2, 'R_score', 'F_score', 'M_score')} AS RFM_segment
     FROM (SELECT customer_unique_id, last_purchase_date, frequency, monetary AS monetary_value, recency,
-                 {_sql_value_score('recency', 'r_edges', descending=True)} AS R_score,
+                 {_sql_value_score('recency', 'r_edges', 5, descending=True)} AS R_score,
                  {_sql_rank_score('frequency, customer_unique_id', 5)} AS F_score,
                  {_sql_rank_score('monetary, customer_unique_id', 5)} AS M_score
           FROM d_customers_paid, (SELECT {_sql_edges('recency', 5)} AS r_edges FROM d_customers_paid))""")
 define("d_rfm_v3", f"""
     SELECT *, concat(r_score, f_score, m_score) AS rfm_segment
     FROM (SELECT customer_unique_id AS customer_id, recency, frequency, monetary,
-                 {_sql_value_score('recency', 'r_edges', descending=True)} AS r_score,
+                 {_sql_value_score('recency', 'r_edges', 4, descending=True)} AS r_score,
                  {_sql_rank_score('frequency, customer_unique_id', 4)} AS f_score,
-                 {_sql_value_score('monetary', 'm_edges')} AS m_score
+                 {_sql_value_score('monetary', 'm_edges', 4)} AS m_score
           FROM d_customers_bought,
                (SELECT {_sql_edges('recency', 4)} AS r_edges, {_sql_edges('monetary', 4)} AS m_edges
                 FROM d_customers_bought))""")
@@ -95,8 +96,8 @@ def recency_days(spark, sf_dir):
 
 
 @query(f"""SELECT c_custkey,
-                  {_sql_value_score('c_acctbal', 'edges')} AS balance_score,
-                  {_sql_value_score('c_acctbal', 'edges', descending=True)} AS reverse_score
+                  {_sql_value_score('c_acctbal', 'edges', 5)} AS balance_score,
+                  {_sql_value_score('c_acctbal', 'edges', 5, descending=True)} AS reverse_score
            FROM customer, (SELECT {_sql_edges('c_acctbal', 5)} AS edges FROM customer)""")
 def rfm_value_scores(spark, sf_dir):
     customers = stage(spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_acctbal"), "customers")

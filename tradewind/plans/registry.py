@@ -40,6 +40,7 @@ def define(name: str, body: str) -> None:
 
 def with_ctes(body: str) -> str:
     """Prefix `body` with the relations it uses, directly or not."""
+    body = body.strip()
     used: set[str] = set()
     todo = [body]
     while todo:
