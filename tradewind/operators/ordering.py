@@ -12,6 +12,7 @@ an executor is lost in between.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tradewind.sources.staging import stage
 
-SMALL_ROWS = 1_000_000
+SMALL_ROWS = 200_000
 
 # monotonically_increasing_id() is the partition number shifted by 33 bits plus the
 # position of the row in its partition.
@@ -43,7 +44,9 @@ def with_row_number(
         .withColumn("_place", F.monotonically_increasing_id())
     )
     placed = stage(placed, "ranged").withColumn("_range", F.shiftright("_place", _POSITION_BITS))
-    before = _rows_before(placed.groupBy("_range").agg(F.count("*").alias("_rows")))
+    lower = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = placed.groupBy("_range").agg(F.count("*").alias("_rows")).select(
+        "_range", F.coalesce(F.sum("_rows").over(lower), F.lit(0)).alias("_before"))
     position = F.col("_place") - F.shiftleft("_range", _POSITION_BITS)
     return (
         placed.join(F.broadcast(before), "_range")  # one row per shuffle partition
@@ -52,12 +55,6 @@ def with_row_number(
     )
 
 
-def _rows_before(sizes: DataFrame, *keys: str) -> DataFrame:
-    """Running total of the rows in lower ranges; one input row per range (and key)."""
-    lower = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select(*keys, "_range", F.coalesce(F.sum("_rows").over(lower), F.lit(0)).alias("_before"))
-
-
 def exact_quantiles(
     df: DataFrame, probabilities: Mapping[str, Sequence[float]], small_rows: int = SMALL_ROWS,
 ) -> dict[str, list[float | None]]:
@@ -94,45 +91,58 @@ def _quantiles_of_ranges(
         .withColumn("_range", F.spark_partition_id())
     )
     counted = stage(counted, "counted")
-    sizes = counted.groupBy("_column", "_range").agg(F.sum("_rows").alias("_rows"))
-    totals = {row["_column"]: row["_rows"] for row in
-              sizes.groupBy("_column").agg(F.sum("_rows").alias("_rows")).collect()}
-
-    wanted: dict[int, set[int]] = {}
-    for i, column in enumerate(columns):
-        for p in probabilities[column] if i in totals else ():
-            at = p * (totals[i] - 1)
-            wanted.setdefault(i, set()).update((int(at // 1), int(-(-at // 1))))
+    # One number per shuffle partition (and column) comes to the driver.
+    sizes: dict[int, list[tuple[int, int]]] = {}
+    for column, part, rows in sorted(map(tuple, counted.groupBy("_column", "_range").agg(F.sum("_rows")).collect())):
+        sizes.setdefault(column, []).append((part, rows))
+    totals = {i: sum(rows for _, rows in parts) for i, parts in sizes.items()}
+
+    # (column, position) of every order statistic the quantiles lie between, and the
+    # range it falls into with the number of rows before that range.
+    wanted = {
+        (i, at) for i, column in enumerate(columns) if i in totals
+        for p in probabilities[column] for at in _neighbours(p * (totals[i] - 1))
+    }
     if not wanted:
         return {column: [None] * len(probabilities[column]) for column in columns}
-
-    # Only ranges with a wanted position are read again, and each is sorted by itself.
-    before = _rows_before(sizes, "_column").join(sizes, ["_column", "_range"])
-    hit = reduce(lambda a, b: a | b, [
-        (F.col("_column") == i) & (F.col("_before") <= at) & (at < F.col("_before") + F.col("_rows"))
-        for i, places in wanted.items() for at in places
-    ])
-    ranges = before.where(hit).select("_column", "_range", "_before")
+    ranges: dict[tuple[int, int], int] = {}
+    for i, at in wanted:
+        before = 0
+        for part, rows in sizes[i]:
+            if at < before + rows:
+                ranges[i, part] = before
+                break
+            before += rows
+
+    # Only these ranges are read again, and each is sorted by itself.
+    def in_range(i: int, part: int) -> Column:
+        return (F.col("_column") == i) & (F.col("_range") == part)
+
+    offset = reduce(lambda chain, item: chain.when(in_range(*item[0]), item[1]), ranges.items(), F)
     running = Window.partitionBy("_column", "_range").orderBy("_value")
-    # At most one range per wanted position.
-    placed = counted.join(F.broadcast(ranges), ["_column", "_range"]).withColumn(
-        "_last", F.col("_before") + F.sum("_rows").over(running) - 1)
+    placed = (
+        counted.where(reduce(lambda a, b: a | b, [in_range(*key) for key in ranges]))
+        .withColumn("_last", offset.cast("bigint") + F.sum("_rows").over(running) - 1)
+        .withColumn("_first", F.col("_last") - F.col("_rows") + 1)
+    )
     found = placed.where(reduce(lambda a, b: a | b, [
-        (F.col("_column") == i) & (F.col("_last") - F.col("_rows") < at) & (at <= F.col("_last"))
-        for i, places in wanted.items() for at in places
-    ])).select("_column", "_value", (F.col("_last") - F.col("_rows") + 1).alias("_first"), "_last").collect()
+        (F.col("_column") == i) & F.lit(at).between(F.col("_first"), F.col("_last")) for i, at in wanted
+    ])).select("_column", "_first", "_last", "_value").collect()
 
     def value_at(i: int, at: int) -> float:
-        return next(r["_value"] for r in found if r["_column"] == i and r["_first"] <= at <= r["_last"])
+        return next(value for column, first, last, value in found if column == i and first <= at <= last)
 
     def quantile(i: int, p: float) -> float:
         at = p * (totals[i] - 1)
-        low, high = int(at // 1), int(-(-at // 1))
-        if low == high or value_at(i, low) == value_at(i, high):
-            return value_at(i, low)
-        return (high - at) * value_at(i, low) + (at - low) * value_at(i, high)
+        (low, high) = _neighbours(at)
+        below, above = value_at(i, low), value_at(i, high)
+        return below if below == above else (high - at) * below + (at - low) * above
 
     return {
         column: [quantile(i, p) if i in totals else None for p in probabilities[column]]
         for i, column in enumerate(columns)
     }
+
+
+def _neighbours(at: float) -> tuple[int, int]:
+    return math.floor(at), math.ceil(at)
