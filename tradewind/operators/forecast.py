@@ -1,9 +1,9 @@
 """Additive Holt-Winters smoothing of many series side by side.
 
-A smoothing is sequential in time but independent between series and between
-parameter values. A series is one row with its days in an array (bounded by the
-calendar), the recursion is a fold over that array, and the parameter grid is spread
-over tasks. With level l, trend b and the seasonal value s of one period ago:
+A smoothing is sequential in time but independent between series. A series is one row
+with its days in an array (bounded by the calendar, not by the sales behind it), and
+the recursion is a fold over that array. With level l, trend b and the seasonal value s
+of one period ago:
 
     l' = alpha (y - s) + (1 - alpha) (l + b)
     b' = beta (l' - l) + (1 - beta) b
@@ -17,7 +17,10 @@ around its winner.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import product
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +32,6 @@ GAMMAS = (0.0, 0.05, 0.1, 0.2, 0.4, 0.6)
 FINE_STEPS = ((-0.04, -0.02, 0.0, 0.02, 0.04), (-0.01, -0.005, 0.0, 0.005, 0.01),
               (-0.04, -0.02, 0.0, 0.02, 0.04))
 PERIOD = 7
-# Parts a grid is cut into, each a task of its own.
-GRID_PARTS = 16
 
 _START = ("_level", "_trend", "_season")
 
@@ -80,32 +81,53 @@ def _smooth(period: int, alpha: Column, beta: Column, gamma: Column, keep_fits:
     return F.aggregate("_values", start, step)
 
 
-def _best_of_grid(rows: DataFrame, keys: Sequence[str], grid: tuple[Column, Column, Column],
-                  period: int) -> DataFrame:
-    """The parameters with the least squared error per series; ties take the lowest parameters.
+def _squared_errors(values: np.ndarray, level: float, trend: float, season: np.ndarray,
+                    alpha: np.ndarray, beta: np.ndarray, gamma: np.ndarray) -> np.ndarray:
+    """The squared error of one series for many parameter sets at once."""
+    period = len(season)
+    seasons = np.repeat(season[:, None], len(alpha), axis=1)
+    errors = np.zeros(len(alpha))
+    for day, y in enumerate(values):
+        past = seasons[day % period]
+        expected = level + trend
+        error = y - (expected + past)
+        errors = errors + error * error
+        new = alpha * (y - past) + (1 - alpha) * expected
+        trend = beta * (new - level) + (1 - beta) * trend
+        seasons[day % period] = gamma * (y - expected) + (1 - gamma) * past
+        level = new
+    return errors
+
+
+def _best_parameters(coarse: Sequence[Sequence[float]], fine: Sequence[Sequence[float]] | None):
+    """A column function from the values and starting states of a series to its best parameters.
 
-    `grid` holds three arrays. A series is copied once per part of the grid, not once
-    per grid point; explicit repartitioning keeps the parts in tasks of their own, which
-    the small size of the rows would not.
+    The recursion cannot be vectorised over time, and folding an array once per parameter
+    set costs some microseconds per day and set in interpreted expressions. Arrow batches
+    of series with NumPy running all sets of the grid side by side cost a hundredth of that.
     """
-    alphas, betas, gammas = grid
-    betas_size, gammas_size = F.size(betas), F.size(gammas)
-    points = F.size(alphas) * betas_size * gammas_size
-
-    def evaluate(point: Column) -> Column:
-        alpha = F.get(alphas, F.floor(point / (betas_size * gammas_size)).cast("int"))
-        beta = F.get(betas, (F.floor(point / gammas_size) % betas_size).cast("int"))
-        gamma = F.get(gammas, (point % gammas_size).cast("int"))
-        return F.struct(_smooth(period, alpha, beta, gamma)["sse"].alias("sse"), alpha.alias("alpha"),
-                        beta.alias("beta"), gamma.alias("gamma"))
-
-    parts = rows.where("reason IS NULL").withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), F.lit(GRID_PARTS - 1)))).repartition(GRID_PARTS)
-    mine = F.transform(F.sequence(F.col("_part"), points - 1, F.lit(GRID_PARTS)), evaluate)
-    return (
-        parts.where(F.col("_part") < points).select(*keys, F.array_min(mine).alias("_best"))
-        .groupBy(*keys).agg(F.min("_best").alias("_best")).select(*keys, "_best.*")
-    )
+    def search(start: tuple, candidates: Sequence[Sequence[float]]) -> tuple[float, float, float]:
+        # Sorted, without repetitions: argmin takes the lowest of equal sets.
+        points = np.array(sorted(set(product(*candidates))))
+        errors = _squared_errors(*start, *points.T)
+        errors[np.isnan(errors)] = np.inf
+        return tuple(points[np.argmin(errors)])
+
+    @F.pandas_udf("alpha DOUBLE, beta DOUBLE, gamma DOUBLE")
+    def best(values: pd.Series, level: pd.Series, trend: pd.Series, season: pd.Series) -> pd.DataFrame:
+        found = []
+        for start in zip(values, level, trend, season):
+            if start[3] is None:
+                found.append((None, None, None))
+                continue
+            chosen = search(start, coarse)
+            if fine is not None:
+                chosen = search(start, [[min(max(center + step, 0.0), 1.0) for step in steps]
+                                        for center, steps in zip(chosen, fine)])
+            found.append(chosen)
+        return pd.DataFrame(found, columns=["alpha", "beta", "gamma"], dtype="float64")
+
+    return best
 
 
 def fit(
@@ -117,39 +139,21 @@ def fit(
 
     A series too short to fit has NULL parameters and a `reason`.
     """
-    train, keys = _keyed(train, series)
-    rows = _series_rows(train, period, keys)
-    coarse = tuple(F.array(*map(F.lit, values)) for values in (alphas, betas, gammas))
-    best = _best_of_grid(rows, keys, coarse, period)
-    if fine_steps is not None:
-        around = rows.join(best.drop("sse"), keys)
-        fine = tuple(_around(name, steps) for name, steps in zip(("alpha", "beta", "gamma"), fine_steps))
-        best = _best_of_grid(around, keys, fine, period)
-    return _models(rows.join(best.drop("sse"), keys, "left"), keys, series, period)
-
-
-def _around(name: str, steps: Sequence[float]) -> Column:
-    """The parameter moved by each step, kept within 0..1."""
-    return F.array(*[F.least(F.greatest(F.col(name) + step, F.lit(0.0)), F.lit(1.0)) for step in steps])
+    best = _best_parameters((alphas, betas, gammas), fine_steps)
+    rows = _series_rows(train, period, series).withColumn("_best", best("_values", *_START))
+    return _models(rows.select("*", "_best.*"), series, period)
 
 
 def smooth(
     train: DataFrame, alpha: float, beta: float, gamma: float, series: Sequence[str] = (), period: int = PERIOD,
 ) -> DataFrame:
     """Model rows with given parameters."""
-    train, keys = _keyed(train, series)
-    rows = _series_rows(train, period, keys).withColumns(
+    rows = _series_rows(train, period, series).withColumns(
         {"alpha": F.lit(alpha), "beta": F.lit(beta), "gamma": F.lit(gamma)})
-    return _models(rows, keys, series, period)
-
-
-def _keyed(train: DataFrame, series: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    if series:
-        return train, list(series)
-    return train.withColumn("_series", F.lit(0)), ["_series"]
+    return _models(rows, series, period)
 
 
-def _models(rows: DataFrame, keys: Sequence[str], series: Sequence[str], period: int) -> DataFrame:
+def _models(rows: DataFrame, series: Sequence[str], period: int) -> DataFrame:
     state = F.when(F.col("reason").isNull(), _smooth(period, F.col("alpha"), F.col("beta"), F.col("gamma")))
     return rows.withColumn("_state", state).select(
         *series, "alpha", "beta", "gamma", "_state.level", "_state.trend", "_state.season", "_state.sse",
@@ -157,12 +161,9 @@ def _models(rows: DataFrame, keys: Sequence[str], series: Sequence[str], period:
 
 
 def fitted(train: DataFrame, models: DataFrame, series: Sequence[str] = (), period: int = PERIOD) -> DataFrame:
-    """The one-step fits of the training days."""
-    keyed, keys = _keyed(train, series)
-    if not series:
-        models = models.withColumn("_series", F.lit(0))
-    rows = _series_rows(keyed, period, keys).drop("reason").join(
-        models.where("reason IS NULL").select(*keys, "alpha", "beta", "gamma"), keys)
+    """The one-step fits of the training days the models were fitted to."""
+    fittable = models.where("reason IS NULL").select(*series, "last_date", "alpha", "beta", "gamma")
+    rows = _series_rows(train, period, series).drop("reason").join(fittable, [*series, "last_date"])
     fits = _smooth(period, F.col("alpha"), F.col("beta"), F.col("gamma"), keep_fits=True)["fits"]
     return (
         rows.select(*series, "last_date", "n_train", F.posexplode(fits).alias("_at", "fitted"))

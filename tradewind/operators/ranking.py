@@ -30,11 +30,18 @@ def bottom(df: DataFrame, by: str, key: str | Sequence[str], k: int) -> DataFram
 def best_and_worst(df: DataFrame, by: str, key: str) -> DataFrame:
     """The row with the highest and the one with the lowest `by`, marked by `kind`.
 
-    Among equal values the first key wins both times.
+    Among equal values the first key wins both times. One aggregation finds both, so `df`
+    is computed once.
     """
-    best = df.orderBy(F.desc(by), key).limit(1).withColumn("kind", F.lit("best"))
-    worst = df.orderBy(F.asc(by), key).limit(1).withColumn("kind", F.lit("worst"))
-    return best.unionByName(worst)
+    row = F.struct(*df.columns).alias("row")
+    found = df.where(F.col(by).isNotNull()).agg(
+        F.min(F.struct(-F.col(by), F.col(key), row)).alias("best"),
+        F.min(F.struct(F.col(by), F.col(key), row)).alias("worst"))
+    kinds = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(kind)["row"].alias("row")) for kind in ("best", "worst")])
+    return (
+        found.where("best IS NOT NULL").select(F.explode(kinds).alias("_found"))
+        .select("_found.row.*", "_found.kind")
+    )
 
 
 def best_per_group(df: DataFrame, group: str, by: str, key: str | Sequence[str]) -> DataFrame:
@@ -55,7 +62,8 @@ def value_counts(df: DataFrame, column: str, count: str = "count") -> DataFrame:
 def with_share(df: DataFrame, value: str, share: str = "share_percent") -> DataFrame:
     """Each row's percentage of the total over the rows of `df`.
 
-    The total is an aggregate of its own, so the rows are not gathered in one task.
+    `df` is a finished ranking of a few rows: they meet in one task, which saves computing
+    the ranking a second time for its total.
     """
-    total = df.agg(F.sum(F.col(value).cast("decimal(38,6)")).cast("double")).scalar()
+    total = F.sum(F.col(value).cast("decimal(38,6)")).over(Window.partitionBy()).cast("double")
     return df.withColumn(share, F.try_divide(F.col(value) * 100.0, total))

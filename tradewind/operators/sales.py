@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions import exact_mean, exact_sum, month_start, percent
 from tradewind.operators.ranking import best_per_group, top, with_share
+from tradewind.sources.staging import stage
 
 MOMENT = "order_purchase_timestamp"
 PAID = "payment_value"
@@ -94,9 +96,9 @@ def category_month_sales(df: DataFrame) -> DataFrame:
 def product_peak_month(df: DataFrame, k: int = 10) -> DataFrame:
     """The best month of the year of each of the k products with the highest revenue.
 
-    One aggregation by product and month serves both the ranking and the peak.
+    One staged aggregation by product and month serves both the ranking and the peak.
     """
-    monthly = sales_by(df, ["product_id", "order_purchase_month"], total="monthly_revenue")
+    monthly = stage(sales_by(df, ["product_id", "order_purchase_month"], total="monthly_revenue"), "product_months")
     leaders = top(sales_by(monthly, "product_id", "monthly_revenue"), "total_revenue", "product_id", k)
     detail = monthly.join(F.broadcast(leaders.select("product_id")), "product_id")  # k rows
     return best_per_group(detail, "product_id", "monthly_revenue", "order_purchase_month")
@@ -104,7 +106,7 @@ def product_peak_month(df: DataFrame, k: int = 10) -> DataFrame:
 
 def top_category_months(df: DataFrame, k: int = 5) -> DataFrame:
     """Revenue by month of the year for the k categories with the highest revenue."""
-    monthly = category_month_sales(df)
+    monthly = stage(category_month_sales(df), "category_months")
     leaders = top(sales_by(monthly, CATEGORY, "monthly_revenue"), "total_revenue", CATEGORY, k)
     return monthly.join(F.broadcast(leaders.select(CATEGORY)), CATEGORY, "left_semi")  # k rows
 
@@ -126,16 +128,17 @@ def category_growth(df: DataFrame) -> DataFrame:
     """Revenue of the last month minus that of the first, per category.
 
     First and last are those of the whole table; a category without sales in one of
-    them counts as 0 there.
+    them counts as 0 there. The months are staged, a row per month and category, so the
+    facts are read once for the edges and the sums.
     """
-    monthly = sales_by(with_month(df), ["month", CATEGORY])
-    first = monthly.agg(F.min("month")).scalar()
-    last = monthly.agg(F.max("month")).scalar()
+    monthly = stage(sales_by(with_month(df), ["month", CATEGORY]), "category_months")
+    first, last = monthly.agg(F.min("month"), F.max("month")).first()
 
-    def revenue_in(month: Column) -> Column:
-        return exact_sum(F.when(F.col("month") == month, F.col("total_revenue")))
+    def revenue_in(month: date | None) -> Column:
+        return exact_sum(F.when(F.col("month") == F.lit(month).cast("date"), F.col("total_revenue")))
 
-    return monthly.groupBy(CATEGORY).agg((revenue_in(last) - revenue_in(first)).alias("growth"))
+    edges = monthly.groupBy(CATEGORY).agg(revenue_in(last).alias("_last"), revenue_in(first).alias("_first"))
+    return edges.select(CATEGORY, (F.col("_last") - F.col("_first")).alias("growth"))
 
 
 def state_sales(df: DataFrame, money: str = PAID, grain: str = "item") -> DataFrame:
@@ -168,13 +171,20 @@ def repeat_rate_by_state(df: DataFrame) -> DataFrame:
 
 
 def top_category_per_state(df: DataFrame, categories: Sequence[str] | None = None, k: int = 3) -> DataFrame:
-    """The best of the given categories per state; by default of the k best overall."""
-    per_state = sales_by(df, ["customer_state", CATEGORY], total="category_revenue")
+    """The best of the given categories per state; by default of the k best overall.
+
+    The k best are found in the sums by state and category, so the facts are read once.
+    """
+    sums = df.where(_present(CATEGORY)).groupBy("customer_state", CATEGORY).agg(
+        exact_sum(REVENUE).alias("category_revenue"))
+    per_state = sums.where(_present("customer_state"))
     if categories is not None:
         per_state = per_state.where(F.col(CATEGORY).isin(list(categories)))
     else:
-        leaders = top(sales_by(df, CATEGORY), "total_revenue", CATEGORY, k)
-        per_state = per_state.join(F.broadcast(leaders.select(CATEGORY)), CATEGORY, "left_semi")  # k rows
+        sums = stage(sums, "state_categories")
+        leaders = top(sales_by(sums, CATEGORY, "category_revenue"), "total_revenue", CATEGORY, k)
+        per_state = sums.where(_present("customer_state")).join(
+            F.broadcast(leaders.select(CATEGORY)), CATEGORY, "left_semi")  # k rows
     return best_per_group(per_state, "customer_state", "category_revenue", CATEGORY)
 
 
