@@ -79,7 +79,7 @@ def _counted(pairs: DataFrame) -> DataFrame:
 
 def _with_large_orders(normal: DataFrame, in_large: DataFrame, floor: int) -> DataFrame:
     """Add what the large orders contribute to pairs that can still reach the floor."""
-    reach = in_large.groupBy("product").agg(F.count("*").alias("reach"))
+    reach = stage(in_large.groupBy("product").agg(F.count("*").alias("reach")), "reach")
     bounded = (
         normal.join(reach.withColumnsRenamed({"product": "product_a", "reach": "_a"}), "product_a", "left")
         .join(reach.withColumnsRenamed({"product": "product_b", "reach": "_b"}), "product_b", "left")

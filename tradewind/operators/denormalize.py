@@ -2,10 +2,14 @@
 
 Every child table is rolled up to one row per key before it meets the items, so an
 item row is never multiplied. The attributes of an order (order, customer, payments,
-reviews) are put together at order grain first: the items are then shuffled once for
-the order key, and that single join is one adaptive execution can split when an order
-holds a large share of the items. No side is broadcast by hint; the planner
-broadcasts those whose measured size is below its threshold.
+reviews) are put together at order grain first, and the items are shuffled once for
+the order key. No side is broadcast by hint; the planner broadcasts those whose
+measured size is below its threshold.
+
+An order, product or seller may hold a large share of the items. Adaptive execution
+splits its partition, but only in a join whose two inputs both come straight from a
+shuffle, and only on the side whose rows a left join keeps. The joins here are built
+to be of that kind.
 """
 
 from __future__ import annotations
@@ -100,29 +104,27 @@ def with_category_name(products: DataFrame, translation: DataFrame) -> DataFrame
     return products.join(translation, "product_category_name", "left")
 
 
-def zip_centroids(geolocation: DataFrame, zip_code: str, latitude: str, longitude: str) -> DataFrame:
-    """Mean position per zip prefix, under the given column names."""
+def zip_centroids(geolocation: DataFrame) -> DataFrame:
+    """Mean position per zip prefix: zip_code, lat, lng."""
     prefix = F.col("geolocation_zip_code_prefix")
-    return (
-        geolocation.where(prefix.isNotNull()).groupBy(prefix.alias(zip_code))
-        .agg(exact_mean("geolocation_lat").alias(latitude), exact_mean("geolocation_lng").alias(longitude))
-    )
+    return geolocation.where(prefix.isNotNull()).groupBy(prefix.alias("zip_code")).agg(
+        exact_mean("geolocation_lat").alias("lat"), exact_mean("geolocation_lng").alias("lng"))
 
 
 def only_known_zips(geolocation: DataFrame, people: DataFrame, zip_code: str) -> DataFrame:
     """The geolocation rows whose prefix occurs among `people`."""
     known = people.select(F.col(zip_code).alias("geolocation_zip_code_prefix")).distinct()
-    return geolocation.join(known, "geolocation_zip_code_prefix", "left_semi")
+    return geolocation.join(stage(known, "zips"), "geolocation_zip_code_prefix", "left_semi")
 
 
-def with_position(people: DataFrame, geolocation: DataFrame, role: str) -> DataFrame:
+def with_position(people: DataFrame, centroids: DataFrame, role: str) -> DataFrame:
     """Add `<role>_lat` and `<role>_lng` by `<role>_zip_code_prefix`.
 
-    The positions are one row per prefix before the join, and the left join ignores
-    prefixes nobody lives in, so no semi-join is needed to reduce them first.
+    `centroids` has a row per prefix, and the left join ignores prefixes nobody lives in,
+    so no semi-join is needed to reduce them first.
     """
-    zip_code = f"{role}_zip_code_prefix"
-    return people.join(zip_centroids(geolocation, zip_code, f"{role}_lat", f"{role}_lng"), zip_code, "left")
+    names = {"zip_code": f"{role}_zip_code_prefix", "lat": f"{role}_lat", "lng": f"{role}_lng"}
+    return people.join(centroids.withColumnsRenamed(names), names["zip_code"], "left")
 
 
 PARTS = ("product", "order", "customer", "seller", "payment", "review")
@@ -134,10 +136,10 @@ def denormalize(tables: Mapping[str, DataFrame], parts: Sequence[str] = PARTS,
 
     Positions are added to customers and sellers where `tables` has a geolocation.
     """
-    geolocation = tables.get("geolocation")
+    centroids = stage(zip_centroids(tables["geolocation"]), "centroids") if "geolocation" in tables else None
 
     def located(role: str, people: DataFrame) -> DataFrame:
-        return people if geolocation is None else with_position(people, geolocation, role)
+        return people if centroids is None else with_position(people, centroids, role)
 
     # Full outer joins keep the payments and reviews of an order that is missing in
     # `orders`: its items get them all the same.
@@ -157,6 +159,10 @@ def denormalize(tables: Mapping[str, DataFrame], parts: Sequence[str] = PARTS,
         attributes = per_order[0]
         for other in per_order[1:]:
             attributes = attributes.join(other, "order_id", "full")
+        if len(per_order) == 1 and "order" not in parts:
+            # A roll-up is partitioned by its key and would be joined in the stage that
+            # aggregates it, where the items of a hot order cannot be split off.
+            attributes = stage(attributes, "rollup")
         wide = wide.join(attributes, "order_id", "left")
     if "product" in parts:
         wide = wide.join(with_category_name(tables["products"], tables["category_translation"]),
@@ -178,6 +184,17 @@ _REBUILT_NUMBERS = (
 )
 
 
+def _left_join_many(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
+    """`one.join(many, key, 'left')`, where a key may hold a large share of `many`.
+
+    A left join could not split such a key. The inner join of the keys both have can, and
+    the keys without any rows are added.
+    """
+    matched = one.join(many, key)
+    alone = one.join(many.select(key).distinct(), key, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
 def join_from_orders(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Orders with customers, items, products, sellers and the raw payments and reviews.
 
@@ -185,9 +202,9 @@ def join_from_orders(tables: Mapping[str, DataFrame]) -> DataFrame:
     combination of its items, payments and reviews.
     """
     products = with_category_name(tables["products"], tables["category_translation"])
+    orders = tables["orders"].join(tables["customers"], "customer_id", "left")
     return (
-        tables["orders"].join(tables["customers"], "customer_id", "left")
-        .join(tables["order_items"], "order_id", "left")
+        _left_join_many(orders, tables["order_items"], "order_id")
         .join(products, "product_id", "left")
         .join(tables["sellers"], "seller_id", "left")
         .join(tables["payments"], "order_id", "left")

@@ -118,7 +118,7 @@ def payments_rollup_join(spark, sf_dir):
 
 @query("SELECT zip AS zip_code, lat, lng FROM d_geo")
 def geo_mean(spark, sf_dir):
-    return denormalize.zip_centroids(role(spark, sf_dir, "geolocation"), "zip_code", "lat", "lng")
+    return denormalize.zip_centroids(role(spark, sf_dir, "geolocation"))
 
 
 @query("""SELECT geolocation_zip_code_prefix, geolocation_lat, geolocation_lng FROM r_geolocation
@@ -131,8 +131,8 @@ def geo_semi(spark, sf_dir):
 @query("""SELECT c.*, lat AS customer_lat, lng AS customer_lng
           FROM r_customers c LEFT JOIN d_geo ON customer_zip_code_prefix = zip""")
 def geo_enrich(spark, sf_dir):
-    return denormalize.with_position(
-        role(spark, sf_dir, "customers"), role(spark, sf_dir, "geolocation"), "customer")
+    centroids = stage(denormalize.zip_centroids(role(spark, sf_dir, "geolocation")), "centroids")
+    return denormalize.with_position(role(spark, sf_dir, "customers"), centroids, "customer")
 
 
 @query("SELECT * FROM d_wide")
