@@ -64,7 +64,7 @@ def test_whole_way_from_files(spark, sf_dir, tmp_path):
     paths = {}
     for name in RAW_SCHEMAS:
         if name == "reviews":
-            df = role(spark, sf_dir, "reviews_by_status")
+            df = role(spark, sf_dir, "reviews_by_order")
         elif name == "payments":
             df = role(spark, sf_dir, "payments_by_type")
         else:

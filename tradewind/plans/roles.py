@@ -81,8 +81,8 @@ ROLES: dict[str, tuple[str, list[str]]] = {
         "s_acctbal AS geolocation_lat",
         "s_acctbal / -4 AS geolocation_lng",
     ]),
-    # One payment per order and type, one review per order and line status: the raw
-    # children of the join that rolls nothing up.
+    # One payment per order and type, one review per order: the raw children of the join
+    # that rolls nothing up.
     "payments_by_type": ("lineitem GROUP BY l_orderkey, l_returnflag", [
         "l_orderkey AS order_id",
         "CAST(min(l_linenumber) AS INT) AS payment_sequential",
@@ -90,12 +90,12 @@ ROLES: dict[str, tuple[str, list[str]]] = {
         "CAST(max(l_quantity) AS INT) AS payment_installments",
         "max(l_extendedprice) AS payment_value",
     ]),
-    "reviews_by_status": ("lineitem GROUP BY l_orderkey, l_linestatus", [
+    "reviews_by_order": ("lineitem GROUP BY l_orderkey", [
         "l_orderkey AS order_id",
         "CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE CAST(1 + max(l_orderkey * 7 + l_linenumber) % 5 AS INT) END"
         " AS review_score",
-        "CASE WHEN l_linestatus = 'O' THEN NULL ELSE 'Title ' || l_linestatus END AS review_comment_title",
-        "CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE 'note ' || l_linestatus END AS review_comment_message",
+        "CASE WHEN max(l_linestatus) = 'O' THEN NULL ELSE 'Title ' || max(l_linestatus) END AS review_comment_title",
+        "CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE 'note ' || max(l_returnflag) END AS review_comment_message",
     ]),
     "visits": ("events", [
         "event_id", "user_id", "ts AS order_purchase_timestamp", "event_type", "value",

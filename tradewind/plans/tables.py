@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.operators import clean, denormalize, profile
+from tradewind.operators.timeseries import daily_sales
 from tradewind.plans.registry import define, dmean, query
 from tradewind.plans.roles import role, roles, table
 from tradewind.sources import stage, write_csv
@@ -45,8 +46,7 @@ def scan_csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, documents.schema, multi_line=True)
 
 
-@query(f"""
-    WITH joined AS (
+define("d_joined", """
         SELECT o.*, c.* EXCLUDE (customer_id), i.* EXCLUDE (order_id), p.* EXCLUDE (product_id),
                t.product_category_name_english, s.* EXCLUDE (seller_id), y.* EXCLUDE (order_id),
                v.* EXCLUDE (order_id)
@@ -56,11 +56,14 @@ def scan_csv_roundtrip(spark, sf_dir):
         LEFT JOIN r_products p ON i.product_id = p.product_id
         LEFT JOIN r_sellers s ON i.seller_id = s.seller_id
         LEFT JOIN r_payments_by_type y ON o.order_id = y.order_id
-        LEFT JOIN r_reviews_by_status v ON o.order_id = v.order_id
-        LEFT JOIN r_category_translation t ON p.product_category_name = t.product_category_name
-    ), medians AS (
+        LEFT JOIN r_reviews_by_order v ON o.order_id = v.order_id
+        LEFT JOIN r_category_translation t ON p.product_category_name = t.product_category_name""")
+
+
+@query(f"""
+    WITH medians AS (
         SELECT {', '.join(f'quantile_cont(CAST({c} AS DOUBLE), 0.5) AS {c}' for c in denormalize._REBUILT_NUMBERS)}
-        FROM joined
+        FROM d_joined
     )
     SELECT DISTINCT
         j.order_id, j.customer_id, order_purchase_timestamp, order_approved_at, order_delivered_carrier_date,
@@ -80,13 +83,28 @@ def scan_csv_roundtrip(spark, sf_dir):
         lower(trim(COALESCE(seller_state, 'nan'))) AS seller_state,
         lower(trim(COALESCE(payment_type, 'unknown'))) AS payment_type,
         lower(trim(COALESCE(order_status, 'unknown'))) AS order_status
-    FROM joined j, medians m""")
+    FROM d_joined j, medians m""")
 def fallback_wide(spark, sf_dir):
+    return denormalize.rebuild_wide(_raw_children(spark, sf_dir), fill="median")
+
+
+def _raw_children(spark, sf_dir):
     tables = roles(spark, sf_dir, "orders", "customers", "order_items", "products", "sellers",
-                   "category_translation", "payments_by_type", "reviews_by_status")
+                   "category_translation", "payments_by_type", "reviews_by_order")
     tables["payments"] = tables.pop("payments_by_type")
-    tables["reviews"] = tables.pop("reviews_by_status")
-    return denormalize.rebuild_wide(tables, fill="median")
+    tables["reviews"] = tables.pop("reviews_by_order")
+    return tables
+
+
+@query("""SELECT CAST(order_purchase_timestamp AS DATE) AS order_date,
+                 CAST(SUM(CAST(revenue AS DECIMAL(24,6))) AS DOUBLE) AS total_sales
+          FROM (SELECT DISTINCT * EXCLUDE (price, freight_value), COALESCE(price, 0) AS price,
+                       COALESCE(freight_value, 0) AS freight_value,
+                       COALESCE(price, 0) + COALESCE(freight_value, 0) AS revenue FROM d_joined)
+          WHERE order_purchase_timestamp IS NOT NULL GROUP BY 1""")
+def fallback_daily_sales(spark, sf_dir):
+    """The daily series of the table rebuilt with zeros for missing prices."""
+    return daily_sales(denormalize.rebuild_wide(_raw_children(spark, sf_dir), fill="zero"))
 
 
 # ---------------------------------------------------------------- joins and roll-ups

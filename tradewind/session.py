@@ -30,8 +30,20 @@ def build_session(app_name: str = "tradewind", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply SETTINGS to a session somebody else built (all are run-time settings)."""
+# Bytes a shuffle partition should hold before adaptive execution merges small ones.
+PARTITION_BYTES = 200 * 1024 ** 2
+
+
+def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply SETTINGS to a session somebody else built (all are run-time settings).
+
+    `shuffle_bytes`, the size of the largest shuffle to expect, raises the number of
+    shuffle partitions so that a partition fits in the memory of a task. Adaptive
+    execution merges them again where a shuffle turns out smaller.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if shuffle_bytes is not None:
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shuffle_bytes // PARTITION_BYTES))
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return spark
