@@ -26,3 +26,12 @@ def rows():
         df = df.select(*columns) if columns else df
         return sorted((tuple(row) for row in df.collect()), key=lambda row: tuple((v is not None, v) for v in row))
     return collect
+
+
+@pytest.fixture
+def many_ranges(spark):
+    """Small shuffles keep all their partitions, so that ranged code sees several ranges."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, "true")

@@ -23,7 +23,7 @@ def purchases(spark, n=900, customers=70):
 
 
 @pytest.mark.parametrize("small_rows", [0, 1000])
-def test_v2_scores_are_those_of_pandas(spark, small_rows):
+def test_v2_scores_are_those_of_pandas(spark, many_ranges, small_rows):
     df, pdf = purchases(spark)
     reference = pdf.order_purchase_timestamp.max() + dt.timedelta(days=1)
     expected = pdf.groupby("customer_unique_id").agg(
@@ -38,7 +38,7 @@ def test_v2_scores_are_those_of_pandas(spark, small_rows):
     assert ours == dict(zip(expected.customer_unique_id, zip(expected.r, scores)))
 
 
-def test_ranged_versions_equal_small_ones(spark):
+def test_ranged_versions_equal_small_ones(spark, many_ranges):
     df, _ = purchases(spark)
     for version in (rfm.rfm_v1, rfm.rfm_v3):
         assert version(df).exceptAll(version(df, small_rows=0)).isEmpty()

@@ -83,7 +83,7 @@ def reviews_rollup(reviews: DataFrame, order: str = "order_id", sequence: str |
 
     A missing text takes part in the join as the word `nan`. A joined text that is just
     this word, i.e. that of one review without text, is missing. Without a `sequence`
-    column the texts of an order are joined in alphabetical order.
+    column the texts of an order are joined in alphabetical order, and in one piece.
     """
     if sequence is None:
         reviews, sequence = reviews.withColumn("_sequence", F.lit(0)), "_sequence"

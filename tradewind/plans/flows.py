@@ -12,12 +12,17 @@ from tradewind.operators import forecast as hw
 from tradewind.operators import timeseries as ts
 from tradewind.operators.clean import clean
 from tradewind.operators.denormalize import denormalize
-from tradewind.sources import read_cleaned, read_raw_tables, stage, write_fact_table
+from tradewind.sources import read_cleaned, read_raw_tables, stage, with_file_order, write_fact_table
 
 
 def build_cleaned_table(spark: SparkSession, raw_paths: Mapping[str, str], cleaned_path: str) -> DataFrame:
-    """Raw CSV files to the cleaned table, written as Parquet by month."""
-    write_fact_table(clean(denormalize(read_raw_tables(spark, raw_paths))), cleaned_path)
+    """Raw CSV files to the cleaned table, written as Parquet by month.
+
+    The reviews of an order are joined in the order of their file.
+    """
+    tables = read_raw_tables(spark, raw_paths)
+    tables["reviews"] = with_file_order(tables["reviews"], "review_sequence")
+    write_fact_table(clean(denormalize(tables, review_sequence="review_sequence")), cleaned_path)
     return read_cleaned(spark, cleaned_path)
 
 

@@ -57,6 +57,14 @@ def read_raw_tables(spark: SparkSession, paths: Mapping[str, str]) -> dict[str,
     return {table: read_raw(spark, path, table) for table, path in paths.items()}
 
 
+def with_file_order(df: DataFrame, name: str) -> DataFrame:
+    """Number the rows of a freshly read table so that the rows of a file are in file order.
+
+    The numbers only order rows, they are neither dense nor meant to be stored.
+    """
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
 def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
     return missing_to_null(spark.read.parquet(path), words=())
 
