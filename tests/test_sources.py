@@ -2,11 +2,9 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
 
 from tradewind.operators.timeseries import daily_sales
-from tradewind.sources import load_or_build, read_raw, read_raw_tables, write_csv, write_fact_table, write_series
-from tradewind.sources.tables import read_csv
+from tradewind.sources import load_or_build, read_raw, write_csv, write_fact_table, write_series
 
 
 def test_csv_with_byte_order_mark(spark, tmp_path, rows):

@@ -2,33 +2,55 @@
 
 Money columns are DOUBLE, but floating point sums depend on the order in which
 partial sums meet, which differs from run to run on a cluster. Sums and means are
-therefore taken over decimals and cast back, so a result never depends on the
-partitioning.
+therefore taken over integers, whole units and millionths apart, and put together at
+the end, so a result never depends on the partitioning. Two BIGINT sums are also
+several times as fast as one DECIMAL sum: no value is turned into a decimal, and the
+buffers have a fixed width.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Six decimals keep capped values whole; 18 integer digits hold the total of an
-# order with a third of all rows. A sum has ten digits more.
-MONEY = "decimal(24,6)"
+MILLIONTH = Decimal("0.000001")
 
 
 def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def exact_sum(value: Column | str) -> Column:
-    """Sum as DOUBLE; 0 for a group without any value."""
-    return F.coalesce(F.sum(_column(value).cast(MONEY)).cast("double"), F.lit(0.0))
+def money_parts(value: Column | str) -> tuple[Column, Column]:
+    """Whole units and the millionths above them, as BIGINT. NaN fails."""
+    value = _column(value).cast("double")
+    whole = F.floor(value)
+    return whole, F.rint((value - whole) * 1_000_000.0).cast("bigint")
+
+
+def money_total(whole: Column | str, millionths: Column | str) -> Column:
+    """The DOUBLE nearest to the sum of the two sums."""
+    rest = _column(millionths).cast("decimal(19,0)") * F.lit(MILLIONTH)
+    return (_column(whole).cast("decimal(30,0)") + rest).cast("double")
+
+
+def exact_sum(value: Column | str, wide: bool = False) -> Column:
+    """Sum as DOUBLE; 0 for a group without any value.
+
+    Sums up to 9e18 fit; a larger one fails. With `wide` they may have eleven digits more,
+    which is meant for totals repeated on many rows.
+    """
+    whole, millionths = money_parts(value)
+    if wide:
+        whole = whole.cast("decimal(20,0)")
+    return F.coalesce(money_total(F.sum(whole), F.sum(millionths)), F.lit(0.0))
 
 
 def exact_mean(value: Column | str) -> Column:
     """Mean of the present values; NULL for a group without any."""
-    value = _column(value)
-    return F.try_divide(F.sum(value.cast(MONEY)).cast("double"), F.count(value))
+    whole, millionths = money_parts(value)
+    return F.try_divide(money_total(F.sum(whole), F.sum(millionths)), F.count(_column(value)))
 
 
 def percent(part: Column | str, whole: Column | str) -> Column:

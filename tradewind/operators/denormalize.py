@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions import exact_mean, exact_sum
+from tradewind.functions import exact_mean, money_parts, money_total
 from tradewind.operators.clean import (
     coerce_numbers, coerce_timestamps, drop_duplicate_rows, drop_missing, fill_constants, fill_median,
     with_item_revenue,
@@ -64,18 +64,20 @@ def _in_order(sequence: str, text: Column) -> Column:
 
 def payments_rollup(payments: DataFrame, order: str = "order_id") -> DataFrame:
     """One row per order: payments counted, types joined, instalments and value summed."""
+    whole, millionths = money_parts("payment_value")
     return joined_text(
         payments, order, {"payment_type": F.col("payment_type")}, "payment_sequential",
         {
             "_count": (F.count("payment_sequential"), F.sum("_count")),
             "_installments": (F.sum(F.col("payment_installments").cast("bigint")),
                               F.coalesce(F.sum("_installments"), F.lit(0))),
-            "_value": (F.sum(F.col("payment_value").cast("decimal(24,6)")),
-                       F.coalesce(F.sum("_value").cast("double"), F.lit(0.0))),
+            "_whole": (F.sum(whole), F.sum("_whole")),
+            "_millionths": (F.sum(millionths), F.sum("_millionths")),
         },
     ).select(
         order, F.col("_count").alias("payment_sequential"), "payment_type",
-        F.col("_installments").alias("payment_installments"), F.col("_value").alias("payment_value"))
+        F.col("_installments").alias("payment_installments"),
+        F.coalesce(money_total("_whole", "_millionths"), F.lit(0.0)).alias("payment_value"))
 
 
 def reviews_rollup(reviews: DataFrame, order: str = "order_id", sequence: str | None = None) -> DataFrame:
@@ -92,7 +94,7 @@ def reviews_rollup(reviews: DataFrame, order: str = "order_id", sequence: str |
     rolled = joined_text(
         reviews, order, texts, sequence,
         {
-            "_scores": (F.sum(F.col("review_score").cast("decimal(24,6)")), F.sum("_scores").cast("double")),
+            "_scores": (F.sum(F.col("review_score").cast("double")), F.sum("_scores")),
             "_rated": (F.count("review_score"), F.sum("_rated")),
         })
     return rolled.select(
@@ -173,11 +175,11 @@ def denormalize(tables: Mapping[str, DataFrame], parts: Sequence[str] = PARTS,
 
 
 # Text and number columns of the rebuilt table, as opposed to its dates and ids.
-_REBUILT_TEXT = (
+REBUILT_TEXT = (
     "product_category_name_english", "customer_city", "customer_state", "seller_city", "seller_state",
     "payment_type", "order_status", "product_category_name",
 )
-_REBUILT_NUMBERS = (
+REBUILT_NUMBERS = (
     "price", "freight_value", "product_name_lenght", "product_description_lenght", "product_photos_qty",
     "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm",
     "payment_sequential", "payment_installments", "payment_value", "review_score",
@@ -230,14 +232,14 @@ def rebuild_wide(tables: Mapping[str, DataFrame], fill: str = "median") -> DataF
     if fill != "median":
         raise ValueError(f"fill is 'median' or 'zero', not {fill!r}")
 
-    table = coerce_numbers(coerce_timestamps(joined, moments), _REBUILT_NUMBERS)
+    table = coerce_numbers(coerce_timestamps(joined, moments), REBUILT_NUMBERS)
     table = table.withColumn(
         "product_category_name_english", F.coalesce("product_category_name_english", "product_category_name"))
     table = fill_constants(table, {
         "review_comment_message": "no_comment", "review_comment_title": "no_comment",
         "payment_type": "unknown", "order_status": "unknown", "product_category_name": "unknown"})
-    table = fill_median(stage(table, "rebuilt"), _REBUILT_NUMBERS)
+    table = fill_median(stage(table, "rebuilt"), REBUILT_NUMBERS)
     table = drop_missing(with_item_revenue(table), [
         "order_id", "customer_id", "order_purchase_timestamp", "item_total_revenue"])
     table = drop_duplicate_rows(table)
-    return table.withColumns({name: normalized(name, missing_word=MISSING_TEXT) for name in _REBUILT_TEXT})
+    return table.withColumns({name: normalized(name, missing_word=MISSING_TEXT) for name in REBUILT_TEXT})

@@ -63,7 +63,7 @@ def customer_metrics(
     customers = df.where(F.col(customer).isNotNull()).groupBy(customer).agg(
         F.max(moment).alias("last_purchase_date"),
         F.count_distinct(order).alias("frequency"),
-        exact_sum(money).alias("monetary"),
+        exact_sum(money, wide=money == "payment_value").alias("monetary"),
     )
     customers = stage(customers, "customers")
     latest = customers.agg(F.max("last_purchase_date")).first()[0]

@@ -37,7 +37,7 @@ def sales_by(
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     df = df.where(_present(*keys))
-    aggregates = [exact_sum(money).alias(total)]
+    aggregates = [exact_sum(money, wide=money == PAID).alias(total)]
     if items:
         aggregates.append(F.count("order_item_id").alias(items))
     if grain == "order":
@@ -77,7 +77,7 @@ def monthly_sales_with_cancellations(df: DataFrame, money: str = PAID, status: s
     """
     canceled = F.when(F.col("order_status") == status, F.col("order_id"))
     return with_month(df).where(_present("month")).groupBy("month").agg(
-        exact_sum(money).alias("total_revenue"), F.count_distinct(canceled).alias("number_of_cancellations"))
+        exact_sum(money, wide=money == PAID).alias("total_revenue"), F.count_distinct(canceled).alias("number_of_cancellations"))
 
 
 def product_sales(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewind.operators import clean, denormalize, profile
 from tradewind.operators.timeseries import daily_sales
-from tradewind.plans.registry import define, dmean, query
+from tradewind.plans.registry import define, query
 from tradewind.plans.roles import role, roles, table
 from tradewind.sources import stage, write_csv
 from tradewind.sources.staging import new_path
@@ -62,7 +62,7 @@ define("d_joined", """
 
 @query(f"""
     WITH medians AS (
-        SELECT {', '.join(f'quantile_cont(CAST({c} AS DOUBLE), 0.5) AS {c}' for c in denormalize._REBUILT_NUMBERS)}
+        SELECT {', '.join(f'quantile_cont(CAST({c} AS DOUBLE), 0.5) AS {c}' for c in denormalize.REBUILT_NUMBERS)}
         FROM d_joined
     )
     SELECT DISTINCT
@@ -70,7 +70,7 @@ define("d_joined", """
         order_delivered_customer_date, order_estimated_delivery_date, customer_unique_id,
         customer_zip_code_prefix, order_item_id, product_id, seller_id, shipping_limit_date,
         seller_zip_code_prefix,
-        {', '.join(f'COALESCE(CAST(j.{c} AS DOUBLE), m.{c}) AS {c}' for c in denormalize._REBUILT_NUMBERS)},
+        {', '.join(f'COALESCE(CAST(j.{c} AS DOUBLE), m.{c}) AS {c}' for c in denormalize.REBUILT_NUMBERS)},
         COALESCE(j.price, m.price) + COALESCE(j.freight_value, m.freight_value) AS item_total_revenue,
         COALESCE(review_comment_title, 'no_comment') AS review_comment_title,
         COALESCE(review_comment_message, 'no_comment') AS review_comment_message,
