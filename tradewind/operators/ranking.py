@@ -37,7 +37,8 @@ def best_and_worst(df: DataFrame, by: str, key: str) -> DataFrame:
     found = df.where(F.col(by).isNotNull()).agg(
         F.min(F.struct(-F.col(by), F.col(key), row)).alias("best"),
         F.min(F.struct(F.col(by), F.col(key), row)).alias("worst"))
-    kinds = F.array(*[F.struct(F.lit(kind).alias("kind"), F.col(kind)["row"].alias("row")) for kind in ("best", "worst")])
+    kinds = F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.col(kind)["row"].alias("row")) for kind in ("best", "worst")])
     return (
         found.where("best IS NOT NULL").select(F.explode(kinds).alias("_found"))
         .select("_found.row.*", "_found.kind")

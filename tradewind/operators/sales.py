@@ -77,7 +77,8 @@ def monthly_sales_with_cancellations(df: DataFrame, money: str = PAID, status: s
     """
     canceled = F.when(F.col("order_status") == status, F.col("order_id"))
     return with_month(df).where(_present("month")).groupBy("month").agg(
-        exact_sum(money, wide=money == PAID).alias("total_revenue"), F.count_distinct(canceled).alias("number_of_cancellations"))
+        exact_sum(money, wide=money == PAID).alias("total_revenue"),
+        F.count_distinct(canceled).alias("number_of_cancellations"))
 
 
 def product_sales(df: DataFrame) -> DataFrame:
