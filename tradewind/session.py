@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # Adaptive execution does the run-time part of every plan here: it turns a
@@ -47,3 +53,23 @@ def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
         partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shuffle_bytes // PARTITION_BYTES))
         spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return spark
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the Python workers of this application the library, once; they import it by name."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        # The driver serves the archive to the executors for as long as it runs.
+        folder = tempfile.mkdtemp(prefix="package-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = Path(folder) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
+    return spark
