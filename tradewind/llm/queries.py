@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import bpe, langid, merkle, packing, quality
+from tradewind.llm import bpe, langid, merkle, ngram_join, packing, quality
 from tradewind.llm.common import read_table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,7 @@ def _over(table: str, run: Callable[[DataFrame], DataFrame]) -> Run:
 
 QUERIES: dict[str, Run] = {
     "op2_best_fit_packing": _over("documents", packing.op2_best_fit_packing),
+    "op5_ngram_jaccard_join": _over("documents", ngram_join.op5_ngram_jaccard_join),
     "op6_language_id": _over("documents", langid.op6_language_id),
     "op7_merkle_fingerprints": _over("documents", merkle.op7_merkle_fingerprints),
     "op9_quality_rules": _over("documents", quality.op9_quality_rules),
