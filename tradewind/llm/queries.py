@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import bpe, langid, merkle, ngram_join, packing, quality, substring
+from tradewind.llm import bpe, langid, maxent, merkle, ngram_join, packing, quality, substring
 from tradewind.llm.common import read_table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,7 @@ def _over(table: str, run: Callable[[DataFrame], DataFrame]) -> Run:
 
 
 QUERIES: dict[str, Run] = {
+    "op1_lm_scoring": _over("documents", maxent.op1_lm_scoring),
     "op2_best_fit_packing": _over("documents", packing.op2_best_fit_packing),
     "op3_substring_dedup": _over("documents", substring.op3_substring_dedup),
     "op5_ngram_jaccard_join": _over("documents", ngram_join.op5_ngram_jaccard_join),
