@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import bpe, langid, maxent, merkle, ngram_join, packing, quality, substring
+from tradewind.llm import bpe, html_text, langid, licenses, maxent, merkle, ngram_join, packing, quality, substring
 from tradewind.llm.common import read_table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -20,9 +20,11 @@ QUERIES: dict[str, Run] = {
     "op1_lm_scoring": _over("documents", maxent.op1_lm_scoring),
     "op2_best_fit_packing": _over("documents", packing.op2_best_fit_packing),
     "op3_substring_dedup": _over("documents", substring.op3_substring_dedup),
+    "op4_license_scan": _over("documents", licenses.op4_license_scan),
     "op5_ngram_jaccard_join": _over("documents", ngram_join.op5_ngram_jaccard_join),
     "op6_language_id": _over("documents", langid.op6_language_id),
     "op7_merkle_fingerprints": _over("documents", merkle.op7_merkle_fingerprints),
+    "op8_html_extraction": _over("pages", html_text.op8_html_extraction),
     "op9_quality_rules": _over("documents", quality.op9_quality_rules),
     "op10_byte_bpe": _over("documents", bpe.op10_byte_bpe),
 }

@@ -21,11 +21,14 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def word_numbers(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of all words of the texts in a row, and how many words each text has."""
+def word_numbers(texts: Sequence[str | None], strip: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all words of the texts in a row, and how many words each text has.
+
+    Characters of `strip` at either end of a word do not count.
+    """
     lists = [words_of(text) if text else [] for text in texts]
     flat = list(chain.from_iterable(lists))
-    table = {word: xxhash.xxh3_64_intdigest(word) for word in dict.fromkeys(flat)}
+    table = {word: xxhash.xxh3_64_intdigest(word.strip(strip) if strip else word) for word in dict.fromkeys(flat)}
     numbers = np.fromiter(map(table.__getitem__, flat), np.uint64, len(flat))
     return numbers, np.fromiter(map(len, lists), np.int64, len(lists))
 
