@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import stage, text_slices
@@ -392,14 +392,17 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 _WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 
 
-def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
+def without_passages(docs: DataFrame, passages: DataFrame, key: Column | None = None) -> DataFrame:
     """`docs` (doc_id, text and any other columns) with the passages cut out of the texts.
 
+    `key` is what the passages name a document by, if it is not its id.
+
     The white space before a passage goes with it. Documents of which no word is left go.
     """
     columns = docs.columns
     cuts = passages.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("start_word", "n_words"))).alias("_cuts"))
-    marked = docs.withColumn("doc", F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text"))).join(cuts, "doc", "left").drop("doc")
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text")) if key is None else key
+    marked = docs.withColumn("doc", key).join(cuts, "doc", "left").drop("doc")
     schema = marked.select(*columns, F.lit(False).alias("_cut")).schema
     place = columns.index("text")
 
