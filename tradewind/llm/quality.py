@@ -100,7 +100,11 @@ def text_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         F.transform("_places", lambda place, j: F.least(
             F.lit(WINDOW), F.coalesce(F.get("_places", j + 1) - place, F.lit(WINDOW)))),
         F.lit(0), lambda total, step: total + step)
-    return df.select(*kept, *COUNTS[:-1], F.coalesce(covered, F.lit(0)).cast("bigint").alias("n_repeat_words"))
+    counts = df.select(*kept, *COUNTS[:-1], F.coalesce(covered, F.lit(0)).cast("bigint").alias("n_repeat_words"))
+    # The counts go through a generator of one row. A filter on them cannot be pushed below
+    # it, where the optimizer would put their expressions in the place of the columns and
+    # have every list computed again for each of its elements.
+    return counts.select(*kept, F.inline(F.array(F.struct(*COUNTS))))
 
 
 def apply_rules(
