@@ -117,7 +117,7 @@ def linked(query: np.ndarray, candidates: list[np.ndarray]) -> list[int]:
 
 def classes_and_frequent(docs: DataFrame) -> DataFrame:
     """One pass: rows of documents (kind 0) and rows of shingles frequent in a task (kind 1)."""
-    schema = T.StructType([T.StructField("kind", T.IntegerType()), docs.schema["doc_id"], *T._parse_datatype_string(
+    schema = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("doc_id", docs.schema["doc_id"].dataType), *T._parse_datatype_string(
         "n bigint, number bigint").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
