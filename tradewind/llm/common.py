@@ -38,9 +38,12 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
 def slots_for(df: DataFrame, bytes_each: int, least: int = 1) -> int:
     """Number of parts of about `bytes_each` bytes, from the planner's size of `df`.
 
-    It follows the input and nothing else, so that it needs no pass over the data.
+    It follows the input and nothing else, so that it needs no pass over the data. For
+    inputs that the planner knows no size of, which are not files, it is their partitions.
     """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 62:
+        return max(least, df.rdd.getNumPartitions())
     return max(least, -(-size // bytes_each))
 
 

@@ -200,9 +200,9 @@ class TreeModel:
 def prior() -> TreeModel:
     weights = np.zeros(FEATURES)
     for tag in ASIDE_TAGS:
-        weights[_slot(f"tag={tag}")] -= 4
+        weights[_slot(f"tag={tag}")] -= 8
     for name in ASIDE_NAMES:
-        weights[_slot(f"name={name}")] -= 4
+        weights[_slot(f"name={name}")] -= 8
     for tag in LANDMARKS:
         weights[_slot(f"tag={tag}")] += 4
     for name in CONTENT_NAMES:

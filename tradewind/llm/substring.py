@@ -85,6 +85,10 @@ def _seeds(docs: DataFrame) -> DataFrame:
 
         def combined() -> pa.RecordBatch:
             seed, doc, pos = (np.concatenate(column) for column in zip(*held))
+            if not len(seed):
+                return pa.RecordBatch.from_pylist([], pa.schema([
+                    ("seed", pa.int64()), ("doc", pa.int64()), ("pos", pa.int32()), ("owner", pa.int64()),
+                    ("owner_pos", pa.int32())]))
             order = np.lexsort((pos, doc, seed))
             seed, doc, pos = seed[order], doc[order], pos[order]
             first = np.concatenate(([True], seed[1:] != seed[:-1]))
