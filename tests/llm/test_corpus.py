@@ -78,8 +78,8 @@ def test_passages(spark, corpus, nothing):
 def test_fuzzy_passage_and_chain():
     words = list(range(100))
     assert substring.extended(*map(__import__("numpy").array, (words, [*words[:50], 999, *words[51:]]))) == (100, 100)
-    found = substring.chains([0, 20, 21, 60], [100, 120, 5, 162])
-    assert found[0][:4] == (0, 68, 100, 170) and substring.cut_words("a b\nc d", [(1, 2)]) == "a d"
+    found = substring.chains([0, 20, 21, 50], [100, 120, 5, 152])
+    assert found[0][:4] == (0, 58, 100, 160) and substring.cut_words("a b\nc d", [(1, 2)]) == "a d"
 
 
 def test_lm_scores(spark, corpus):
