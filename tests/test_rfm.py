@@ -22,8 +22,7 @@ def purchases(spark, n=900, customers=70):
     return spark.createDataFrame(data, schema).repartition(4), pd.DataFrame(data, columns=columns)
 
 
-@pytest.mark.parametrize("small_rows", [0, 1000])
-def test_v2_scores_are_those_of_pandas(spark, many_ranges, small_rows):
+def test_v2_scores_are_those_of_pandas(spark, many_ranges):
     df, pdf = purchases(spark)
     reference = pdf.order_purchase_timestamp.max() + dt.timedelta(days=1)
     expected = pdf.groupby("customer_unique_id").agg(
@@ -34,16 +33,10 @@ def test_v2_scores_are_those_of_pandas(spark, many_ranges, small_rows):
         "f": pd.qcut(expected.f.rank(method="first"), 5, labels=False) + 1,
         "m": pd.qcut(expected.m.rank(method="first"), 5, labels=False) + 1}).astype(str).sum(axis=1)
     ours = {row["customer_unique_id"]: (row["recency"], row["RFM_score"])
-            for row in rfm.rfm_v2(df, small_rows=small_rows).collect()}
+            for row in rfm.rfm_v2(df).collect()}
     assert ours == dict(zip(expected.customer_unique_id, zip(expected.r, scores)))
 
 
-def test_ranged_versions_equal_small_ones(spark, many_ranges):
-    df, _ = purchases(spark)
-    for version in (rfm.rfm_v1, rfm.rfm_v3):
-        assert version(df).exceptAll(version(df, small_rows=0)).isEmpty()
-
-
 def test_segments_decide_in_order(spark):
     scores = list(itertools.product(range(1, 6), repeat=3))
     df = spark.createDataFrame(scores, "r INT, f INT, m INT")

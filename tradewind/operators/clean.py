@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import normalized
-from tradewind.operators.ordering import SMALL_ROWS, exact_quantiles
+from tradewind.operators.ordering import exact_quantiles
 from tradewind.sources.staging import stage
 
 PAYMENT_COLUMNS = ("payment_sequential", "payment_type", "payment_installments", "payment_value")
@@ -54,9 +54,9 @@ def fill_constants(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     return df.na.fill(dict(values))
 
 
-def fill_median(df: DataFrame, columns: Sequence[str], small_rows: int = SMALL_ROWS) -> DataFrame:
+def fill_median(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fill each column with its own median. `df` should be staged."""
-    medians = exact_quantiles(df, {name: [0.5] for name in columns}, small_rows)
+    medians = exact_quantiles(df, {name: [0.5] for name in columns})
     return df.withColumns({
         name: F.coalesce(F.col(name).cast("double"), F.lit(median).cast("double"))
         for name, (median,) in medians.items()
@@ -84,9 +84,9 @@ def zero_to_one(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     })
 
 
-def iqr_bounds(df: DataFrame, columns: Sequence[str], small_rows: int = SMALL_ROWS) -> dict[str, tuple[float, float]]:
+def iqr_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """(Q1 - 1.5*IQR, Q3 + 1.5*IQR) per column that has values. `df` should be staged."""
-    quartiles = exact_quantiles(df, {name: [0.25, 0.75] for name in columns}, small_rows)
+    quartiles = exact_quantiles(df, {name: [0.25, 0.75] for name in columns})
     return {
         name: (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
         for name, (q1, q3) in quartiles.items() if q1 is not None
@@ -117,7 +117,7 @@ def with_item_revenue(df: DataFrame) -> DataFrame:
     return df.withColumn("item_total_revenue", F.col("price") + F.col("freight_value"))
 
 
-def clean(wide: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
+def clean(wide: DataFrame) -> DataFrame:
     """The cleaned table: 47 columns for the 41 of the wide one.
 
     The medians need the joined rows, and the outlier bounds the deduplicated ones, so
@@ -125,12 +125,12 @@ def clean(wide: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
     """
     rows = drop_missing(wide, PAYMENT_COLUMNS)
     rows = drop_missing(coerce_timestamps(rows, MOMENT_COLUMNS), REQUIRED_MOMENTS)
-    rows = fill_median(stage(rows, "complete"), MEDIAN_COLUMNS, small_rows)
+    rows = fill_median(stage(rows, "complete"), MEDIAN_COLUMNS)
     rows = fill_constants(rows, {"product_category_name": "unknown", "product_category_name_english": "unknown"})
     # The title is taken from the message, and the message keeps its NULLs.
     rows = rows.withColumn("review_comment_title", F.coalesce("review_comment_message", F.lit("no_comment")))
     rows = stage(drop_duplicate_rows(rows), "distinct")
     rows = make_positive(normalize_text(rows, TEXT_COLUMNS), UNSIGNED_COLUMNS)
     rows = zero_to_one(rows, SIZE_COLUMNS)
-    rows = cap_outliers(rows, iqr_bounds(rows, CAPPED_COLUMNS, small_rows))
+    rows = cap_outliers(rows, iqr_bounds(rows, CAPPED_COLUMNS))
     return with_item_revenue(with_calendar(rows))

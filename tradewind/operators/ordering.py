@@ -1,9 +1,8 @@
 """Exact global positions and quantiles without a global sort in one task.
 
 A window without PARTITION BY, and the exact `percentile` aggregate, both bring a
-whole column into one task. That is used here only for at most SMALL_ROWS rows,
-which are counted first. Beyond that the column is range-partitioned: every task
-sorts its own range, and only the size of each range is gathered.
+whole column into one task. Here the column is range-partitioned, at every size: each
+task sorts its own range, and only the size of each range is gathered.
 
 The ranged rows are staged together with the number of their range, so the pass
 that sizes the ranges and the pass that uses the sizes see the same ranges even if
@@ -21,8 +20,6 @@ from pyspark.sql import functions as F
 
 from tradewind.sources.staging import stage
 
-SMALL_ROWS = 200_000
-
 # monotonically_increasing_id() is the partition number shifted by 33 bits plus the
 # position of the row in its partition.
 _POSITION_BITS = 33
@@ -30,15 +27,9 @@ _POSITION_BITS = 33
 
 def with_row_number(
     df: DataFrame, order_by: Sequence[Column | str], name: str = "row_number",
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
-    """Number all rows 1..n by `order_by`, which has to identify a row.
-
-    `df` should be staged: it is counted first.
-    """
+    """Number all rows 1..n by `order_by`, which has to identify a row."""
     order = [F.col(column) if isinstance(column, str) else column for column in order_by]
-    if df.count() <= small_rows:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     placed = (
         df.repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
@@ -56,27 +47,13 @@ def with_row_number(
 
 
 def exact_quantiles(
-    df: DataFrame, probabilities: Mapping[str, Sequence[float]], small_rows: int = SMALL_ROWS,
+    df: DataFrame, probabilities: Mapping[str, Sequence[float]],
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of several columns, NULLs left out.
 
     `probabilities` maps a column to the wanted probabilities. The result, a handful of
-    numbers, is returned to the driver. A column without values gives None. `df` should
-    be staged: it is read more than once.
+    numbers, is returned to the driver. A column without values gives None.
     """
-    columns = list(probabilities)
-    if df.count() <= small_rows:
-        row = df.agg(*[
-            F.percentile(F.col(column).cast("double"), F.array(*map(F.lit, probabilities[column]))).alias(column)
-            for column in columns
-        ]).first()
-        return {column: list(row[column] or [None] * len(probabilities[column])) for column in columns}
-    return _quantiles_of_ranges(df, probabilities)
-
-
-def _quantiles_of_ranges(
-    df: DataFrame, probabilities: Mapping[str, Sequence[float]],
-) -> dict[str, list[float | None]]:
     columns = list(probabilities)
     # One row per distinct value: a value that a third of all rows hold is counted
     # before the shuffle and cannot make a range heavy.

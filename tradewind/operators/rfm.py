@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import elapsed_days, exact_mean, exact_sum
 from tradewind.operators.binning import distinct_edges, even_probabilities, rank_score, value_score
-from tradewind.operators.ordering import SMALL_ROWS, exact_quantiles, with_row_number
+from tradewind.operators.ordering import exact_quantiles, with_row_number
 from tradewind.operators.ranking import value_counts, with_share
 from tradewind.sources.staging import stage
 
@@ -73,22 +73,22 @@ def customer_metrics(
     return customers.withColumn("recency", elapsed_days("last_purchase_date", reference))
 
 
-def _edges(df: DataFrame, columns: Sequence[str], bins: int, small_rows: int) -> dict[str, list[float]]:
-    return exact_quantiles(df, {name: even_probabilities(bins) for name in columns}, small_rows)
+def _edges(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
+    return exact_quantiles(df, {name: even_probabilities(bins) for name in columns})
 
 
 def _code(*scores: str) -> Column:
     return F.concat(*[F.col(score).cast("string") for score in scores])
 
 
-def rfm_v1(df: DataFrame, bins: int = 5, small_rows: int = SMALL_ROWS, **columns: str) -> DataFrame:
+def rfm_v1(df: DataFrame, bins: int = 5, **columns: str) -> DataFrame:
     """All three scores are value bins.
 
     Equal edges are merged for frequency and money, whose highest score is then lower
     than `bins`; for recency they raise.
     """
     metrics = customer_metrics(df, "payment_value", 1, **columns)
-    edges = _edges(metrics, ["recency", "frequency", "monetary"], bins, small_rows)
+    edges = _edges(metrics, ["recency", "frequency", "monetary"], bins)
     scored = metrics.withColumns({
         "R_Score": value_score("recency", distinct_edges(edges["recency"]), descending=True),
         "F_Score": value_score("frequency", distinct_edges(edges["frequency"], "drop")),
@@ -100,16 +100,15 @@ def rfm_v1(df: DataFrame, bins: int = 5, small_rows: int = SMALL_ROWS, **columns
         segment(SEGMENTS_V1, {"r": "R_Score", "f": "F_Score", "m": "M_Score"}).alias("Customer_Segment"))
 
 
-def rfm_v2(df: DataFrame, bins: int = 5, small_rows: int = SMALL_ROWS, **columns: str) -> DataFrame:
+def rfm_v2(df: DataFrame, bins: int = 5, **columns: str) -> DataFrame:
     """Recency in value bins; frequency and money in bins of ranks, ties by customer."""
     customer = columns.get("customer", CUSTOMER)
     metrics = customer_metrics(df, "payment_value", 1, **columns)
-    edges = _edges(metrics, ["recency"], bins, small_rows)
+    edges = _edges(metrics, ["recency"], bins)
     rows = metrics.count()
-    numbered = with_row_number(metrics, ["frequency", customer], "_f", small_rows)
-    if rows > small_rows:
-        numbered = stage(numbered, "numbered")
-    numbered = with_row_number(numbered, ["monetary", customer], "_m", small_rows)
+    numbered = with_row_number(metrics, ["frequency", customer], "_f")
+    numbered = stage(numbered, "numbered")
+    numbered = with_row_number(numbered, ["monetary", customer], "_m")
     scored = numbered.withColumns({
         "R_score": value_score("recency", distinct_edges(edges["recency"]), descending=True),
         "F_score": rank_score("_f", rows, bins),
@@ -121,12 +120,12 @@ def rfm_v2(df: DataFrame, bins: int = 5, small_rows: int = SMALL_ROWS, **columns
         segment(SEGMENTS_V2, {"r": "R_score", "f": "F_score", "m": "M_score"}).alias("RFM_segment"))
 
 
-def rfm_v3(df: DataFrame, bins: int = 4, small_rows: int = SMALL_ROWS, **columns: str) -> DataFrame:
+def rfm_v3(df: DataFrame, bins: int = 4, **columns: str) -> DataFrame:
     """Item revenue as money, recency from the latest purchase itself, four bins."""
     customer = columns.get("customer", CUSTOMER)
     metrics = customer_metrics(df, "item_total_revenue", 0, **columns)
-    edges = _edges(metrics, ["recency", "monetary"], bins, small_rows)
-    numbered = with_row_number(metrics, ["frequency", customer], "_f", small_rows)
+    edges = _edges(metrics, ["recency", "monetary"], bins)
+    numbered = with_row_number(metrics, ["frequency", customer], "_f")
     scored = numbered.withColumns({
         "r_score": value_score("recency", distinct_edges(edges["recency"]), descending=True),
         "f_score": rank_score("_f", metrics.count(), bins),

@@ -55,6 +55,12 @@ def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
     return spark
 
 
+def input_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of all files below a folder, in whatever store Spark reads it from."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
 _shipped: set[str] = set()
 
 
