@@ -8,8 +8,9 @@ class are an inverted index, DivideSkip merges the short lists with a heap, prob
 long ones by binary search, and keeps those that reach the required overlap.
 
 Components do not need all pairs. In two rounds each list compares its members with one
-leader; then only members of a list that are still in different components are compared,
-after counting their common prefix shingles, which rules out nearly all. No link between
+leader, first with the member that has the largest share of its shingles in lists, that is
+the least edited one; then only members of a list that are still in different components are
+compared, with the longest lists of the smaller one set aside. No link between
 components is lost, and no group of copies is expanded into pairs.
 
 Skew: shingles that are frequent within some task are known before the prefixes are made
@@ -34,7 +35,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -237,6 +238,20 @@ def _band(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / float(np.log(4 / 3)) + 1e-9).cast("int")
 
 
+def _with_share(posts: DataFrame) -> DataFrame:
+    """Add the share of its shingles that a set has in lists; the less a copy was edited, the larger it is."""
+    return posts.join(posts.groupBy("set_id").agg(F.count("*").alias("listed")), "set_id").select(
+        "token", "set_id", "n", (F.col("listed") / F.col("n")).alias("share"))
+
+
+def _leading(turn: int) -> Column:
+    """The least leads. First the set with the largest share, which is linked with most of a group of copies."""
+    mixed = F.xxhash64("set_id", F.lit(turn))
+    if turn % 2:
+        return mixed
+    return (F.lit(1 << 20) - F.floor(F.least("share", F.lit(1.0)) * (1 << 20))) * F.lit(1 << 42) + F.pmod(mixed, F.lit(1 << 42))
+
+
 def _star_pairs(posts: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
     """Each list (a token and two neighbouring bands of sizes) pairs its members with a leader."""
     lists = posts.withColumn("band", F.explode(F.array(_band(F.col("n")), _band(F.col("n")) - 1)))
@@ -244,7 +259,7 @@ def _star_pairs(posts: DataFrame, labels: DataFrame | None, turn: int) -> DataFr
     if labels is not None:
         lists = lists.drop("comp").join(labels.select(F.col("id").alias("set_id"), "component"), "set_id", "left").withColumn(
             "comp", F.coalesce("component", "set_id")).drop("component")
-    order = F.xxhash64("set_id", F.lit(turn))
+    order = _leading(turn)
     leaders = lists.groupBy("token", "band").agg(
         F.min_by("set_id", order).alias("leader"), F.min_by("n", order).alias("leader_n"),
         F.min_by("comp", order).alias("leader_comp"), F.min("comp").alias("low"), F.max("comp").alias("high"),
@@ -255,23 +270,43 @@ def _star_pairs(posts: DataFrame, labels: DataFrame | None, turn: int) -> DataFr
     ).select(F.col("leader").alias("a"), F.col("set_id").alias("b")).distinct()
 
 
+def _least_common(a_n: Column, b_n: Column) -> Column:
+    """Prefix shingles that linked sets of these sizes have in common; all but a quarter of a set are outside its prefix."""
+    return F.greatest(F.lit(1), required(a_n, b_n) + 1 - F.greatest(F.ceil(a_n * 3 / 4), F.ceil(b_n * 3 / 4)))
+
+
 def _cross_pairs(posts: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components that have enough prefix shingles in common to be linked."""
+    """Pairs of different components that may have enough prefix shingles in common to be linked.
+
+    Linked sets have T prefix shingles or more in common. As in DivideSkip, of one of the two,
+    that with fewer listed shingles, the T - 1 with the longest lists are set aside: the pair
+    still meets in one of the others. So a set with few shingles in common with a large group
+    is not paired with its members. The sizes in a list bound T from below before the join,
+    the two sizes in it.
+    """
     lists = posts.join(labels.select(F.col("id").alias("set_id"), "component"), "set_id", "left").withColumn(
         "comp", F.coalesce("component", "set_id")).drop("component")
-    mixed = lists.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    lists = lists.join(mixed.select("token"), "token", "left_semi")
-    # Three quarters of a set, rounded up, less one, are outside its prefix.
-    left = lists.select("token", *[F.col(c).alias(f"a_{c}") for c in ("set_id", "n", "comp")])
-    right = lists.select("token", *[F.col(c).alias(f"b_{c}") for c in ("set_id", "n", "comp")])
-    outside = F.greatest(F.ceil(F.col("a_n") * 3 / 4), F.ceil(F.col("b_n") * 3 / 4)) - 1
+    mixed = lists.groupBy("token").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"),
+        F.min("n").alias("least_n"), F.max("n").alias("most_n")).where("low <> high").drop("low", "high")
+    lists = lists.join(mixed, "token")
+    place = Window.partitionBy("set_id").orderBy(F.desc("members"), "token")
+    lists = lists.withColumn("place", F.row_number().over(place)).withColumn(
+        "listed", F.count("*").over(Window.partitionBy("set_id")))
+    ends = [F.greatest("least_n", F.ceil(F.col("n") * 3 / 4)), F.least("most_n", F.floor(F.col("n") * 4 / 3))]
+    # T grows towards equal sizes from both sides, but for rounding.
+    bound = F.least(*[_least_common(F.col("n"), end) for end in ends]) - 1
+    left = lists.where(F.col("place") >= bound).select(
+        "token", "place", *[F.col(c).alias(f"a_{c}") for c in ("set_id", "n", "comp", "listed")])
+    right = lists.select("token", *[F.col(c).alias(f"b_{c}") for c in ("set_id", "n", "comp", "listed")])
+    common = _least_common(F.col("a_n"), F.col("b_n"))
     return (
         left.join(right, "token").where(
-            (F.col("a_set_id") < F.col("b_set_id")) & (F.col("a_comp") != F.col("b_comp"))
-            & (4 * F.least("a_n", "b_n") >= 3 * F.greatest("a_n", "b_n")))
-        .groupBy("a_set_id", "b_set_id").agg(F.count("*").alias("common"), F.max("a_n").alias("a_n"), F.max("b_n").alias("b_n"))
-        .where(F.col("common") + outside >= required(F.col("a_n"), F.col("b_n")))
-        .select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b"))
+            ((F.col("a_listed") < F.col("b_listed"))
+             | ((F.col("a_listed") == F.col("b_listed")) & (F.col("a_set_id") < F.col("b_set_id"))))
+            & (F.col("a_comp") != F.col("b_comp")) & (F.col("a_listed") >= common)
+            & (4 * F.least("a_n", "b_n") >= 3 * F.greatest("a_n", "b_n")) & (F.col("place") >= common))
+        .select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b")).distinct()
     )
 
 
@@ -371,7 +406,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     rank_of = np.arange(len(numbers))[::-1]  # the most frequent is last of all
     frequent = np.stack([numbers[order], rank_of[order].astype(np.uint64)])
     prefixes = _prefixes(docs, (frequent[0], frequent[1].astype(np.int64)))
-    posts = stage(_shared_tokens(prefixes), "posts")
+    posts = stage(_with_share(stage(_shared_tokens(prefixes), "shared")), "posts")
     sets = stage(_needed_sets(docs, posts), "sets")
     links: list[DataFrame] = []
     labels = None
