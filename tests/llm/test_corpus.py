@@ -82,6 +82,34 @@ def test_fuzzy_passage_and_chain():
     assert found[0][:4] == (0, 58, 100, 160) and substring.cut_words("a b\nc d", [(1, 2)]) == "a d"
 
 
+def _found(spark, texts, parts=1):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(parts, "doc_id")
+    found = defaultdict(set)
+    for r in substring.op3_substring_dedup(docs).collect():
+        found[r.doc_id] |= set(range(r.start_word, r.start_word + r.n_words))
+    return found
+
+
+def _own(name, n):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+def test_unshared_text_within_a_chain_stays(spark):
+    head, foot, phrase = _own("h", 60), _own("f", 55), [_own(f"p{k}_", 9) for k in range(4)]
+    fuzzy = head.split()
+    fuzzy[20], fuzzy[40] = "changed", "again"
+    far = [w if i % 7 else f"far{i}" for i, w in enumerate(_own("z", 400).split())]
+    found = _found(spark, {
+        1: " ".join((head, _own("a", 100), foot)), 2: " ".join((head, _own("b", 100), foot)),
+        3: _own("c", 10).join(["", *phrase]), 4: _own("d", 10).join(["", *phrase]),
+        5: " ".join((_own("e", 5), *fuzzy)),
+        6: _own("k", 20) + " " + _own("z", 400), 7: " ".join(["k%d" % i for i in range(20)] + far)})
+    assert found[2] == set(range(60)) | set(range(160, 215))
+    assert 3 not in found and 4 not in found
+    assert found[5] == set(range(5, 65))
+    assert 400 <= len(found[7]) <= 420
+
+
 def test_lm_scores(spark, corpus):
     rows = [(r.doc_id, r.text) for r in corpus.select("doc_id", "text").collect()]
     tokens = [(doc_id, [*(text or "").encode().lower().split(), b" "]) for doc_id, text in rows]

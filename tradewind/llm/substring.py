@@ -5,8 +5,9 @@ one with the smallest number, so two texts with SEED + WINDOW - 1 words in commo
 seed. Every seed of a document is joined to one owner, the smallest document known to have
 it: a star, not the pairs of all that share it. Matches of a document with an owner are
 chained: a Fenwick tree finds for every match the best chain it can prolong, with both
-positions growing and gaps costing. Chains are aligned beyond their ends, word by word
-with substitutions and gaps, and what they cover of a document is merged to passages.
+positions growing and gaps costing. The gaps of chains and what lies beyond their ends are
+aligned word by word with substitutions and gaps; where a gap does not align, the chain is
+split. Equal words, not the span, make up the length of a passage.
 
 Skew: a seed that many documents share is combined within its task first; only the first
 row of a task goes to the owner of the seed, the others match that row. So a seed has at
@@ -16,8 +17,7 @@ looked up in a join that can be split, and is never gathered.
 
 Defined cases: a NULL or empty text, and one of fewer words than a passage has, has no
 passages; rows with the same id count as one document, a NULL id as one for each text;
-passages within one document, also one word over and over, are no repeats; extra columns
-are not used.
+passages within one document are no repeats; extra columns are not used.
 """
 
 from __future__ import annotations
@@ -25,12 +25,13 @@ from __future__ import annotations
 import gc
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import stage, text_slices
@@ -40,14 +41,17 @@ SEED = 8
 WINDOW = 8  # as SEED: the k-mers between two texts then keep their windows apart
 CHUNK_WORDS = 2_000_000
 GAP_COST = 0.1
-MIN_CHAIN = 16
 # A passage to report, in words.
 MIN_WORDS = 50
 MERGE_GAP = 4
 MARGIN = 32
+MOST_MARGIN = 8192
+FAR = 1 << 30
 BLOCK = 32
 SLOTS = 1 << 22
 _NONE = np.uint64(2 ** 64 - 1)
+# Seeds, their documents and positions, and the number of words they were taken from.
+Rows = tuple[np.ndarray, np.ndarray, np.ndarray, int]
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -75,8 +79,12 @@ def minimizers(numbers: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np
     return kmers[at], text[at], at - starts[text[at]]
 
 
-def _seeds(docs: DataFrame) -> DataFrame:
-    """(seed, doc, pos, owner, owner_pos); the owner is NULL for the first row of a seed in a chunk."""
+def _led(docs: DataFrame, chosen: Callable[[pa.RecordBatch], Rows]) -> DataFrame:
+    """(seed, doc, pos, owner, owner_pos, common) of the rows `chosen` takes from a batch.
+
+    The owner is NULL for the first document of a seed in a chunk; `common` says whether
+    the chunk has another one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()
@@ -88,11 +96,12 @@ def _seeds(docs: DataFrame) -> DataFrame:
             if not len(seed):
                 return pa.RecordBatch.from_pylist([], pa.schema([
                     ("seed", pa.int64()), ("doc", pa.int64()), ("pos", pa.int32()), ("owner", pa.int64()),
-                    ("owner_pos", pa.int32())]))
+                    ("owner_pos", pa.int32()), ("common", pa.bool_())]))
             order = np.lexsort((pos, doc, seed))
             seed, doc, pos = seed[order], doc[order], pos[order]
             first = np.concatenate(([True], seed[1:] != seed[:-1]))
-            leader = np.flatnonzero(first)[np.cumsum(first) - 1]
+            group = np.cumsum(first) - 1
+            leader = np.flatnonzero(first)[group]
             # Repeats within the first document go on as rows of their own.
             own = doc == doc[leader]
             empty = pa.array(own)
@@ -100,21 +109,21 @@ def _seeds(docs: DataFrame) -> DataFrame:
                 pa.array(seed.view(np.int64)), pa.array(doc), pa.array(pos.astype(np.int32)),
                 pc.if_else(empty, pa.scalar(None, pa.int64()), pa.array(doc[leader])),
                 pc.if_else(empty, pa.scalar(None, pa.int32()), pa.array(pos[leader].astype(np.int32))),
-            ], ["seed", "doc", "pos", "owner", "owner_pos"])
+                pa.array(np.logical_or.reduceat(~own, np.flatnonzero(first))[group]),
+            ], ["seed", "doc", "pos", "owner", "owner_pos", "common"])
 
         for whole in batches:
             for batch in text_slices(whole):
-                numbers, lengths = word_numbers(batch.column("text").to_pylist())
-                seed, text, pos = minimizers(numbers, lengths)
-                held.append((seed, batch.column("doc").to_numpy()[text], pos))
-                words += len(numbers)
+                rows = chosen(batch)
+                held.append(rows[:3])
+                words += rows[3]
                 if words > CHUNK_WORDS:
                     yield combined()
                     held, words = [], 0
-        if words:
+        if held:
             yield combined()
 
-    return docs.mapInArrow(run, "seed bigint, doc bigint, pos int, owner bigint, owner_pos int")
+    return docs.mapInArrow(run, "seed bigint, doc bigint, pos int, owner bigint, owner_pos int, common boolean")
 
 
 def _whole_keys(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.RecordBatch]:
@@ -136,8 +145,11 @@ def _whole_keys(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[p
         yield held
 
 
-def seed_matches(docs: DataFrame) -> DataFrame:
-    """(doc, pos, owner, owner_pos) of every seed of a document that a smaller one has too."""
+def _matches(led: DataFrame) -> DataFrame:
+    """(doc, pos, owner, owner_pos) of every seed of `led` that several documents have.
+
+    The owner is the smallest known document with the seed, and NULL in its own rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _whole_keys(batches, ["seed", "settled"]):
@@ -149,18 +161,35 @@ def seed_matches(docs: DataFrame) -> DataFrame:
                 continue
             seed, doc, pos = (rows.column(name).to_numpy() for name in ("seed", "doc", "pos"))
             first = np.concatenate(([True], seed[1:] != seed[:-1]))
-            leader = np.flatnonzero(first)[np.cumsum(first) - 1]
-            other = doc != doc[leader]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[other]), pa.array(pos[other]), pa.array(doc[leader][other]), pa.array(pos[leader][other])],
-                ["doc", "pos", "owner", "owner_pos"])
-
-    seeds = _seeds(docs).withColumn("settled", F.col("owner").isNotNull())
+            group = np.cumsum(first) - 1
+            leader = np.flatnonzero(first)[group]
+            own = doc == doc[leader]
+            common = rows.column("common").to_numpy(zero_copy_only=False) | ~own
+            common = np.logical_or.reduceat(common, np.flatnonzero(first))[group]
+            empty = pa.array(own[common])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(doc[common]), pa.array(pos[common]),
+                pc.if_else(empty, pa.scalar(None, pa.int64()), pa.array(doc[leader][common])),
+                pc.if_else(empty, pa.scalar(None, pa.int32()), pa.array(pos[leader][common])),
+            ], ["doc", "pos", "owner", "owner_pos"])
+
+    seeds = led.withColumn("settled", F.col("owner").isNotNull())
     place = F.when(F.col("settled"), F.xxhash64("doc", "pos")).otherwise(F.col("seed"))
     return seeds.repartition(place).sortWithinPartitions("settled", "seed", "doc", "pos").mapInArrow(
         run, "doc bigint, pos int, owner bigint, owner_pos int")
 
 
+def seed_matches(docs: DataFrame) -> DataFrame:
+    """The matches of the minimizers of the texts."""
+
+    def chosen(batch: pa.RecordBatch) -> Rows:
+        numbers, lengths = word_numbers(batch.column("text").to_pylist())
+        seed, text, pos = minimizers(numbers, lengths)
+        return seed, batch.column("doc").to_numpy()[text], pos, len(numbers)
+
+    return _matches(_led(docs, chosen))
+
+
 class Fenwick:
     """Largest value at places below one, with its item."""
 
@@ -184,13 +213,13 @@ class Fenwick:
         return best, item
 
 
-def chains(pos: list[int], owner_pos: list[int]) -> list[tuple[int, int, int, int, int]]:
-    """(start, end, owner_start, owner_end, seeds) of the chains of matches, best first; `pos` ascends."""
+def chains(pos: list[int], owner_pos: list[int]) -> list[tuple[int, int, int, int, list[int]]]:
+    """(start, end, owner_start, owner_end, members) of the chains of matches, best first; `pos` ascends."""
     n = len(pos)
     step = owner_pos[0] - pos[0]
     if all(b - a == step for a, b in zip(pos, owner_pos)) and all(
             b - a < SEED / GAP_COST / 2 for a, b in zip(pos, pos[1:])):
-        return [(pos[0], pos[-1] + SEED, owner_pos[0], owner_pos[-1] + SEED, n)]  # one diagonal
+        return [(pos[0], pos[-1] + SEED, owner_pos[0], owner_pos[-1] + SEED, list(range(n)))]  # one diagonal
     places = sorted(set(owner_pos))
     tree = Fenwick(len(places))
     score, back = [0.0] * n, [-1] * n
@@ -214,43 +243,98 @@ def chains(pos: list[int], owner_pos: list[int]) -> list[tuple[int, int, int, in
     for end in sorted(range(n), key=lambda k: (-score[k], k)):
         if used[end]:
             continue
-        at, count = end, 0
+        at, members = end, []
         while True:
             used[at] = True
-            count += 1
+            members.append(at)
             if back[at] < 0 or used[back[at]]:
                 break
             at = back[at]
-        out.append((pos[at], pos[end] + SEED, owner_pos[at], owner_pos[end] + SEED, count))
+        out.append((pos[at], pos[end] + SEED, owner_pos[at], owner_pos[end] + SEED, members[::-1]))
+    return out
+
+
+def pieces(pos: list[int], owner_pos: list[int]) -> list[list[int]]:
+    """[start, end, owner_start, owner_end] of the runs of equal words that the seeds of a chain make up."""
+    out: list[list[int]] = []
+    for a, b in zip(pos, owner_pos):
+        if out:
+            _, end, _, owner_end = out[-1]
+            if b - a == owner_end - end and a <= end:
+                out[-1][1], out[-1][3] = a + SEED, b + SEED
+                continue
+            over = max(end - a, owner_end - b, 0)
+            a, b = a + over, b + over
+            out.append([a, a + SEED - over, b, b + SEED - over])
+        else:
+            out.append([a, a + SEED, b, b + SEED])
     return out
 
 
-def chained(matches: DataFrame) -> DataFrame:
-    """(chain, doc, start, end, owner, owner_start, owner_end) of chains of MIN_CHAIN words or more."""
+def regions(pos: list[int], exact: list[tuple[int, int]], width: int) -> list[tuple[int, int]]:
+    """Ranges of the places where a run of `width` words may start that another document has too.
+
+    `pos` are the places of the seeds that others have. All `width` words of an equal run lie
+    on such seeds, but for WINDOW - 1 at either end. Runs within `exact` are known already.
+    """
+    out, first, last = [], None, None
+    for p in [*pos, None]:
+        if last is not None and (p is None or p > last + WINDOW):
+            if last + SEED - first >= width - 2 * (WINDOW - 1):
+                out.append((max(first - WINDOW + 1, 0), last + SEED + WINDOW - width))
+            first = p
+        elif first is None:
+            first = p
+        last = p
+    for start, end in exact:
+        known = start, end - width + 1
+        if known[0] < known[1]:
+            out = [part for a, b in out for part in ((a, min(b, known[0])), (max(a, known[1]), b)) if part[0] < part[1]]
+    return [part for part in out if part[0] < part[1]]
+
+
+_FOUND = "doc bigint, chain int, start int, end int, owner bigint, owner_start int, owner_end int"
+
+
+def chained(matches: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc, chain, start, end, owner, owner_start, owner_end) of the pieces of chains, a chain's in a row.
+
+    Rows without an owner are the `regions` of a document.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()
-        for batch in _whole_keys(batches, ["doc", "owner"]):
-            doc, owner = batch.column("doc").to_numpy(), batch.column("owner").to_numpy()
+        for batch in _whole_keys(batches, ["doc"]):
+            doc = batch.column("doc").to_numpy()
+            owner = batch.column("owner").to_pylist()
             pos, owner_pos = batch.column("pos").to_pylist(), batch.column("owner_pos").to_pylist()
-            cuts = np.flatnonzero((doc[1:] != doc[:-1]) | (owner[1:] != owner[:-1])) + 1
+            cuts = np.flatnonzero(doc[1:] != doc[:-1]) + 1
             rows = []
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(doc)]):
-                if b - a < 2:
-                    continue
-                for start, end, owner_start, owner_end, seeds in chains(pos[a:b], owner_pos[a:b]):
-                    if seeds > 1 and end - start >= MIN_CHAIN:
-                        rows.append((int(doc[a]), start, end, int(owner[a]), owner_start, owner_end))
+                chain, exact, name = 0, [], int(doc[a])
+                i = a
+                while i < b:
+                    j = i + 1
+                    while j < b and owner[j] == owner[i]:
+                        j += 1
+                    if owner[i] is not None:
+                        at, owner_at = pos[i:j], owner_pos[i:j]
+                        for *_, members in chains(at, owner_at):
+                            for piece in pieces([at[k] for k in members], [owner_at[k] for k in members]):
+                                rows.append((name, chain, piece[0], piece[1], owner[i], piece[2], piece[3]))
+                                exact.append((piece[0], piece[1]))
+                            chain += 1
+                    i = j
+                for start, end in regions(sorted(set(pos[a:b])), exact, min_words):
+                    rows.append((name, None, start, end, None, None, None))
             if rows:
-                types = [pa.int64(), pa.int32(), pa.int32()] * 2
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(column, kind) for column, kind in zip(zip(*rows), types)],
-                    ["doc", "start", "end", "owner", "owner_start", "owner_end"])
+                    [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)],
+                    ["doc", "chain", "start", "end", "owner", "owner_start", "owner_end"])
 
     sorted_matches = matches.repartition("doc").sortWithinPartitions("doc", "owner", "pos", "owner_pos")
-    return sorted_matches.mapInArrow(
-        run, "doc bigint, start int, end int, owner bigint, owner_start int, owner_end int").withColumn(
-        "chain", F.monotonically_increasing_id())
+    return sorted_matches.mapInArrow(run, _FOUND).withColumn("piece", F.monotonically_increasing_id())
 
 
 def _blocks(docs: DataFrame, slots: np.ndarray) -> DataFrame:
@@ -282,95 +366,168 @@ def _blocks(docs: DataFrame, slots: np.ndarray) -> DataFrame:
     return docs.mapInArrow(run, "doc bigint, block int, words binary")
 
 
-def extended(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    """How far two word lists align from their start, with substitutions and gaps of up to two words.
+def alignment(a: list[int], b: list[int]) -> tuple[int, int, int]:
+    """How far two word lists align from their start, with substitutions and gaps of up to two words; the words that agree.
 
     A difference is passed if at least three of the next four words agree again.
     """
-    i = j = 0
-    end_i = end_j = 0
+    i = j = same = 0
+    end = 0, 0, 0
     while i < len(a) and j < len(b):
         if a[i] == b[j]:
-            i, j = i + 1, j + 1
-            end_i, end_j = i, j
+            i, j, same = i + 1, j + 1, same + 1
+            end = i, j, same
             continue
         best = None
+        if set(a[i:i + 6]).isdisjoint(b[j:j + 6]):
+            break
         for di, dj in ((1, 1), (1, 0), (0, 1), (2, 2), (2, 1), (1, 2), (2, 0), (0, 2)):
-            x, y = a[i + di:i + di + 4], b[j + dj:j + dj + 4]
-            n = min(len(x), len(y))
-            same = int((x[:n] == y[:n]).sum())
-            if same >= 3 and (best is None or same > best[0]):
-                best = same, di, dj
+            agree = sum(x == y for x, y in zip(a[i + di:i + di + 4], b[j + dj:j + dj + 4]))
+            if agree >= 3 and (best is None or agree > best[0]):
+                best = agree, di, dj
         if best is None:
             break
         i, j = i + best[1], j + best[2]
-    return end_i, end_j
+    return end
+
+
+def extended(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
+    return alignment(a.tolist(), b.tolist())[:2]
 
 
-def aligned(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """Chains with their ends moved outwards as far as the words align."""
-    # At most SLOTS small numbers.
-    slots = found.select(F.explode(F.array("doc", "owner")).alias("doc")).select(
-        F.pmod("doc", F.lit(SLOTS)).alias("slot")).distinct().toArrow()["slot"].to_numpy()
-    blocks = _blocks(docs, slots.astype(np.int64))
+def _slots(found: DataFrame) -> np.ndarray:
+    """Residues of the documents and owners of `found`: at most SLOTS small numbers."""
+    return found.where("owner IS NOT NULL").select(F.explode(F.array("doc", "owner")).alias("doc")).select(
+        F.pmod("doc", F.lit(SLOTS)).alias("slot")).distinct().toArrow()["slot"].to_numpy().astype(np.int64)
 
-    def asked(side: int, doc: str, start: str, end: str) -> DataFrame:
-        ranges = F.array(
-            F.struct(F.lit(side).alias("side"), F.greatest(F.col(start) - MARGIN, F.lit(0)).alias("from"), F.col(start).alias("to")),
-            F.struct(F.lit(side + 1).alias("side"), F.col(end).alias("from"), (F.col(end) + MARGIN).alias("to")))
-        return found.select("chain", F.col(doc).alias("doc"), F.explode(ranges).alias("r")).where("r.to > r.from").select(
-            "chain", "doc", "r.*", F.explode(F.sequence(
-                (F.col("r.from") / BLOCK).cast("int"), ((F.col("r.to") - 1) / BLOCK).cast("int"))).alias("block"))
 
-    wanted = asked(0, "doc", "start", "end").unionByName(asked(2, "owner", "owner_start", "owner_end"))
+def _moved(edges: DataFrame, blocks: DataFrame, margin: int) -> DataFrame:
+    """(edge, i, j, same, more): how far the words align from the edges on, for at most `margin` words.
+
+    `more` says that the margin ended it.
+    """
+
+    def asked(side: int, doc: str, at: str, limit: str) -> DataFrame:
+        low = F.when(F.col("ahead"), F.col(at)).otherwise(F.greatest(F.col(at) - margin, F.col(limit)))
+        high = F.when(F.col("ahead"), F.least(F.col(at) + margin, F.col(limit))).otherwise(F.col(at))
+        return edges.select("edge", "ahead", F.lit(side).alias("side"), F.col(doc).alias("doc"), low.alias("from"), high.alias("to")).select(
+            "*", F.explode(F.sequence((F.col("from") / BLOCK).cast("int"), ((F.col("to") - 1) / BLOCK).cast("int"))).alias("block"))
+
+    wanted = asked(0, "doc", "at", "limit").unionByName(asked(1, "owner", "owner_at", "owner_limit"))
     # Rows with the same id have the same blocks twice.
-    got = wanted.join(blocks, ["doc", "block"]).select("chain", "side", "from", "to", "block", "words")
+    got = wanted.join(blocks, ["doc", "block"]).select("edge", "ahead", "side", "from", "to", "block", "words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()
-        for batch in _whole_keys(batches, ["chain"]):
-            sides: dict[int, dict[int, np.ndarray]] = {}
+        for batch in _whole_keys(batches, ["edge"]):
+            sides: tuple[dict[int, list[int]], ...] = {}, {}
             rows = []
-            columns = [batch.column(i).to_pylist() for i in range(6)]
-            for i, (chain, side, low, high, block, words) in enumerate(zip(*columns)):
-                values = np.frombuffer(words, "<u4")
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            for i, (edge, ahead, side, low, high, block, words) in enumerate(zip(*columns)):
                 first = block * BLOCK
-                part = values[max(low - first, 0):max(high - first, 0)]
-                sides.setdefault(side, {}).setdefault(block, part)
-                if i + 1 == batch.num_rows or columns[0][i + 1] != chain:
-                    whole = {s: np.concatenate([parts[b] for b in sorted(parts)]) for s, parts in sides.items()}
-                    none = np.zeros(0, "<u4")
-                    left = extended(whole.get(0, none)[::-1], whole.get(2, none)[::-1])
-                    right = extended(whole.get(1, none), whole.get(3, none))
-                    rows.append((chain, *left, *right))
-                    sides = {}
+                sides[side].setdefault(block, np.frombuffer(words, "<u4")[max(low - first, 0):max(high - first, 0)].tolist())
+                if i + 1 == batch.num_rows or columns[0][i + 1] != edge:
+                    a, b = ([word for at in sorted(parts) for word in parts[at]] for parts in sides)
+                    if not ahead:
+                        a, b = a[::-1], b[::-1]
+                    x, y, same = alignment(a, b)
+                    # Differences within the last words of the margin can not be judged yet.
+                    more = x > 0 and any(len(part) == margin and at >= margin - SEED for part, at in ((a, x), (b, y)))
+                    rows.append((edge, x, y, same, more))
+                    sides = {}, {}
             yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(zip(*rows), [pa.int64()] + [pa.int32()] * 4)],
-                ["chain", "left", "owner_left", "right", "owner_right"])
+                [pa.array(column, kind) for column, kind in zip(zip(*rows), [pa.int64()] + [pa.int32()] * 3 + [pa.bool_()])],
+                ["edge", "i", "j", "same", "more"])
+
+    return got.repartition("edge").sortWithinPartitions("edge", "side", "block").mapInArrow(
+        run, "edge bigint, i int, j int, same int, more boolean")
+
 
-    moved = got.repartition("chain").sortWithinPartitions("chain", "side", "block").mapInArrow(
-        run, "chain bigint, left int, owner_left int, right int, owner_right int")
-    grown = found.join(moved, "chain", "left").na.fill(0, ["left", "owner_left", "right", "owner_right"])
-    return grown.select(
-        "doc", (F.col("start") - F.col("left")).alias("start"), (F.col("end") + F.col("right")).alias("end"), "owner",
-        (F.col("owner_start") - F.col("owner_left")).alias("owner_start"),
-        (F.col("owner_end") + F.col("owner_right")).alias("owner_end"))
+def _edges(found: DataFrame) -> DataFrame:
+    """(edge, ahead, doc, at, limit, owner, owner_at, owner_limit) of both ends of every piece, up to its neighbours in the chain."""
+    window = Window.partitionBy("doc", "chain").orderBy("start")
+    near = found.withColumns({
+        "before": F.coalesce(F.lag("end").over(window), F.lit(0)), "owner_before": F.coalesce(F.lag("owner_end").over(window), F.lit(0)),
+        "after": F.coalesce(F.lead("start").over(window), F.lit(FAR)), "owner_after": F.coalesce(F.lead("owner_start").over(window), F.lit(FAR))})
+    ends = F.array(
+        F.struct((2 * F.col("piece")).alias("edge"), F.lit(False).alias("ahead"), F.col("start").alias("at"), F.col("before").alias("limit"),
+                 F.col("owner_start").alias("owner_at"), F.col("owner_before").alias("owner_limit")),
+        F.struct((2 * F.col("piece") + 1).alias("edge"), F.lit(True).alias("ahead"), F.col("end").alias("at"), F.col("after").alias("limit"),
+                 F.col("owner_end").alias("owner_at"), F.col("owner_after").alias("owner_limit")))
+    return near.select("doc", "owner", F.explode(ends).alias("e")).select("doc", "owner", "e.*").where(
+        "at != limit AND owner_at != owner_limit")
+
+
+def aligned(found: DataFrame, docs: DataFrame, slots: np.ndarray, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc, start, end, owner, owner_start) of what aligns, of `min_words` equal words or more.
+
+    Pieces are moved outwards as far as the words align, in rounds of growing margins. Those of a
+    chain are one alignment only if they meet, but for up to MERGE_GAP words on both sides.
+    """
+    blocks = stage(_blocks(docs, slots), "blocks")
+    edges, margin, moves = stage(_edges(found), "edges"), MARGIN, []
+    while True:
+        moves.append(stage(_moved(edges, blocks, margin), "moves"))
+        more = moves[-1].where("more")
+        if more.isEmpty():
+            break
+        sign = F.when(F.col("ahead"), 1).otherwise(-1)
+        edges = stage(edges.join(more, "edge").select(
+            "edge", "ahead", "doc", (F.col("at") + sign * F.col("i")).alias("at"), "limit", "owner",
+            (F.col("owner_at") + sign * F.col("j")).alias("owner_at"), "owner_limit").where(
+            "at != limit AND owner_at != owner_limit"), "edges")
+        margin = min(4 * margin, MOST_MARGIN)
+    total = reduce(DataFrame.unionByName, moves).groupBy("edge").agg(*[F.sum(c).cast("int").alias(c) for c in ("i", "j", "same")])
+    total = total.groupBy(F.shiftright("edge", 1).alias("piece")).agg(*[
+        F.coalesce(F.max(F.when(F.col("edge") % 2 == side, F.col(c))), F.lit(0)).alias(f"{c}{side}")
+        for side in (0, 1) for c in ("i", "j", "same")])
+    counts = [f"{c}{side}" for side in (0, 1) for c in ("i", "j", "same")]
+    grown = found.join(total, "piece", "left").na.fill(0, counts).select(
+        "doc", "chain", "start", "end", "owner", "owner_start", "owner_end", *counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_keys(batches, ["doc", "chain"]):
+            rows, now = [], None
+            for doc, chain, start, end, owner, owner_start, owner_end, i0, j0, same0, i1, j1, same1 in zip(
+                    *(batch.column(i).to_pylist() for i in range(13))):
+                if now is not None and now["key"] == (doc, chain):
+                    gap, owner_gap = start - now["end"], owner_start - now["owner_end"]
+                    if gap - now["i"] - i0 <= MERGE_GAP and owner_gap - now["j"] - j0 <= MERGE_GAP:
+                        now["words"] += end - start + min(now["same"] + same0, gap, owner_gap)
+                        now.update(end=end, owner_end=owner_end, i=i1, j=j1, same=same1)
+                        continue
+                if now is not None:
+                    rows.append(now)
+                now = {"key": (doc, chain), "start": start - i0, "owner": owner, "owner_start": owner_start - j0, "end": end,
+                       "owner_end": owner_end, "words": end - start + same0, "i": i1, "j": j1, "same": same1}
+            rows = [(r["key"][0], r["start"], r["end"] + r["i"], r["owner"], r["owner_start"])
+                    for r in [*rows, now] if r["words"] + r["same"] >= min_words]
+            if rows:
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)],
+                    ["doc", "start", "end", "owner", "owner_start"])
+
+    return grown.repartition("doc").sortWithinPartitions("doc", "chain", "start").mapInArrow(
+        run, "doc bigint, start int, end int, owner bigint, owner_start int")
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, start_word, n_words, other_doc, other_start): what a document repeats of smaller documents.
 
-    Alignments of one document that touch or overlap are one passage, whichever documents
-    they are with; the partner named is that of the longest of them.
+    Each passage has `min_words` words of one other document. Those of one document that
+    touch or overlap are one passage, whichever documents they are with; the partner named
+    is that of the longest of them.
     """
     docs = _numbered(docs)
-    found = stage(chained(seed_matches(docs)), "chains")
+    found = stage(chained(seed_matches(docs), min_words), "chains")
+    slots = _slots(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _whole_keys(batches, ["doc"]):
             rows, now = [], None
             for doc, start, end, owner, owner_start in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if now is not None and now[0] == doc and start <= now[2] + MERGE_GAP:
+                if now is not None and now[0] == doc and start <= now[2]:
                     if end - start > now[5]:
                         now[3], now[4], now[5] = owner, owner_start, end - start
                     now[2] = max(now[2], end)
@@ -378,16 +535,15 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     if now is not None:
                         rows.append(now)
                     now = [doc, start, end, owner, owner_start, end - start]
-            rows = [row for row in [*rows, now] if row[2] - row[1] >= min_words]
-            if rows:
-                doc, start, end, owner, owner_start, _ = zip(*rows)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(doc, pa.int64()), pa.array(start, pa.int32()),
-                    pa.array([e - s for s, e in zip(start, end)], pa.int32()), pa.array(owner, pa.int64()),
-                    pa.array(owner_start, pa.int32())], ["doc", "start_word", "n_words", "other_doc", "other_start"])
+            doc, start, end, owner, owner_start, _ = zip(*rows, now)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(doc, pa.int64()), pa.array(start, pa.int32()),
+                pa.array([e - s for s, e in zip(start, end)], pa.int32()), pa.array(owner, pa.int64()),
+                pa.array(owner_start, pa.int32())], ["doc", "start_word", "n_words", "other_doc", "other_start"])
 
+    pairs = found.where("owner IS NOT NULL")
     return (
-        aligned(found, docs).select("doc", "start", "end", "owner", "owner_start")
+        aligned(pairs, docs, slots, min_words)
         .repartition("doc").sortWithinPartitions("doc", "start", F.desc("end"), "owner")
         .mapInArrow(run, "doc bigint, start_word int, n_words int, other_doc bigint, other_start int")
     )
