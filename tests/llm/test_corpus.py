@@ -110,6 +110,15 @@ def test_unshared_text_within_a_chain_stays(spark):
     assert 400 <= len(found[7]) <= 420
 
 
+@pytest.mark.parametrize("period", [1, 2, 7, 12, 15])
+def test_periodic_passages(spark, period):
+    line = [f"m{k}" for k in range(period)]
+    run = (line * 60)[:60]
+    found = _found(spark, {i: " ".join([_own(f"d{i}_", 30), *run[i % period:], *run[:i % period], _own(f"t{i}_", 30)]) for i in (1, 2)})
+    same = 60 - max(i % period for i in (1, 2))
+    assert len(found[2]) >= same and found[2] <= set(range(30, 90)) and 1 not in found
+
+
 def test_lm_scores(spark, corpus):
     rows = [(r.doc_id, r.text) for r in corpus.select("doc_id", "text").collect()]
     tokens = [(doc_id, [*(text or "").encode().lower().split(), b" "]) for doc_id, text in rows]

@@ -7,7 +7,9 @@ it: a star, not the pairs of all that share it. Matches of a document with an ow
 chained: a Fenwick tree finds for every match the best chain it can prolong, with both
 positions growing and gaps costing. The gaps of chains and what lies beyond their ends are
 aligned word by word with substitutions and gaps; where a gap does not align, the chain is
-split. Equal words, not the span, make up the length of a passage.
+split. Equal words, not the span, make up the length of a passage. Where seeds that others
+have lie close together, every run of MIN_WORDS words is matched as a whole too, so that
+equal runs are found whichever documents have their seeds, and also if they are periodic.
 
 Skew: a seed that many documents share is combined within its task first; only the first
 row of a task goes to the owner of the seed, the others match that row. So a seed has at
@@ -512,6 +514,55 @@ def aligned(found: DataFrame, docs: DataFrame, slots: np.ndarray, min_words: int
         run, "doc bigint, start int, end int, owner bigint, owner_start int")
 
 
+def equal_runs(found: DataFrame, docs: DataFrame, slots: np.ndarray, width: int = MIN_WORDS) -> DataFrame:
+    """(doc, start, end, owner, owner_start) of equal runs of `width` words or more within the `regions`.
+
+    Every run of `width` words is matched as a whole. So it is found whichever documents have its
+    seeds, and also if it is one line over and over.
+    """
+    bits = np.zeros(SLOTS, bool)
+    bits[slots] = True
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(wanted[batch.column("doc").to_numpy() % SLOTS]))
+
+    spans = found.where("owner IS NULL").groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    texts = docs.mapInArrow(linked, "doc bigint, text string").join(spans, "doc")
+
+    def chosen(batch: pa.RecordBatch) -> Rows:
+        numbers, lengths = word_numbers(batch.column("text").to_pylist())
+        every = runs(numbers, width)
+        at, text, first = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        starts = []
+        for i, (length, parts) in enumerate(zip(lengths.tolist(), batch.column("spans").to_pylist())):
+            for part in parts:
+                places = np.arange(part["start"], min(part["end"], length - width + 1))
+                at.append(places)
+                text.append(np.full(len(places), i))
+            starts.append(first)
+            first += length
+        pos, text = np.concatenate(at), np.concatenate(text)
+        seed = every[pos + np.array(starts, np.int64)[text]] if len(pos) else np.zeros(0, np.uint64)
+        return seed, batch.column("doc").to_numpy()[text], pos, len(numbers)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _whole_keys(batches, ["doc"]):
+            doc, pos, owner, owner_pos = (batch.column(i).to_numpy() for i in range(4))
+            first = np.concatenate(([True], (doc[1:] != doc[:-1]) | (owner[1:] != owner[:-1]) | (pos[1:] != pos[:-1] + 1)
+                                    | (owner_pos[1:] != owner_pos[:-1] + 1)))
+            start = np.flatnonzero(first)
+            last = np.concatenate((start[1:], [len(doc)])) - 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[start]), pa.array(pos[start]), pa.array(pos[last] + np.int32(width)), pa.array(owner[start]),
+                 pa.array(owner_pos[start])], ["doc", "start", "end", "owner", "owner_start"])
+
+    return _matches(_led(texts, chosen)).where("owner IS NOT NULL").repartition("doc").sortWithinPartitions(
+        "doc", "pos", "owner", "owner_pos").mapInArrow(run, "doc bigint, start int, end int, owner bigint, owner_start int")
+
+
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, start_word, n_words, other_doc, other_start): what a document repeats of smaller documents.
 
@@ -543,7 +594,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     pairs = found.where("owner IS NOT NULL")
     return (
-        aligned(pairs, docs, slots, min_words)
+        aligned(pairs, docs, slots, min_words).unionByName(equal_runs(found, docs, slots, min_words))
         .repartition("doc").sortWithinPartitions("doc", "start", F.desc("end"), "owner")
         .mapInArrow(run, "doc bigint, start_word int, n_words int, other_doc bigint, other_start int")
     )
