@@ -119,6 +119,37 @@ def test_periodic_passages(spark, period):
     assert len(found[2]) >= same and found[2] <= set(range(30, 90)) and 1 not in found
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_passage_that_the_owner_has_in_part(spark, parts):
+    passage = _own("s", 56).split()
+    found = _found(spark, {
+        1: " ".join(["x1", *passage[:44], _own("a", 40)]), 2: " ".join(["x2", _own("b", 30), *passage, _own("b_", 9)]),
+        3: " ".join([_own("c", 20), *passage, _own("c_", 9)])}, parts)
+    assert found == {3: set(range(20, 76))}
+
+
+def test_equal_runs_against_brute_force(spark):
+    seed = random.Random(3)
+    base = [[f"{k}v{seed.randrange(90)}" for _ in range(120)] for k in range(4)]
+    texts = {}
+    for i in range(1, 60):
+        words = []
+        for _ in range(6):
+            part, at = base[seed.randrange(4)], seed.randrange(100)
+            words += part[at:at + seed.randrange(30, 70)] + [f"u{i}" for _ in range(seed.randrange(4))]
+        texts[i] = " ".join(words)
+    want, held = defaultdict(set), set()
+    for i, text in texts.items():
+        words = text.split()
+        grams = [tuple(words[p:p + 50]) for p in range(len(words) - 49)]
+        for p, gram in enumerate(grams):
+            if gram in held:
+                want[i] |= set(range(p, p + 50))
+        held |= set(grams)
+    found = _found(spark, texts, 3)
+    assert want and all(want[i] <= found[i] for i in want)
+
+
 def test_lm_scores(spark, corpus):
     rows = [(r.doc_id, r.text) for r in corpus.select("doc_id", "text").collect()]
     tokens = [(doc_id, [*(text or "").encode().lower().split(), b" "]) for doc_id, text in rows]
