@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import bpe, html_text, langid, licenses, maxent, merkle, ngram_join, packing, quality, substring
+from tradewind.llm import (
+    bpe, html_text, langid, lexical, licenses, maxent, merkle, negatives, ngram_join, packing, quality, substring,
+    url_templates,
+)
 from tradewind.llm.common import read_table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -27,7 +30,14 @@ QUERIES: dict[str, Run] = {
     "op8_html_extraction": _over("pages", html_text.op8_html_extraction),
     "op9_quality_rules": _over("documents", quality.op9_quality_rules),
     "op10_byte_bpe": _over("documents", bpe.op10_byte_bpe),
+    "op11_hard_negatives": _over("embeddings", negatives.op11_hard_negatives),
+    "op12_url_filter": _over("pages", url_templates.op12_url_filter),
+    "op13_ranked_search": lambda spark, sf_dir: lexical.op13_ranked_search(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")),
 }
 SQL: dict[str, str] = {
     "op9_quality_rules": quality.OP9_SQL,
+    "op11_hard_negatives": negatives.OP11_SQL,
+    "op12_url_filter": url_templates.OP12_SQL,
+    "op13_ranked_search": lexical.OP13_SQL,
 }
