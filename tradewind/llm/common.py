@@ -24,11 +24,17 @@ def crc_share(doc_id: Column, modulus: int) -> Column:
 
 
 def clear_of(df: DataFrame, *names: str) -> DataFrame:
-    """Rename columns of `df` that clash with the names an operator is about to add."""
+    """Rename columns of `df` that clash with the names an operator is about to add: `x` to `x_given`, `x_given_given`, ..."""
+    taken = {*df.columns, *names}
+    renamed = {}
     for name in names:
-        while name in df.columns:
-            df = df.withColumnRenamed(name, f"{name}_given") if f"{name}_given" not in df.columns else df.drop(name)
-    return df
+        if name in df.columns:
+            free = f"{name}_given"
+            while free in taken:
+                free += "_given"
+            taken.add(free)
+            renamed[name] = free
+    return df.withColumnsRenamed(renamed) if renamed else df
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:

@@ -20,8 +20,8 @@ Defined cases: a URL that is NULL or has no `://` has an empty host and an empty
 is a host of its own without rules. Without any label nothing is rejected. Repeated URLs
 and ids are judged row by row and all count. A rule without a path, or the same rule with two
 verdicts, fits as written; of fitting rules of one length the greater in text order wins.
-An empty table gives no rows. The columns `host`, `path`, `rule`, `verdict`, `template` and `purity`
-of the input are not kept. Very long URLs cost their length.
+An empty table gives no rows. A column of the input that has the name of one of the result
+is kept as `<name>_given`. Very long URLs cost their length.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import stage
+from tradewind.llm.common import clear_of, stage
 
 DEPTH = 6
 MOST_CHILDREN = 20
@@ -173,9 +173,10 @@ def template_verdicts(urls: DataFrame) -> DataFrame:
 
 def judge(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """Add host, path, rule, verdict, template and purity to `urls`; the verdicts of the rules are the labels."""
-    own = [name for name in urls.columns if name not in ("host", "path", "rule", "verdict", "template", "purity")]
     host, path = host_and_path(F.col(f"`{url}`"))
-    parsed = urls.select(F.struct(*[F.col(f"`{name}`") for name in own]).alias("_row"), host.alias("host"), path.alias("path"))
+    kept = clear_of(urls, "host", "path", "rule", "verdict", "template", "purity").columns
+    row = F.struct(*[F.col(f"`{given}`").alias(name) for given, name in zip(urls.columns, kept)])
+    parsed = urls.select(row.alias("_row"), host.alias("host"), path.alias("path"))
     parsed = stage(with_rule(parsed.withColumn("shape", path_shape(F.col("path"))), rules), "urls")
     verdicts = template_verdicts(parsed.select("host", "shape", F.col("rule_verdict").alias("label")))
     method = F.when(F.col("rejected"), BLOCK).otherwise(ALLOW)
