@@ -9,22 +9,22 @@ of one period ago:
     b' = beta (l' - l) + (1 - beta) b
     s' = gamma (y - l - b) + (1 - gamma) s
 
-The fold starts from the means of the first two periods. Parameters are those with
-the least sum of squared one-step errors, first on a coarse grid, then on a fine one
-around its winner.
+A series is fitted to the least sum of squared one-step errors. By default its starting
+states are estimated together with the parameters (`estimate.py`). With `start='means'` it starts
+from the means of the first two periods, and its parameters are the best of a coarse grid
+and of a fine one around the winner.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import product
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import year_month
+from tradewind.operators import estimate
 
 ALPHAS = (0.05, 0.1, 0.2, 0.4, 0.6, 0.8)
 BETAS = (0.0, 0.01, 0.05, 0.1, 0.2)
@@ -81,89 +81,111 @@ def _smooth(period: int, alpha: Column, beta: Column, gamma: Column, keep_fits:
     return F.aggregate("_values", start, step)
 
 
-def _squared_errors(values: np.ndarray, level: float, trend: float, season: np.ndarray,
-                    alpha: np.ndarray, beta: np.ndarray, gamma: np.ndarray) -> np.ndarray:
-    """The squared error of one series for many parameter sets at once."""
-    period = len(season)
-    seasons = np.repeat(season[:, None], len(alpha), axis=1)
-    errors = np.zeros(len(alpha))
-    for day, y in enumerate(values):
-        past = seasons[day % period]
-        expected = level + trend
-        error = y - (expected + past)
-        errors = errors + error * error
-        new = alpha * (y - past) + (1 - alpha) * expected
-        trend = beta * (new - level) + (1 - beta) * trend
-        seasons[day % period] = gamma * (y - expected) + (1 - gamma) * past
-        level = new
-    return errors
+def _starting_at(rows: DataFrame, found: Column) -> DataFrame:
+    """Rows with parameters and starting states as found by a function over the values; NULL for short series."""
+    return rows.withColumn("_found", found).select(
+        *[F.col(name) for name in rows.columns if name not in _START], "_found.*")
 
 
-def _best_parameters(coarse: Sequence[Sequence[float]], fine: Sequence[Sequence[float]] | None):
-    """A column function from the values and starting states of a series to its best parameters.
+def _grid_search(period: int, coarse: Sequence[Sequence[float]], fine: Sequence[Sequence[float]] | None):
+    """A column function from the values of a series to the best parameters of the grid.
 
     The recursion cannot be vectorised over time, and folding an array once per parameter
     set costs some microseconds per day and set in interpreted expressions. Arrow batches
-    of series with NumPy running all sets of the grid side by side cost about a thirtieth of that.
+    of series, with NumPy running all sets of all series side by side, cost a small part of that.
     """
-    def search(start: tuple, candidates: Sequence[Sequence[float]]) -> tuple[float, float, float]:
-        # Sorted, without repetitions: argmin takes the lowest of equal sets.
-        points = np.array(sorted(set(product(*candidates))))
-        errors = _squared_errors(*start, *points.T)
-        errors[np.isnan(errors)] = np.inf
-        return tuple(points[np.argmin(errors)])
-
     @F.pandas_udf("alpha DOUBLE, beta DOUBLE, gamma DOUBLE")
-    def best(values: pd.Series, level: pd.Series, trend: pd.Series, season: pd.Series) -> pd.DataFrame:
-        found = []
-        for start in zip(values, level, trend, season):
-            if start[3] is None:
-                found.append((None, None, None))
-                continue
-            chosen = search(start, coarse)
-            if fine is not None:
-                chosen = search(start, [[min(max(center + step, 0.0), 1.0) for step in steps]
-                                        for center, steps in zip(chosen, fine)])
-            found.append(chosen)
-        return pd.DataFrame(found, columns=["alpha", "beta", "gamma"], dtype="float64")
+    def best(values: pd.Series, long_enough: pd.Series) -> pd.DataFrame:
+        found = pd.DataFrame(None, index=values.index, columns=["alpha", "beta", "gamma"], dtype="float64")
+        for at, padded, days in estimate.blocks(list(values[long_enough])):
+            found.loc[values.index[long_enough][at]] = estimate.best_of_grid(padded, days, period, coarse, fine)[0]
+        return found
+
+    return best
+
+
+_FOUND = "alpha DOUBLE, beta DOUBLE, gamma DOUBLE, _level DOUBLE, _trend DOUBLE, _season ARRAY<DOUBLE>, grid_sse DOUBLE"
+
+
+def _estimation(period: int, coarse: Sequence[Sequence[float]], fine: Sequence[Sequence[float]] | None,
+                given: Sequence[float] | None = None):
+    """A column function from the values of a series to its parameters and starting states.
+
+    With `given` parameters only the states are estimated, and there is no `grid_sse`.
+    """
+    @F.pandas_udf(_FOUND)
+    def best(values: pd.Series, long_enough: pd.Series) -> pd.DataFrame:
+        rows = [(None,) * 7] * len(values)
+        chosen = [i for i, enough in enumerate(long_enough) if enough]
+        series = [values.iloc[i] for i in chosen]
+        if given is None:
+            parameters, states, errors = estimate.estimated(series, period, coarse, fine)
+        else:
+            parameters, states = [given] * len(series), estimate.states_for(series, period, given)
+            errors = [None] * len(series)
+        for i, p, x, e in zip(chosen, parameters, states, errors):
+            rows[i] = (*map(float, p), float(x[0]), float(x[1]), x[2:].tolist(), e)
+        found = pd.DataFrame(rows, columns=[field.split()[0] for field in _FOUND.split(", ")])
+        return found.astype({name: "float64" for name in found.columns if name != "_season"})
 
     return best
 
 
+def _spread(rows: DataFrame, series: Sequence[str]) -> DataFrame:
+    """Series over all tasks: a row is small, but its search is not, so partitions must not be merged by their bytes."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, *series) if series else rows
+
+
 def fit(
     train: DataFrame, series: Sequence[str] = (), period: int = PERIOD,
     alphas: Sequence[float] = ALPHAS, betas: Sequence[float] = BETAS, gammas: Sequence[float] = GAMMAS,
-    fine_steps: Sequence[Sequence[float]] | None = FINE_STEPS,
+    fine_steps: Sequence[Sequence[float]] | None = FINE_STEPS, start: str = "estimated",
 ) -> DataFrame:
     """A model row per dense training series.
 
-    A series too short to fit has NULL parameters and a `reason`.
+    A series too short to fit has NULL parameters and a `reason`. With `start='estimated'` the
+    column `grid_sse` has the error of `start='means'`, which `sse` does not exceed.
     """
-    best = _best_parameters((alphas, betas, gammas), fine_steps)
-    rows = _series_rows(train, period, series).withColumn("_best", best("_values", *_START))
-    return _models(rows.select("*", "_best.*"), series, period)
+    rows = _spread(_series_rows(train, period, series), series)
+    enough = F.col("reason").isNull()
+    if start == "means":
+        found = _grid_search(period, (alphas, betas, gammas), fine_steps)("_values", enough)
+        return _models(rows.withColumn("_best", found).select("*", "_best.*"), series, period)
+    if start != "estimated":
+        raise ValueError(f"start is 'estimated' or 'means', not {start!r}")
+    found = _estimation(period, (alphas, betas, gammas), fine_steps)("_values", enough)
+    return _models(_starting_at(rows, found), series, period)
 
 
 def smooth(
     train: DataFrame, alpha: float, beta: float, gamma: float, series: Sequence[str] = (), period: int = PERIOD,
+    start: str = "means",
 ) -> DataFrame:
-    """Model rows with given parameters."""
-    rows = _series_rows(train, period, series).withColumns(
-        {"alpha": F.lit(alpha), "beta": F.lit(beta), "gamma": F.lit(gamma)})
-    return _models(rows, series, period)
+    """Model rows with given parameters, from the means of the first periods or from estimated states."""
+    rows = _series_rows(train, period, series)
+    if start == "estimated":
+        found = _estimation(period, (), None, (alpha, beta, gamma))("_values", F.col("reason").isNull())
+        return _models(_starting_at(_spread(rows, series), found).drop("grid_sse"), series, period)
+    if start != "means":
+        raise ValueError(f"start is 'estimated' or 'means', not {start!r}")
+    return _models(rows.withColumns({"alpha": F.lit(alpha), "beta": F.lit(beta), "gamma": F.lit(gamma)}), series, period)
 
 
 def _models(rows: DataFrame, series: Sequence[str], period: int) -> DataFrame:
     state = F.when(F.col("reason").isNull(), _smooth(period, F.col("alpha"), F.col("beta"), F.col("gamma")))
     return rows.withColumn("_state", state).select(
         *series, "alpha", "beta", "gamma", "_state.level", "_state.trend", "_state.season", "_state.sse",
-        "n_train", "last_date", "reason")
+        "n_train", "last_date", "reason",
+        *[F.when(F.col("reason").isNull(), F.col(name)).alias(f"start{name}") for name in _START],
+        *[name for name in ("grid_sse",) if name in rows.columns])
 
 
 def fitted(train: DataFrame, models: DataFrame, series: Sequence[str] = (), period: int = PERIOD) -> DataFrame:
     """The one-step fits of the training days the models were fitted to."""
-    fittable = models.where("reason IS NULL").select(*series, "last_date", "alpha", "beta", "gamma")
-    rows = _series_rows(train, period, series).drop("reason").join(fittable, [*series, "last_date"])
+    fittable = models.where("reason IS NULL").select(
+        *series, "last_date", "alpha", "beta", "gamma", *[F.col(f"start{name}").alias(name) for name in _START])
+    rows = _series_rows(train, period, series).drop("reason", *_START).join(fittable, [*series, "last_date"])
     fits = _smooth(period, F.col("alpha"), F.col("beta"), F.col("gamma"), keep_fits=True)["fits"]
     return (
         rows.select(*series, "last_date", "n_train", F.posexplode(fits).alias("_at", "fitted"))

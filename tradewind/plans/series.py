@@ -160,7 +160,7 @@ def _compared(spark, sf_dir):
           LIMIT 1""")
 def hw_grid_fit(spark, sf_dir):
     daily = stage(_split(spark, sf_dir), "daily")
-    model = hw.fit(daily.where("split = 'train'"))
+    model = hw.fit(daily.where("split = 'train'"), start="means")
     return model.select(
         *[F.round(name, 6).alias(name) for name in ("alpha", "beta", "gamma")], F.round("level", 3).alias("level"),
         F.round("trend", 3).alias("trend"), F.round(F.sqrt(F.col("sse") / F.col("n_train")), 3).alias("train_rmse"),
