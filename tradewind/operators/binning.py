@@ -45,3 +45,20 @@ def rank_score(row_number: Column | str, rows: int, bins: int) -> Column:
         return F.when(row_number.isNotNull(), 1).cast("int")
     above = F.lit(bins).cast("bigint") * (row_number - 1)
     return F.greatest(F.lit(1), F.ceil(above / F.lit(rows - 1))).cast("int")
+
+
+def cut_score(value: Column | str, by: Column | str, cuts: Sequence[tuple[float, object]]) -> Column:
+    """1..k by the rank bin of a row, from the last (value, by) of each bin but the highest.
+
+    The same bins as `rank_score`, without a rank: rows are compared with the cuts. A cut
+    without `by` lies above all rows of its value. NULL for a row without a value or `by`.
+    """
+    value, by = (F.col(column) if isinstance(column, str) else column for column in (value, by))
+    number = value.cast("double")
+    score = F.lit(1)
+    for last, last_by in cuts:
+        above = number > F.lit(last)
+        if last_by is not None:
+            above = above | ((number == F.lit(last)) & (by > F.lit(last_by)))
+        score = score + F.when(above, 1).otherwise(0)
+    return F.when(value.isNotNull() & by.isNotNull(), score).cast("int")

@@ -1,23 +1,24 @@
-"""Exact global positions and quantiles without a global sort in one task.
+"""Exact global positions, quantiles and rank scores without a global sort in one task.
 
 A window without PARTITION BY, and the exact `percentile` aggregate, both bring a
-whole column into one task. Here the column is range-partitioned, at every size: each
-task sorts its own range, and only the size of each range is gathered.
+whole column into one task. Quantiles and the limits of rank bins are selected by counting
+(`selection.py`), which moves no row.
 
-The ranged rows are staged together with the number of their range, so the pass
-that sizes the ranges and the pass that uses the sizes see the same ranges even if
-an executor is lost in between.
+Where every row needs its number, the table is range-partitioned, at every size: each
+task sorts its own range, and only the size of each range is gathered. The ranged rows are
+staged together with the number of their range, so the pass that sizes the ranges and the
+pass that uses the sizes see the same ranges even if an executor is lost in between.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradewind.operators.selection import Lane, Selected, order_statistics
 from tradewind.sources.staging import stage
 
 # monotonically_increasing_id() is the partition number shifted by 33 bits plus the
@@ -52,73 +53,63 @@ def exact_quantiles(
     """Linearly interpolated quantiles of several columns, NULLs left out.
 
     `probabilities` maps a column to the wanted probabilities. The result, a handful of
-    numbers, is returned to the driver. A column without values gives None.
+    numbers, is returned to the driver. A column without values gives None. `df` should be staged.
     """
-    columns = list(probabilities)
-    # One row per distinct value: a value that a third of all rows hold is counted
-    # before the shuffle and cannot make a range heavy.
-    counted = (
-        df.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("_column"), F.col(column).cast("double").alias("_value"))
-            for i, column in enumerate(columns)
-        ])).alias("_cell"))
-        .select("_cell.*").where(F.col("_value").isNotNull())
-        .groupBy("_column", "_value").agg(F.count("*").alias("_rows"))
-        .repartitionByRange("_column", "_value")
-        .withColumn("_range", F.spark_partition_id())
-    )
-    counted = stage(counted, "counted")
-    # One number per shuffle partition (and column) comes to the driver.
-    sizes: dict[int, list[tuple[int, int]]] = {}
-    for column, part, rows in sorted(map(tuple, counted.groupBy("_column", "_range").agg(F.sum("_rows")).collect())):
-        sizes.setdefault(column, []).append((part, rows))
-    totals = {i: sum(rows for _, rows in parts) for i, parts in sizes.items()}
-
-    # (column, position) of every order statistic the quantiles lie between, and the
-    # range it falls into with the number of rows before that range.
-    wanted = {
-        (i, at) for i, column in enumerate(columns) if i in totals
-        for p in probabilities[column] for at in _neighbours(p * (totals[i] - 1))
-    }
-    if not wanted:
-        return {column: [None] * len(probabilities[column]) for column in columns}
-    ranges: dict[tuple[int, int], int] = {}
-    for i, at in wanted:
-        before = 0
-        for part, rows in sizes[i]:
-            if at < before + rows:
-                ranges[i, part] = before
-                break
-            before += rows
-
-    # Only these ranges are read again, and each is sorted by itself.
-    def in_range(i: int, part: int) -> Column:
-        return (F.col("_column") == i) & (F.col("_range") == part)
-
-    offset = reduce(lambda chain, item: chain.when(in_range(*item[0]), item[1]), ranges.items(), F)
-    running = Window.partitionBy("_column", "_range").orderBy("_value")
-    placed = (
-        counted.where(reduce(lambda a, b: a | b, [in_range(*key) for key in ranges]))
-        .withColumn("_last", offset.cast("bigint") + F.sum("_rows").over(running) - 1)
-        .withColumn("_first", F.col("_last") - F.col("_rows") + 1)
-    )
-    found = placed.where(reduce(lambda a, b: a | b, [
-        (F.col("_column") == i) & F.lit(at).between(F.col("_first"), F.col("_last")) for i, at in wanted
-    ])).select("_column", "_first", "_last", "_value").collect()
-
-    def value_at(i: int, at: int) -> float:
-        return next(value for column, first, last, value in found if column == i and first <= at <= last)
-
-    def quantile(i: int, p: float) -> float:
-        at = p * (totals[i] - 1)
-        (low, high) = _neighbours(at)
-        below, above = value_at(i, low), value_at(i, high)
-        return below if below == above else (high - at) * below + (at - low) * above
-
-    return {
-        column: [quantile(i, p) if i in totals else None for p in probabilities[column]]
-        for i, column in enumerate(columns)
-    }
+    return quantiles_and_cuts(df, probabilities)[0]
+
+
+def quantiles_and_cuts(
+    df: DataFrame, probabilities: Mapping[str, Sequence[float]], ranked: Sequence[str] = (), by: str | None = None,
+    bins: int = 5,
+) -> tuple[dict[str, list[float | None]], dict[str, list[tuple[float, object]]]]:
+    """Quantiles of some columns, and for others the cuts between `bins` bins of their ranks, in the same passes.
+
+    Ranks count from the least value, equal values by the column `by`, which is BIGINT or text and
+    tells rows apart. The cut above a bin is its last (value, by), for `rank_score`; `by` is None
+    where the bin ends with the last of equal values. Values are taken as DOUBLE.
+    """
+    def around(wanted: Sequence[float]):
+        return lambda rows: [at for p in wanted for at in _neighbours(p * (rows - 1))]
+
+    def last_of_bins(rows: int) -> list[int]:
+        # Rank r, from 1, lies in bin ceil(bins * (r - 1) / (rows - 1)), and rank 1 in the first.
+        return [k * (rows - 1) // bins for k in range(1, bins)] if rows > 1 else []
+
+    lanes = [Lane(F.col(name).cast("double"), around(wanted)) for name, wanted in probabilities.items()]
+    identified = F.col(by).isNotNull() if by else F.lit(True)
+    lanes += [Lane(F.when(identified, F.col(name).cast("double")), last_of_bins) for name in ranked]
+    found = order_statistics(df, lanes)
+    quantiles = {
+        name: [_interpolated(selected, p) for p in wanted]
+        for (name, wanted), selected in zip(probabilities.items(), found)}
+    ranks = dict(zip(ranked, found[len(probabilities):]))
+    # Where equal values lie on both sides of a cut, the ids decide.
+    ties: dict[tuple[str, float], list[int]] = {}
+    for name, selected in ranks.items():
+        for position, value in selected.at.items():
+            if position < value.before + value.rows - 1:
+                ties.setdefault((name, value.key), []).append(position - value.before)
+    inside = order_statistics(df, [
+        Lane(F.when(F.col(name).cast("double") == F.lit(value), F.col(by)), lambda rows, wanted=wanted: wanted)
+        for (name, value), wanted in ties.items()])
+    ids = {key: selected.at for key, selected in zip(ties, inside)}
+
+    def cut(name: str, position: int) -> tuple[float, object]:
+        value = ranks[name].at[position]
+        last = position == value.before + value.rows - 1
+        return value.key, None if last else ids[name, value.key][position - value.before].key
+
+    # A bin may be empty; then its cut is that of the bin below.
+    return quantiles, {name: [cut(name, at) for at in last_of_bins(selected.rows)] for name, selected in ranks.items()}
+
+
+def _interpolated(found: Selected, p: float) -> float | None:
+    if not found.rows:
+        return None
+    at = p * (found.rows - 1)
+    low, high = _neighbours(at)
+    below, above = found.at[low].key, found.at[high].key
+    return below if below == above else (high - at) * below + (at - low) * above
 
 
 def _neighbours(at: float) -> tuple[int, int]:

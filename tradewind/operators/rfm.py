@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import elapsed_days, exact_mean, exact_sum
-from tradewind.operators.binning import distinct_edges, even_probabilities, rank_score, value_score
-from tradewind.operators.ordering import exact_quantiles, with_row_number
+from tradewind.operators.binning import cut_score, distinct_edges, even_probabilities, value_score
+from tradewind.operators.ordering import exact_quantiles, quantiles_and_cuts
 from tradewind.operators.ranking import value_counts, with_share
 from tradewind.sources.staging import stage
 
@@ -104,15 +104,12 @@ def rfm_v2(df: DataFrame, bins: int = 5, **columns: str) -> DataFrame:
     """Recency in value bins; frequency and money in bins of ranks, ties by customer."""
     customer = columns.get("customer", CUSTOMER)
     metrics = customer_metrics(df, "payment_value", 1, **columns)
-    edges = _edges(metrics, ["recency"], bins)
-    rows = metrics.count()
-    numbered = with_row_number(metrics, ["frequency", customer], "_f")
-    numbered = stage(numbered, "numbered")
-    numbered = with_row_number(numbered, ["monetary", customer], "_m")
-    scored = numbered.withColumns({
+    edges, cuts = quantiles_and_cuts(
+        metrics, {"recency": even_probabilities(bins)}, ["frequency", "monetary"], customer, bins)
+    scored = metrics.withColumns({
         "R_score": value_score("recency", distinct_edges(edges["recency"]), descending=True),
-        "F_score": rank_score("_f", rows, bins),
-        "M_score": rank_score("_m", rows, bins),
+        "F_score": cut_score("frequency", customer, cuts["frequency"]),
+        "M_score": cut_score("monetary", customer, cuts["monetary"]),
     })
     return scored.select(
         customer, "last_purchase_date", "frequency", F.col("monetary").alias("monetary_value"), "recency",
@@ -124,11 +121,11 @@ def rfm_v3(df: DataFrame, bins: int = 4, **columns: str) -> DataFrame:
     """Item revenue as money, recency from the latest purchase itself, four bins."""
     customer = columns.get("customer", CUSTOMER)
     metrics = customer_metrics(df, "item_total_revenue", 0, **columns)
-    edges = _edges(metrics, ["recency", "monetary"], bins)
-    numbered = with_row_number(metrics, ["frequency", customer], "_f")
-    scored = numbered.withColumns({
+    even = even_probabilities(bins)
+    edges, cuts = quantiles_and_cuts(metrics, {"recency": even, "monetary": even}, ["frequency"], customer, bins)
+    scored = metrics.withColumns({
         "r_score": value_score("recency", distinct_edges(edges["recency"]), descending=True),
-        "f_score": rank_score("_f", metrics.count(), bins),
+        "f_score": cut_score("frequency", customer, cuts["frequency"]),
         "m_score": value_score("monetary", distinct_edges(edges["monetary"])),
     })
     return scored.select(

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import elapsed_days
 from tradewind.operators import rfm
-from tradewind.operators.binning import distinct_edges, even_probabilities, rank_score, value_score
-from tradewind.operators.ordering import exact_quantiles, with_row_number
+from tradewind.operators.binning import cut_score, distinct_edges, even_probabilities, value_score
+from tradewind.operators.ordering import exact_quantiles, quantiles_and_cuts
 from tradewind.plans.registry import define, dmean, dsum, query
 from tradewind.plans.roles import role
 from tradewind.plans.tables import facts
@@ -110,8 +110,8 @@ def rfm_value_scores(spark, sf_dir):
 @query(f"""SELECT o_orderkey, {_sql_rank_score('o_totalprice, o_orderkey', 5)} AS price_score FROM orders""")
 def rfm_rank_scores(spark, sf_dir):
     orders = stage(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_totalprice"), "orders")
-    numbered = with_row_number(orders, ["o_totalprice", "o_orderkey"], "_place")
-    return numbered.select("o_orderkey", rank_score("_place", orders.count(), 5).alias("price_score"))
+    cuts = quantiles_and_cuts(orders, {}, ["o_totalprice"], "o_orderkey", 5)[1]["o_totalprice"]
+    return orders.select("o_orderkey", cut_score("o_totalprice", "o_orderkey", cuts).alias("price_score"))
 
 
 @query("SELECT * FROM d_rfm_v1")
@@ -216,7 +216,8 @@ def potential_b2b(spark, sf_dir):
           UNION ALL SELECT 'lost', COUNT(*) FROM d_rfm_v3 WHERE recency > 180
           UNION ALL SELECT 'loyal', COUNT(*) FROM d_rfm_v3 WHERE frequency > 3 AND recency < 30""")
 def churn_cohorts(spark, sf_dir):
-    return rfm.churn_cohorts(rfm_v3(spark, sf_dir))
+    # The cohorts need no score.
+    return rfm.churn_cohorts(rfm.customer_metrics(_bought(spark, sf_dir), "item_total_revenue", 0))
 
 
 for _cohort, _condition in (("at_risk", "recency > 90"), ("lost", "recency > 180"),
