@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import normalized
+from tradewind.operators.fingerprint import distinct_rows
 from tradewind.operators.ordering import exact_quantiles
 from tradewind.sources.staging import stage
 
+# The columns that each step of the cleaning takes.
 PAYMENT_COLUMNS = ("payment_sequential", "payment_type", "payment_installments", "payment_value")
 MOMENT_COLUMNS = (
     "shipping_limit_date", "order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
@@ -36,7 +38,8 @@ def drop_missing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+    """One of each group of rows that are equal in all columns. `df` should be staged, or be a scan."""
+    return distinct_rows(df)
 
 
 def coerce_timestamps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -120,8 +123,8 @@ def with_item_revenue(df: DataFrame) -> DataFrame:
 def clean(wide: DataFrame) -> DataFrame:
     """The cleaned table: 47 columns for the 41 of the wide one.
 
-    The medians need the joined rows, and the outlier bounds the deduplicated ones, so
-    each of these is staged once rather than computed three times.
+    The medians need the joined rows, so these are staged once rather than computed
+    several times. Repeated rows, if there are any, are left out in a second staged table.
     """
     rows = drop_missing(wide, PAYMENT_COLUMNS)
     rows = drop_missing(coerce_timestamps(rows, MOMENT_COLUMNS), REQUIRED_MOMENTS)
@@ -129,8 +132,7 @@ def clean(wide: DataFrame) -> DataFrame:
     rows = fill_constants(rows, {"product_category_name": "unknown", "product_category_name_english": "unknown"})
     # The title is taken from the message, and the message keeps its NULLs.
     rows = rows.withColumn("review_comment_title", F.coalesce("review_comment_message", F.lit("no_comment")))
-    rows = stage(drop_duplicate_rows(rows), "distinct")
-    rows = make_positive(normalize_text(rows, TEXT_COLUMNS), UNSIGNED_COLUMNS)
+    rows = make_positive(normalize_text(drop_duplicate_rows(rows), TEXT_COLUMNS), UNSIGNED_COLUMNS)
     rows = zero_to_one(rows, SIZE_COLUMNS)
     rows = cap_outliers(rows, iqr_bounds(rows, CAPPED_COLUMNS))
     return with_item_revenue(with_calendar(rows))

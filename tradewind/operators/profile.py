@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.operators.fingerprint import duplicate_counts
+
 
 def table_profile(df: DataFrame) -> DataFrame:
     """One row per column: name, type, and the number of rows of the table."""
@@ -25,13 +27,5 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def duplicate_profile(df: DataFrame) -> DataFrame:
-    """Rows, distinct rows, and the surplus.
-
-    Equal rows are counted before the shuffle, so many copies of one row cost nothing.
-    """
-    copies = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-    return copies.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("row_count"),
-        F.count("*").alias("distinct_rows"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"),
-    )
+    """Rows, distinct rows, and the surplus. `df` is read twice."""
+    return duplicate_counts(df)
