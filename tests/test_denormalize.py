@@ -72,3 +72,88 @@ def test_rebuilt_table_keeps_every_combination(tables, rows):
     assert rows(zero.where("order_item_id = 3"), "item_total_revenue") == [(10.0,)] * 4
     with pytest.raises(ValueError):
         d.rebuild_wide(tables, "mean")
+
+
+def rebuilt_by_hand(tables, fill):
+    """Join, fill, drop, deduplicate, in this order."""
+    from pyspark.sql import functions as F
+
+    from tradewind.operators import clean
+
+    table = d.join_from_orders(tables)
+    if fill == "zero":
+        table = clean.fill_constants(table, {"price": 0.0, "freight_value": 0.0})
+        return with_item_revenue(table).na.drop(subset=["order_purchase_timestamp", "item_total_revenue"]).dropDuplicates()
+    medians = table.agg(*[F.median(F.col(name).cast("double")).alias(name) for name in d.REBUILT_NUMBERS]).first()
+    table = table.withColumn(
+        "product_category_name_english", F.coalesce("product_category_name_english", "product_category_name"))
+    table = table.withColumns({
+        name: F.coalesce(F.col(name).cast("double"), F.lit(medians[name]).cast("double")) for name in d.REBUILT_NUMBERS})
+    table = clean.fill_constants(table, {
+        "review_comment_message": "no_comment", "review_comment_title": "no_comment", "payment_type": "unknown",
+        "order_status": "unknown", "product_category_name": "unknown"})
+    table = with_item_revenue(table).na.drop(
+        subset=["order_id", "customer_id", "order_purchase_timestamp", "item_total_revenue"]).dropDuplicates()
+    return table.withColumns({name: d.normalized(name, missing_word="nan") for name in d.REBUILT_TEXT})
+
+
+def odd_tables(spark):
+    """Repeated rows in every table, orders without children, children without orders, rows that are equal once filled."""
+    import random
+
+    rng = random.Random(6)
+    orders = [(f"o{i}", f"c{i % 7}", rng.choice(["delivered", None]), rng.choice([DAY, DAY, None]), DAY, DAY, DAY, DAY) for i in range(30)]
+    items = [(f"o{rng.randint(0, 34)}", rng.randint(1, 2), f"p{rng.randint(0, 4)}", f"s{rng.randint(0, 2)}", DAY,
+              rng.choice([None, 1.0, 2.0, 9.0]), rng.choice([None, 0.5])) for _ in range(90)]
+    payments = [(f"o{rng.randint(0, 34)}", rng.choice([None, 1, 2]), rng.choice([None, "unknown", "card"]), 1, rng.choice([None, 3.0, 8.0, 40.0]))
+                for _ in range(80)]
+    reviews = [(f"o{rng.randint(0, 34)}", rng.choice([None, 1, 5]), rng.choice([None, "no_comment"]), None) for _ in range(60)]
+    data = {
+        "order_items": items + items[:5] + [(None, 1, "p1", "s1", DAY, 1.0, 1.0)], "orders": orders + orders[:3] + [(None, "c1", "x", DAY, DAY, DAY, DAY, DAY)],
+        "customers": [(f"c{i}", f"u{i}", i, "Town", "SP") for i in range(6)] + [("c0", "u0", 0, "Town", "SP")],
+        "sellers": [("s1", 200, " City", "RJ")], "products": [("p1", "moveis", *[1.0] * 7), ("p1", "moveis", *[1.0] * 7), ("p2", None, *[None] * 7), ("p3", "x", *[2.0] * 7)],
+        "category_translation": [("moveis", "furniture")], "payments": payments + payments[:4], "reviews": reviews + reviews[:4],
+    }
+    return {name: spark.createDataFrame(rows, RAW_SCHEMAS[name]) for name, rows in data.items()}
+
+
+@pytest.mark.parametrize("fill", ["median", "zero"])
+@pytest.mark.parametrize("slice_rows", [d.SLICE_ROWS, 4])
+def test_rebuilt_table_equals_the_one_built_the_long_way(spark, monkeypatch, fill, slice_rows):
+    monkeypatch.setattr(d, "SLICE_ROWS", slice_rows)
+    tables = odd_tables(spark)
+    got, expected = d.rebuild_wide(tables, fill), rebuilt_by_hand(tables, fill)
+    assert set(got.columns) == set(expected.columns)
+    names = sorted(got.columns)
+    assert sorted(map(str, got.select(names).collect())) == sorted(map(str, expected.select(names).collect()))
+
+
+def test_large_fan_out_is_built_once_without_an_exchange_above_it(spark, monkeypatch):
+    """An order with 300 items, payments and reviews: 27 million rows, in slices."""
+    from pyspark.sql import functions as F
+
+    n = 300
+    day = F.lit(DAY).cast("timestamp_ntz")
+    one = spark.range(1)
+    tables = {
+        "orders": one.select(F.lit("o").alias("order_id"), F.lit("c").alias("customer_id"), F.lit("x").alias("order_status"),
+                             *[day.alias(name) for name in RAW_SCHEMAS["orders"].names[3:]]),
+        "customers": spark.createDataFrame([("c", "u", 1, "Town", "SP")], RAW_SCHEMAS["customers"]),
+        "sellers": spark.createDataFrame([("s", 200, "City", "RJ")], RAW_SCHEMAS["sellers"]),
+        "products": spark.createDataFrame([("p", "moveis", *[1.0] * 7)], RAW_SCHEMAS["products"]),
+        "category_translation": spark.createDataFrame([("moveis", "furniture")], RAW_SCHEMAS["category_translation"]),
+        "order_items": spark.range(n).select(
+            F.lit("o").alias("order_id"), F.col("id").cast("int").alias("order_item_id"), F.lit("p").alias("product_id"),
+            F.lit("s").alias("seller_id"), day.alias("shipping_limit_date"), F.col("id").cast("double").alias("price"), F.lit(0.5).alias("freight_value")),
+        "payments": spark.range(n).select(
+            F.lit("o").alias("order_id"), F.col("id").cast("int").alias("payment_sequential"), F.lit("card").alias("payment_type"),
+            F.lit(1).alias("payment_installments"), F.lit(None).cast("double").alias("payment_value")),
+        "reviews": spark.range(n).select(
+            F.lit("o").alias("order_id"), (F.col("id") % 5).cast("int").alias("review_score"), F.col("id").cast("string").alias("review_comment_title"),
+            F.lit(None).cast("string").alias("review_comment_message")),
+    }
+    wide = d.rebuild_wide(tables, "median")
+    text = wide._jdf.queryExecution().executedPlan().toString()
+    # From the top down to the last join there is no shuffle.
+    assert "Exchange" not in text.split("Join")[0]
+    assert wide.select("price", "review_comment_title").agg(F.count("*"), F.sum("price")).first()[:] == (n ** 3, sum(range(n)) * 1.0 * n * n)

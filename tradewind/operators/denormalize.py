@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import exact_mean, money_parts, money_total
 from tradewind.operators.clean import (
-    coerce_numbers, coerce_timestamps, drop_duplicate_rows, drop_missing, fill_constants, fill_median,
-    with_item_revenue,
+    coerce_numbers, coerce_timestamps, drop_duplicate_rows, drop_missing, with_item_revenue,
 )
+from tradewind.operators.ordering import exact_quantiles
 from tradewind.functions.text import normalized
 from tradewind.sources.staging import stage
 
@@ -197,6 +197,16 @@ def _left_join_many(one: DataFrame, many: DataFrame, key: str) -> DataFrame:
     return matched.unionByName(alone, allowMissingColumns=True)
 
 
+def _children(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """What meets in an order: the order with its customer, items with product and seller, payments, reviews."""
+    products = with_category_name(tables["products"], tables["category_translation"])
+    return {
+        "orders": tables["orders"].join(tables["customers"], "customer_id", "left"),
+        "items": tables["order_items"].join(products, "product_id", "left").join(tables["sellers"], "seller_id", "left"),
+        "payments": tables["payments"], "reviews": tables["reviews"],
+    }
+
+
 def join_from_orders(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Orders with customers, items, products, sellers and the raw payments and reviews.
 
@@ -214,32 +224,114 @@ def join_from_orders(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+# Rows of one order that are built in one task; an order with more combinations is cut into slices of its items.
+SLICE_ROWS = 5_000_000
+_MANY = ("items", "payments", "reviews")
+
+
+def _multiplicities(children: Mapping[str, DataFrame]) -> DataFrame:
+    """The staged number of rows that every order has in each child; 1 where it has none."""
+    counts = [children[name].groupBy("order_id").agg(F.count("*").alias(f"_{name}")) for name in ("orders", *_MANY)]
+    joined = counts[0].where("order_id IS NOT NULL")
+    for other in counts[1:]:
+        joined = joined.join(other, "order_id", "left")
+    sizes = {f"_{name}": F.coalesce(f"_{name}", F.lit(1).cast("bigint")) for name in _MANY}
+    return stage(joined.withColumns(sizes), "multiplicities")
+
+
+def _joined_medians(children: Mapping[str, DataFrame], sizes: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """The median of each column over the rows of the joined table, from its child alone.
+
+    A row of a child stands in as many joined rows as the other children of its order have
+    combinations, and counts as often.
+    """
+    medians: dict[str, float | None] = {}
+    for name in _MANY:
+        own = [column for column in columns if column in children[name].columns]
+        weight = F.col("_orders")
+        for other in _MANY:
+            weight = weight * F.col(f"_{other}") if other != name else weight
+        weighed = stage(children[name].select("order_id", *own).join(sizes, "order_id").select(
+            *own, weight.alias("_weight")), "weighed")
+        medians |= {column: median for column, (median,) in exact_quantiles(
+            weighed, {column: [0.5] for column in own}, weight="_weight").items()}
+    return medians
+
+
+def _combined(children: Mapping[str, DataFrame], sizes: DataFrame) -> DataFrame:
+    """Every combination of an order with its items, payments and reviews, each missing child as NULLs.
+
+    All joins are by order, so nothing is shuffled once rows begin to multiply. The items of
+    an order with very many combinations are dealt to slices, and the rest of the order goes to each.
+    """
+    combinations = F.col("_orders") * F.col("_items") * F.col("_payments") * F.col("_reviews")
+    slices = F.least(F.ceil(combinations / SLICE_ROWS), F.col("_items")).cast("bigint")
+    heavy = stage(sizes.select("order_id", slices.alias("_slices")).where("_slices > 1"), "heavy")
+    keys = ["order_id"]
+    if not heavy.isEmpty():
+        keys = ["order_id", "_slice"]
+        count = F.coalesce("_slices", F.lit(1).cast("bigint"))
+        place = F.pmod(F.xxhash64(*[F.col(name) for name in children["items"].columns]), count)
+        dealt = {}
+        for name, child in children.items():
+            known = child.join(heavy, "order_id", "left")
+            dealt[name] = known.withColumn(
+                "_slice", place if name == "items" else F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)))
+        orders = dealt["orders"].withColumn("_cut", F.col("_slices").isNotNull()).drop("_slices")
+        items = dealt["items"].withColumn("_item", F.lit(True)).drop("_slices")
+        # A slice that got no item of its order is not an order without items.
+        joined = orders.join(items, keys, "left").where("_item OR NOT _cut").drop("_item", "_cut")
+        children = {name: dealt[name].drop("_slices") for name in ("payments", "reviews")}
+    else:
+        joined = children["orders"].join(children["items"], keys, "left")
+    return joined.join(children["payments"], keys, "left").join(children["reviews"], keys, "left").drop("_slice")
+
+
 def rebuild_wide(tables: Mapping[str, DataFrame], fill: str = "median") -> DataFrame:
     """The table to work with when no cleaned one exists.
 
-    `fill='median'` fills every number with its median and normalises the texts;
+    `fill='median'` fills every number with its median over the joined rows and normalises the texts;
     `fill='zero'` only turns missing prices and freights into 0. Both add
     `item_total_revenue` and drop rows without a purchase time, and duplicates.
+
+    An order has a row for every combination of its items, payments and reviews. Two of these
+    are equal if their parts are, so each child is filled and freed of duplicates before
+    the join, and the medians are taken of the children, weighted: the combinations are
+    built once, for the result.
     """
-    joined = join_from_orders(tables)
-    moments = [name for name in joined.columns if "date" in name or "timestamp" in name]
-    if fill == "zero":
-        table = coerce_timestamps(joined, ["order_purchase_timestamp"])
-        table = fill_constants(coerce_numbers(table, ["price", "freight_value"]),
-                               {"price": 0.0, "freight_value": 0.0})
-        table = drop_missing(with_item_revenue(table), ["order_purchase_timestamp", "item_total_revenue"])
-        return drop_duplicate_rows(table)
-    if fill != "median":
+    if fill not in ("median", "zero"):
         raise ValueError(f"fill is 'median' or 'zero', not {fill!r}")
-
-    table = coerce_numbers(coerce_timestamps(joined, moments), REBUILT_NUMBERS)
-    table = table.withColumn(
-        "product_category_name_english", F.coalesce("product_category_name_english", "product_category_name"))
-    table = fill_constants(table, {
+    columns = join_from_orders(tables).columns
+    children = {}
+    for name, child in _children(tables).items():
+        if fill == "median":
+            moments = [column for column in child.columns if "date" in column or "timestamp" in column]
+            child = coerce_timestamps(child, moments)
+            child = coerce_numbers(child, [column for column in REBUILT_NUMBERS if column in child.columns])
+        else:
+            child = coerce_timestamps(child, [c for c in ("order_purchase_timestamp",) if c in child.columns])
+            child = coerce_numbers(child, [c for c in ("price", "freight_value") if c in child.columns])
+        if fill == "median" and name == "items":
+            child = child.withColumn(
+                "product_category_name_english", F.coalesce("product_category_name_english", "product_category_name"))
+        children[name] = stage(child, name)
+    sizes = _multiplicities(children)
+    numbers = _joined_medians(children, sizes, REBUILT_NUMBERS) if fill == "median" else {"price": 0.0, "freight_value": 0.0}
+    words = {
         "review_comment_message": "no_comment", "review_comment_title": "no_comment",
-        "payment_type": "unknown", "order_status": "unknown", "product_category_name": "unknown"})
-    table = fill_median(stage(table, "rebuilt"), REBUILT_NUMBERS)
-    table = drop_missing(with_item_revenue(table), [
-        "order_id", "customer_id", "order_purchase_timestamp", "item_total_revenue"])
-    table = drop_duplicate_rows(table)
+        "payment_type": "unknown", "order_status": "unknown", "product_category_name": "unknown",
+    } if fill == "median" else {}
+
+    def filled(df: DataFrame) -> DataFrame:
+        return df.withColumns(
+            {name: F.coalesce(F.col(name).cast("double"), F.lit(value).cast("double"))
+             for name, value in numbers.items() if name in df.columns}
+            | {name: F.coalesce(F.col(name), F.lit(word)) for name, word in words.items() if name in df.columns})
+
+    # The rows that a left join adds for orders without items, payments or reviews are filled after it.
+    table = filled(_combined({name: drop_duplicate_rows(filled(child)) for name, child in children.items()}, sizes))
+    table = with_item_revenue(table.select(*columns))
+    if fill == "zero":
+        return drop_missing(table, ["order_purchase_timestamp", "item_total_revenue"])
+    table = drop_missing(table, ["order_id", "customer_id", "order_purchase_timestamp", "item_total_revenue"])
     return table.withColumns({name: normalized(name, missing_word=MISSING_TEXT) for name in REBUILT_TEXT})

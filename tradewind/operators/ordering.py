@@ -48,25 +48,27 @@ def with_row_number(
 
 
 def exact_quantiles(
-    df: DataFrame, probabilities: Mapping[str, Sequence[float]],
+    df: DataFrame, probabilities: Mapping[str, Sequence[float]], weight: str | None = None,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of several columns, NULLs left out.
 
     `probabilities` maps a column to the wanted probabilities. The result, a handful of
-    numbers, is returned to the driver. A column without values gives None. `df` should be staged.
+    numbers, is returned to the driver. A column without values gives None. With a column
+    `weight` a row counts that often. `df` should be staged.
     """
-    return quantiles_and_cuts(df, probabilities)[0]
+    return quantiles_and_cuts(df, probabilities, weight=weight)[0]
 
 
 def quantiles_and_cuts(
     df: DataFrame, probabilities: Mapping[str, Sequence[float]], ranked: Sequence[str] = (), by: str | None = None,
-    bins: int = 5,
+    bins: int = 5, weight: str | None = None,
 ) -> tuple[dict[str, list[float | None]], dict[str, list[tuple[float, object]]]]:
     """Quantiles of some columns, and for others the cuts between `bins` bins of their ranks, in the same passes.
 
     Ranks count from the least value, equal values by the column `by`, which is BIGINT or text and
     tells rows apart. The cut above a bin is its last (value, by), for `rank_score`; `by` is None
-    where the bin ends with the last of equal values. Values are taken as DOUBLE.
+    where the bin ends with the last of equal values. Values are taken as DOUBLE. `weight` is
+    for the quantiles only.
     """
     def around(wanted: Sequence[float]):
         return lambda rows: [at for p in wanted for at in _neighbours(p * (rows - 1))]
@@ -75,7 +77,8 @@ def quantiles_and_cuts(
         # Rank r, from 1, lies in bin ceil(bins * (r - 1) / (rows - 1)), and rank 1 in the first.
         return [k * (rows - 1) // bins for k in range(1, bins)] if rows > 1 else []
 
-    lanes = [Lane(F.col(name).cast("double"), around(wanted)) for name, wanted in probabilities.items()]
+    times = F.col(weight) if weight else None
+    lanes = [Lane(F.col(name).cast("double"), around(wanted), times) for name, wanted in probabilities.items()]
     identified = F.col(by).isNotNull() if by else F.lit(True)
     lanes += [Lane(F.when(identified, F.col(name).cast("double")), last_of_bins) for name in ranked]
     found = order_statistics(df, lanes)

@@ -36,11 +36,17 @@ _INFINITE, _NAN = 50_000, 60_000
 class Lane:
     """Keys to select from: a DOUBLE, BIGINT or STRING expression, NULL for rows that take no part.
 
-    `positions` gives the wanted positions, from 0, for the number of keys.
+    `positions` gives the wanted positions, from 0, for the number of keys. With a `weight`,
+    a BIGINT of 1 or more, a row stands for as many equal ones.
     """
 
     key: Column
     positions: Callable[[int], Sequence[int]]
+    weight: Column | None = None
+
+    @property
+    def times(self) -> Column:
+        return F.lit(1).cast("bigint") if self.weight is None else self.weight.cast("bigint")
 
 
 @dataclass(frozen=True)
@@ -63,6 +69,7 @@ class _Digit:
     high: object
     before: int
     rows: int
+    single: bool        # few enough to be counted key by key
     wanted: list[int] = field(default_factory=list)
 
 
@@ -100,6 +107,11 @@ def _split(key: Column, low: object, high: object) -> Column:
     return F.floor((key - F.lit(low)) / F.lit(high - low) * SPLIT)
 
 
+def _counts() -> list[Column]:
+    return [F.sum("times").alias("rows"), (F.count("*") <= F.lit(FEW)).alias("few"), F.min("key").alias("low"),
+            F.max("key").alias("high")]
+
+
 def order_statistics(df: DataFrame, lanes: Sequence[Lane]) -> list[Selected]:
     """For each lane its size and what is found at the wanted positions. All lanes have keys of one type.
 
@@ -110,15 +122,15 @@ def order_statistics(df: DataFrame, lanes: Sequence[Lane]) -> list[Selected]:
     kind = df.select(lanes[0].key.alias("key")).schema["key"].dataType.simpleString()
     coarse = (lambda key: _text_digit(key, 0)) if kind == "string" else _coarse_number
     cells = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("lane"), lane.key.alias("key")) for i, lane in enumerate(lanes)])).alias("c"))
-    counted = cells.select("c.*").where("key IS NOT NULL").groupBy("lane", coarse(F.col("key")).alias("digit")).agg(
-        F.count("*").alias("rows"), F.min("key").alias("low"), F.max("key").alias("high"))
+        F.struct(F.lit(i).alias("lane"), lane.key.alias("key"), lane.times.alias("times"))
+        for i, lane in enumerate(lanes)])).alias("c"))
+    counted = cells.select("c.*").where("key IS NOT NULL").groupBy("lane", coarse(F.col("key")).alias("digit")).agg(*_counts())
     found: list[dict[int, Found]] = [{} for _ in lanes]
     digits: list[list[tuple]] = [[] for _ in lanes]
-    for lane, digit, rows, low, high in counted.collect():
-        digits[lane].append((digit, rows, low, high))
+    for lane, digit, *counts in counted.collect():
+        digits[lane].append((digit, *counts))
     todo: list[_Digit] = []
-    totals = [sum(rows for _, rows, _, _ in own) for own in digits]
+    totals = [sum(rows for _, rows, *_ in own) for own in digits]
     for i, (lane, own, total) in enumerate(zip(lanes, digits, totals)):
         wanted = sorted(set(lane.positions(total))) if total else []
         todo += _narrowed(i, sorted(own, key=lambda d: d[0]), 0, wanted, found[i])
@@ -126,17 +138,17 @@ def order_statistics(df: DataFrame, lanes: Sequence[Lane]) -> list[Selected]:
         parts = []
         for j, digit in enumerate(todo):
             key = lanes[digit.lane].key
-            one_by_one = digit.rows <= FEW
+            one_by_one = digit.single
             parts.append(F.when(key.between(F.lit(digit.low), F.lit(digit.high)), F.struct(
                 F.lit(j).alias("place"), (F.lit(0).cast("bigint") if one_by_one else _split(key, digit.low, digit.high)).alias("digit"),
-                (key if one_by_one else F.lit(None).cast(kind)).alias("single"), key.alias("key"))))
+                (key if one_by_one else F.lit(None).cast(kind)).alias("single"), key.alias("key"),
+                lanes[digit.lane].times.alias("times"))))
         here = df.select(F.explode(F.array(*parts)).alias("c")).where("c IS NOT NULL").select("c.*")
-        counted = here.groupBy("place", "digit", "single").agg(
-            F.count("*").alias("rows"), F.min("key").alias("low"), F.max("key").alias("high"))
+        counted = here.groupBy("place", "digit", "single").agg(*_counts())
         split: list[list[tuple]] = [[] for _ in todo]
-        for place, digit, _, rows, low, high in counted.collect():
+        for place, digit, _, rows, few, low, high in counted.collect():
             # Keys counted one by one are ordered by themselves.
-            split[place].append(((digit, low if low == low else math.inf), rows, low, high))
+            split[place].append(((digit, low if low == low else math.inf), rows, few, low, high))
         todo = [narrow for digit, own in zip(todo, split) for narrow in _narrowed(
             digit.lane, sorted(own, key=lambda d: d[0]), digit.before, digit.wanted, found[digit.lane])]
     return [Selected(total, at) for total, at in zip(totals, found)]
@@ -146,7 +158,7 @@ def _narrowed(lane: int, digits: Sequence[tuple], before: int, wanted: Sequence[
               found: dict[int, Found]) -> list[_Digit]:
     """The digits that hold wanted positions; those with one key go to `found`."""
     out, at = [], 0
-    for _, rows, low, high in digits:
+    for _, rows, single, low, high in digits:
         inside = []
         while at < len(wanted) and wanted[at] < before + rows:
             inside.append(wanted[at])
@@ -155,6 +167,6 @@ def _narrowed(lane: int, digits: Sequence[tuple], before: int, wanted: Sequence[
             key = low + 0.0 if isinstance(low, float) else low  # no negative zero
             found.update({position: Found(key, before, rows) for position in inside})
         elif inside:
-            out.append(_Digit(lane, low, high, before, rows, inside))
+            out.append(_Digit(lane, low, high, before, rows, single, inside))
         before += rows
     return out
