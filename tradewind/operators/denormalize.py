@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions import exact_mean, money_parts, money_total
+from tradewind.functions import exact_mean, exact_parts, exact_total
 from tradewind.operators.clean import (
     coerce_numbers, coerce_timestamps, drop_duplicate_rows, drop_missing, with_item_revenue,
 )
@@ -64,20 +64,19 @@ def _in_order(sequence: str, text: Column) -> Column:
 
 def payments_rollup(payments: DataFrame, order: str = "order_id") -> DataFrame:
     """One row per order: payments counted, types joined, instalments and value summed."""
-    whole, millionths = money_parts("payment_value")
+    parts = {f"_part{i}": part for i, part in enumerate(exact_parts("payment_value"))}
     return joined_text(
         payments, order, {"payment_type": F.col("payment_type")}, "payment_sequential",
         {
             "_count": (F.count("payment_sequential"), F.sum("_count")),
             "_installments": (F.sum(F.col("payment_installments").cast("bigint")),
                               F.coalesce(F.sum("_installments"), F.lit(0))),
-            "_whole": (F.sum(whole), F.sum("_whole")),
-            "_millionths": (F.sum(millionths), F.sum("_millionths")),
+            **{name: (F.sum(part), F.sum(name)) for name, part in parts.items()},
         },
     ).select(
         order, F.col("_count").alias("payment_sequential"), "payment_type",
         F.col("_installments").alias("payment_installments"),
-        F.coalesce(money_total("_whole", "_millionths"), F.lit(0.0)).alias("payment_value"))
+        F.coalesce(exact_total(list(parts)), F.lit(0.0)).alias("payment_value"))
 
 
 def reviews_rollup(reviews: DataFrame, order: str = "order_id", sequence: str | None = None) -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tradewind.functions import exact_mean, exact_sum
 from tradewind.operators import clean, denormalize, profile, rfm, sales
 from tradewind.operators import timeseries as ts
 from tradewind.operators.binning import distinct_edges, even_probabilities, value_score
 from tradewind.operators.ordering import exact_quantiles
 from tradewind.plans import series  # noqa: F401  (it defines the daily series)
 from tradewind.plans.customers import _bought, _sql_edges, _sql_value_score
-from tradewind.plans.registry import define, dsum, query
+from tradewind.plans.registry import define, dmean, dsum, query
 from tradewind.plans.roles import role, table
 from tradewind.plans.tables import facts
 from tradewind.sources import stage
@@ -148,6 +149,24 @@ def potential_b2b_top_tenth(spark, sf_dir):
     return rfm.potential_b2b(scored, limits["frequency"][0], limits["monetary"][0])
 
 
+# ---------------------------------------------------------------- sums that quantising would change
+
+define("d_fine", """
+    SELECT user_id, CASE event_id % 4 WHEN 0 THEN 1e-4::DOUBLE WHEN 1 THEN 1::DOUBLE WHEN 2 THEN 1e5::DOUBLE ELSE -1e9::DOUBLE END
+                    * value / 7::DOUBLE AS amount, event_id % 4 AS magnitude FROM events""")
+
+
+@query(f"""SELECT user_id, {dsum('amount')} AS total, {dmean('CASE WHEN magnitude = 0 THEN amount END')} AS small_mean
+           FROM d_fine GROUP BY 1""")
+def fine_sums(spark, sf_dir):
+    """Amounts of magnitudes far apart, with twelve digits and more behind the point."""
+    number = F.col("event_id") % 4
+    scale = F.when(number == 0, 1e-4).when(number == 1, 1.0).when(number == 2, 1e5).otherwise(-1e9)
+    amounts = table(spark, sf_dir, "events").select("user_id", number.alias("n"), (scale * F.col("value") / 7.0).alias("amount"))
+    return amounts.groupBy("user_id").agg(
+        exact_sum("amount").alias("total"), exact_mean(F.when(F.col("n") == 0, F.col("amount"))).alias("small_mean"))
+
+
 # ---------------------------------------------------------------- sinks and what reads them
 
 _STORED = (*_LINE, "price", "freight_value", "item_total_revenue", "order_purchase_year", "order_purchase_month")

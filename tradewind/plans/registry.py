@@ -57,12 +57,20 @@ def with_ctes(body: str) -> str:
     return f"WITH {recursive}{ctes} {body}" if ctes else body
 
 
+_UNITS = "pow(2.0::DOUBLE, 72)"
+
+
+def _dtotal(value: str) -> str:
+    """The sum in integers of 2^-72, read as a number from its digits, so that it is rounded once."""
+    return f"(CAST(CAST(SUM(CAST(trunc(CAST({value} AS DOUBLE) * {_UNITS}) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / {_UNITS})"
+
+
 def dsum(value: str) -> str:
-    return f"CAST(COALESCE(SUM(CAST({value} AS DECIMAL(24,6))), 0) AS DOUBLE)"
+    return f"COALESCE({_dtotal(value)}, 0::DOUBLE)"
 
 
 def dmean(value: str) -> str:
-    return f"CAST(SUM(CAST({value} AS DECIMAL(24,6))) AS DOUBLE) / NULLIF(COUNT({value}), 0)"
+    return f"{_dtotal(value)} / NULLIF(COUNT({value}), 0)"
 
 
 define("d_payments", f"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewind.operators import clean, denormalize, profile
 from tradewind.operators.timeseries import daily_sales
-from tradewind.plans.registry import define, query
+from tradewind.plans.registry import define, dsum, query
 from tradewind.plans.roles import role, roles, table
 from tradewind.sources import stage, write_csv
 from tradewind.sources.staging import new_path
@@ -96,8 +96,7 @@ def _raw_children(spark, sf_dir):
     return tables
 
 
-@query("""SELECT CAST(order_purchase_timestamp AS DATE) AS order_date,
-                 CAST(SUM(CAST(revenue AS DECIMAL(24,6))) AS DOUBLE) AS total_sales
+@query(f"""SELECT CAST(order_purchase_timestamp AS DATE) AS order_date, {dsum('revenue')} AS total_sales
           FROM (SELECT DISTINCT * EXCLUDE (price, freight_value), COALESCE(price, 0) AS price,
                        COALESCE(freight_value, 0) AS freight_value,
                        COALESCE(price, 0) + COALESCE(freight_value, 0) AS revenue FROM d_joined)

@@ -22,9 +22,8 @@ define("d_month_cancellations", """
     WHERE order_status = 'canceled' AND month IS NOT NULL GROUP BY month""")
 
 
-@query("""SELECT CAST(date_trunc('month', o.o_orderdate) AS DATE) AS month,
-                 CAST(SUM(CAST(l.l_extendedprice + l.l_extendedprice * l.l_tax AS DECIMAL(24,6))) AS DOUBLE)
-                     AS total_revenue
+@query(f"""SELECT CAST(date_trunc('month', o.o_orderdate) AS DATE) AS month,
+                 {dsum('l.l_extendedprice + l.l_extendedprice * l.l_tax')} AS total_revenue
           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1""")
 def monthly_sales(spark, sf_dir):
     return sales.monthly_sales(facts(spark, sf_dir, "order"), sales.REVENUE)
