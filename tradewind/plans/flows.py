@@ -12,7 +12,7 @@ from tradewind.operators import forecast as hw
 from tradewind.operators import timeseries as ts
 from tradewind.operators.clean import clean
 from tradewind.operators.denormalize import denormalize
-from tradewind.sources import read_cleaned, read_raw_tables, stage, with_file_order, write_fact_table
+from tradewind.sources import read_cleaned, read_raw_tables, stage, write_fact_table
 
 
 def build_cleaned_table(spark: SparkSession, raw_paths: Mapping[str, str], cleaned_path: str) -> DataFrame:
@@ -20,8 +20,7 @@ def build_cleaned_table(spark: SparkSession, raw_paths: Mapping[str, str], clean
 
     The reviews of an order are joined in the order of their file.
     """
-    tables = read_raw_tables(spark, raw_paths)
-    tables["reviews"] = with_file_order(tables["reviews"], "review_sequence")
+    tables = read_raw_tables(spark, raw_paths, {"reviews": "review_sequence"})
     write_fact_table(clean(denormalize(tables, review_sequence="review_sequence")), cleaned_path)
     return read_cleaned(spark, cleaned_path)
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tradewind.functions import null_if_nan
 from tradewind.schemas import MULTI_LINE_TABLES, RAW_SCHEMAS
+from tradewind.sources.records import read_quoted_csv
 
 # The unquoted words the usual CSV readers of data frames take as missing.
 MISSING_WORDS = (
@@ -38,23 +39,28 @@ def read_csv(
     schema: T.StructType,
     multi_line: bool = False,
     missing_words: tuple[str, ...] = MISSING_WORDS,
+    place: str | None = None,
 ) -> DataFrame:
     """CSV with a header and a declared schema; a value that does not parse is NULL.
 
-    A path that does not exist raises.
+    A path that does not exist raises. `place` adds a number in the order of the rows of a
+    file, if values may hold line ends.
     """
-    raw = spark.read.schema(schema).csv(
-        path, header=True, multiLine=multi_line, quote='"', escape='"', mode="PERMISSIVE")
+    if multi_line:
+        raw = read_quoted_csv(spark, path, schema, place)
+    else:
+        raw = spark.read.schema(schema).csv(path, header=True, quote='"', escape='"', mode="PERMISSIVE")
     return missing_to_null(raw, missing_words)
 
 
-def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, table: str, place: str | None = None) -> DataFrame:
     """One of the nine raw tables, by its key in RAW_SCHEMAS."""
-    return read_csv(spark, path, RAW_SCHEMAS[table], multi_line=table in MULTI_LINE_TABLES)
+    return read_csv(spark, path, RAW_SCHEMAS[table], multi_line=table in MULTI_LINE_TABLES, place=place)
 
 
-def read_raw_tables(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
-    return {table: read_raw(spark, path, table) for table, path in paths.items()}
+def read_raw_tables(spark: SparkSession, paths: Mapping[str, str], places: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+    """All raw tables; `places` names a column for the place in the file of the rows of a table."""
+    return {table: read_raw(spark, path, table, (places or {}).get(table)) for table, path in paths.items()}
 
 
 def with_file_order(df: DataFrame, name: str) -> DataFrame:
