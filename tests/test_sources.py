@@ -4,7 +4,9 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from tradewind.operators.timeseries import daily_sales
-from tradewind.sources import load_or_build, read_raw, write_csv, write_fact_table, write_series
+from tradewind.sources import (
+    load_or_build, read_periods, read_raw, replace_periods, write_csv, write_fact_table, write_series,
+)
 
 
 def test_csv_with_byte_order_mark(spark, tmp_path, rows):
@@ -82,3 +84,42 @@ def test_whole_way_from_files(spark, sf_dir, tmp_path):
     assert result.future.count() == 40
     assert result.accuracy.first().rmse > 0
     assert result.fits.count() == result.daily.where("split = 'train'").count()
+
+
+def stored(spark, path):
+    """Months with 20 rows each, one of them NULL."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(120).select("id", F.lit(2020).alias("order_purchase_year"), F.when(F.col("id") % 6 > 0, F.col("id") % 6).cast("int").alias("order_purchase_month"))
+    write_fact_table(df, path)
+    return df
+
+
+def files(path):
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def test_replaced_months_leave_the_others_alone(spark, tmp_path):
+    path = tmp_path / "months"
+    df = stored(spark, str(path))
+    before = files(path)
+    new = df.where("order_purchase_month = 3").withColumn("id", df.id + 1000)
+    replace_periods(new, str(path), [(2020, 3), (2020, 5)])
+    after = files(path)
+    kept = {name: at for name, at in before.items() if "month=3" not in name and "month=5" not in name}
+    assert kept and all(after[name] == at for name, at in kept.items())
+    months = {row[0]: row[1:] for row in spark.read.parquet(str(path)).groupBy("order_purchase_month").agg({"*": "count", "id": "min"}).collect()}
+    assert set(months) == {None, 1, 2, 3, 4} and 1003 in months[3] and 20 in months[3]
+    with pytest.raises(ValueError):
+        replace_periods(new, str(path), [(2020, 4)])
+    assert files(path) == after
+    replace_periods(new.limit(0), str(path), [(2020, None), (2020, 3)])
+    assert spark.read.parquet(str(path)).count() == 60
+
+
+def test_only_the_wanted_months_are_opened(spark, tmp_path):
+    stored(spark, str(tmp_path / "months"))
+    month = read_periods(spark, str(tmp_path / "months"), [(2020, 2), (2020, None)])
+    assert {(r.order_purchase_month) for r in month.collect()} == {2, None} and month.count() == 40
+    filters = month._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+    assert "order_purchase_year" in filters and "order_purchase_month" in filters

@@ -16,7 +16,9 @@ from tradewind.plans.roles import role, table
 from tradewind.plans.tables import facts
 from tradewind.sources import stage
 from tradewind.sources.staging import new_path
-from tradewind.sources.tables import load_or_build, read_cleaned, read_csv, write_fact_table, write_series
+from tradewind.sources.tables import (
+    load_or_build, read_cleaned, read_csv, read_periods, replace_periods, write_fact_table, write_series,
+)
 
 CATEGORY = sales.CATEGORY
 _LINE = ("order_id", "order_item_id")
@@ -195,3 +197,30 @@ def series_roundtrip(spark, sf_dir):
     daily = ts.daily_sales(facts(spark, sf_dir, "order"))
     write_series(daily, path)
     return read_csv(spark, path, daily.select("order_date", "total_sales").schema)
+
+
+_RELOADED = (1995, 3)
+
+
+@query(f"""SELECT {', '.join(c for c in _STORED if c != 'price')},
+                  CASE WHEN order_purchase_year = {_RELOADED[0]} AND order_purchase_month = {_RELOADED[1]} THEN price * 2
+                       ELSE price END AS price
+           FROM d_facts WHERE NOT (order_purchase_year = {_RELOADED[0]} AND order_purchase_month = {_RELOADED[1]}
+                                   AND order_item_id > 4)""")
+def reload_one_month(spark, sf_dir):
+    """A month comes again with other prices and fewer items; the files of the other months are left alone."""
+    path = new_path(spark, "months")
+    write_fact_table(facts(spark, sf_dir, "order").select(*_STORED), path)
+    # The new state of the month is staged, since a table cannot be read while it is replaced.
+    month = stage(read_periods(spark, path, [_RELOADED]).where("order_item_id <= 4").withColumn("price", F.col("price") * 2), "month")
+    replace_periods(month, path, [_RELOADED])
+    return read_cleaned(spark, path).select(*_STORED)
+
+
+@query(f"""SELECT {', '.join(_STORED)} FROM d_facts
+           WHERE order_purchase_year = {_RELOADED[0]} AND order_purchase_month = {_RELOADED[1]}""")
+def read_one_month(spark, sf_dir):
+    """One month of the stored table."""
+    path = new_path(spark, "months")
+    write_fact_table(facts(spark, sf_dir, "order").select(*_STORED), path)
+    return read_periods(spark, path, [_RELOADED]).select(*_STORED)

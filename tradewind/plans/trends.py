@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tradewind.functions import month_start
 from tradewind.operators import basket, ranking, sales
+from tradewind.operators.distinct import distinct_counts
 from tradewind.operators.ordering import exact_quantiles
 from tradewind.plans.registry import define, dmean, dsum, query
 from tradewind.plans.roles import role
@@ -290,3 +292,40 @@ def tech_city_orders(spark, sf_dir):
           ORDER BY count DESC, product_a, product_b LIMIT 10""")
 def basket_pairs(spark, sf_dir):
     return basket.most_common_pairs(role(spark, sf_dir, "order_items"), 10)
+
+
+# ---------------------------------------------------------------- distinct counts that merge
+
+@query("""
+    WITH f AS (SELECT order_id, strftime(month, '%Y-%m-%d') AS month, CAST(order_purchase_year AS VARCHAR) AS year,
+                      customer_city AS city, customer_state AS state FROM d_facts)
+    SELECT 'time' AS family, 'month' AS grain, month || '|' || year AS path, COUNT(DISTINCT order_id) AS distinct_keys
+    FROM f WHERE month IS NOT NULL GROUP BY 3
+    UNION ALL SELECT 'time', 'year', year, COUNT(DISTINCT order_id) FROM f WHERE month IS NOT NULL GROUP BY 3
+    UNION ALL SELECT 'place', 'city', city || '|' || state, COUNT(DISTINCT order_id)
+    FROM f WHERE city IS NOT NULL AND state IS NOT NULL GROUP BY 3
+    UNION ALL SELECT 'place', 'state', state, COUNT(DISTINCT order_id)
+    FROM f WHERE city IS NOT NULL AND state IS NOT NULL GROUP BY 3""")
+def distinct_orders_by_grain(spark, sf_dir):
+    """Orders of every month, year, city and state from one reading of the facts."""
+    items = facts(spark, sf_dir, "order", "customer").select(
+        "order_id", month_start("order_purchase_timestamp").alias("month"),
+        F.col("order_purchase_year").alias("year"), F.col("customer_city").alias("city"), F.col("customer_state").alias("state"))
+    counts = distinct_counts(items, "order_id", {"time": ["month", "year"], "place": ["city", "state"]})
+    return counts.withColumn("path", F.array_join("path", "|"))
+
+
+@query("""
+    WITH f AS (SELECT customer_unique_id, product_category_name AS category, strftime(month, '%Y-%m-%d') AS month,
+                      CAST(order_purchase_year AS VARCHAR) AS year FROM d_facts)
+    SELECT 'product' AS family, 'category' AS grain, category AS path, COUNT(DISTINCT customer_unique_id) AS distinct_keys
+    FROM f WHERE category IS NOT NULL GROUP BY 3
+    UNION ALL SELECT 'time', 'month', month || '|' || year, COUNT(DISTINCT customer_unique_id) FROM f WHERE month IS NOT NULL GROUP BY 3
+    UNION ALL SELECT 'time', 'year', year, COUNT(DISTINCT customer_unique_id) FROM f WHERE month IS NOT NULL GROUP BY 3""")
+def distinct_customers_by_grain(spark, sf_dir):
+    """Customers of every category, month and year; a customer is in several of each."""
+    items = facts(spark, sf_dir, "order", "customer", "product").select(
+        "customer_unique_id", F.col("product_category_name").alias("category"),
+        month_start("order_purchase_timestamp").alias("month"), F.col("order_purchase_year").alias("year"))
+    counts = distinct_counts(items, "customer_unique_id", {"product": ["category"], "time": ["month", "year"]})
+    return counts.withColumn("path", F.array_join("path", "|"))

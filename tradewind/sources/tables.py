@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,14 +95,55 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
 
 
-def write_fact_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (
-        "order_purchase_year", "order_purchase_month")) -> None:
-    """Parquet by purchase month.
+PERIOD = ("order_purchase_year", "order_purchase_month")
 
-    The rebalance hint gathers the rows of a month in as many even files as its size
-    asks for; a month with a third of all rows is split, small months share a task.
+
+def _by_period(df: DataFrame, partition_by: tuple[str, ...]):
+    """A writer with the rows of a period in as many even files as its size asks for.
+
+    The rebalance hint gathers them; a month with a third of all rows is split, small months share a task.
+    """
+    return df.hint("rebalance", *[F.col(name) for name in partition_by]).write.mode("overwrite").partitionBy(*partition_by)
+
+
+def write_fact_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = PERIOD) -> None:
+    """Parquet by purchase month."""
+    _by_period(df, partition_by).parquet(path)
+
+
+def replace_periods(df: DataFrame, path: str, periods: Sequence[tuple], partition_by: tuple[str, ...] = PERIOD) -> None:
+    """Put the rows of `df` in the place of those of `periods` in a table of `write_fact_table`.
+
+    The files of all other periods stay as they are and are not read. A period of the list without rows in
+    `df` is emptied; rows of `df` outside the listed periods raise, before anything is written.
+    Periods are values of `partition_by`, None for NULL. `df` must not read the same table.
     """
-    df.hint("rebalance", *[F.col(name) for name in partition_by]).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    listed = reduce(lambda a, b: a | b, [_in_period(period, partition_by) for period in periods], F.lit(False))
+    counted = {tuple(row)[:-1]: row["count"] for row in df.groupBy(*partition_by).count().where(~listed).limit(1).collect()}
+    if counted:
+        raise ValueError(f"rows of {next(iter(counted))} are not in the periods to replace")
+    _by_period(df, partition_by).option("partitionOverwriteMode", "dynamic").parquet(path)
+    # An overwrite leaves the periods alone that have no rows.
+    filled = {tuple(row) for row in df.select(*partition_by).distinct().collect()}  # at most one per listed period
+    spark = df.sparkSession
+    for period in periods:
+        if tuple(period) not in filled:
+            folder = "/".join(f"{name}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+                              for name, value in zip(partition_by, period))
+            target = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{folder}")
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _in_period(period: tuple, partition_by: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(partition_by, period)])
+
+
+def read_periods(spark: SparkSession, path: str, periods: Sequence[tuple], partition_by: tuple[str, ...] = PERIOD) -> DataFrame:
+    """The rows of some periods; the files of others are not opened."""
+    chosen = reduce(lambda a, b: a | b, [
+        reduce(lambda a, b: a & b, [F.col(name).isNull() if value is None else F.col(name) == F.lit(value)
+                                    for name, value in zip(partition_by, period)]) for period in periods], F.lit(False))
+    return missing_to_null(spark.read.parquet(path).where(chosen), words=())
 
 
 def write_series(daily: DataFrame, path: str) -> None:
