@@ -190,3 +190,38 @@ def test_pipeline(spark):
     assert single.count() == len(groups)
     rows = corpus_pipeline.run(spark, sf).collect()
     assert rows and {r.doc_id for r in rows} <= {r.doc_id for r in kept}
+
+
+def test_texts_with_half_of_each_other_are_not_compared_in_pairs(spark):
+    """600 texts share half of their shingles, none is linked; the order of shingles is that of the corpus, not of a task."""
+    common = [" ".join(f"c{i}x{j}" for j in range(12)) for i in range(20)]
+    texts = [" ".join(common) + " " + " ".join(f"u{i}w{j}" for j in range(240)) for i in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(120)
+    passed = ngram_join.classes_and_sketches(docs)
+    counts = ngram_join._added(passed.where("kind = 1"))
+    posts = ngram_join._with_share(ngram_join._shared_tokens(ngram_join._prefixes(docs, counts))).cache()
+    nothing = spark.createDataFrame([], "id bigint, component bigint")
+    compared = sum(pairs.count() for pairs in (
+        ngram_join._star_pairs(posts, None, 0), ngram_join._star_pairs(posts, None, 1), ngram_join._cross_pairs(posts, nothing)))
+    assert compared < 10_000
+    got = ngram_join.op5_ngram_jaccard_join(docs).collect()
+    assert all(r.component_id == r.doc_id for r in got) and len(got) == 600
+
+
+def test_sketches_add_up_over_tasks(spark):
+    docs = spark.createDataFrame([(i, f"a b c d e f{i % 7}") for i in range(50)], "doc_id bigint, text string")
+    sums = [ngram_join._added(ngram_join.classes_and_sketches(docs.repartition(n)).where("kind = 1")) for n in (1, 3, 9)]
+    assert sums[0].sum() == 100 and all((s == sums[0]).all() for s in sums)
+
+
+def test_prefixes_of_linked_sets_have_enough_in_common():
+    rng = random.Random(12)
+    for _ in range(400):
+        n = rng.randint(1, 60)
+        a = rng.sample(range(1000), n)
+        b = a[:rng.randint(1, n)] + rng.sample(range(1000, 2000), rng.randint(0, 12))
+        both = len(set(a) & set(b))
+        if 100 * both >= 75 * (len(a) + len(b) - both):
+            first, second = (set(sorted(s)[:ngram_join.prefix_length(len(s))]) for s in (a, b))
+            assert len(first & second) >= ngram_join.least_common(len(a), len(b))
+            assert both >= ngram_join.least_overlap(len(a), len(b))

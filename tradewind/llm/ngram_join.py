@@ -1,11 +1,15 @@
 """N-gram Jaccard join: which texts have word shingle sets of Jaccard similarity 0.75 or more.
 
 Texts with equal sets are one class. A class is listed under its prefix, the rarest
-quarter of its shingles: two sets that reach the similarity share a shingle of their
-prefixes (in one global order: the most frequent shingles last, the others by number).
-The lists give candidates, and a T-occurrence search decides them: the candidates of a
-class are an inverted index, DivideSkip merges the short lists with a heap, probes the
-long ones by binary search, and keeps those that reach the required overlap.
+quarter of its shingles: two sets that reach the similarity have a number T of prefix shingles
+in common that follows from their sizes, a tenth of a set or so. The order is that of the whole
+corpus: shingles are counted in slots of a sketch of fixed size, which adds up over the tasks.
+
+Candidates of a class share a list with it. They are an inverted index of prefix shingles, on
+which DivideSkip solves the T-occurrence problem: it merges the short lists with a heap,
+probes the long ones by binary search, and keeps those that occur T times. Texts that have only
+a passage in common do not. For the few that are left the same search runs over the whole
+sets, with the overlap that the similarity asks for; only their sets are ever shuffled.
 
 Components do not need all pairs. In two rounds each list compares its members with one
 leader, first with the member that has the largest share of its shingles in lists, that is
@@ -13,19 +17,18 @@ the least edited one; then only members of a list that are still in different co
 compared, with the longest lists of the smaller one set aside. No link between
 components is lost, and no group of copies is expanded into pairs.
 
-Skew: shingles that are frequent within some task are known before the prefixes are made
-(the MOST_FREQUENT most frequent are broadcast, a fixed number), stand at the end of the
-order, and are not shuffled to be counted. Comparisons with one leader are dealt to blocks
-of BLOCK candidates.
+Skew: frequent shingles stand at the end of the order. Those that are in prefixes all the
+same are not shuffled by their number. Candidates of one class are dealt to blocks of BLOCK.
 
 Defined cases: a NULL or empty text has an empty set and is linked with nothing; repeated
 rows and ids are rows of their own; the component of texts without an id has the smallest
-id there is, or NULL. Sets and shingles are known by 64-bit numbers.
+id there is, or NULL. A table without rows gives none. Sets, texts and shingles are known by 64-bit
+numbers, all of which are compared. Other columns are ignored. Of the largest texts a batch
+of some megabytes is in memory at once.
 """
 
 from __future__ import annotations
 
-import gc
 import heapq
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
@@ -45,11 +48,12 @@ from tradewind.llm.shingles import WIDTH, shingle_sets
 
 # Jaccard similarity I / (x + y - I) >= 3/4 is 7 I >= 3 (x + y).
 PERCENT = 75
-MOST_FREQUENT = 1 << 16
-# A shingle that so many texts of one task have may be frequent.
-FREQUENT_IN_TASK = 8
+# Slots in which shingles are counted to order them, and those of one row of counts.
+SKETCH_BITS, SKETCH_PART = 18, 1 << 12
+# Shingles of slots with so many more than three times the usual count are dealt by row.
+OFTEN = 256
 BLOCK = 256
-# Slots of the broadcast set of needed classes; classes that share one are sent in vain, no more.
+# Slots of the broadcast bitmap of wanted texts; texts that share one are turned into shingles in vain, no more.
 SLOTS = 1 << 22
 
 
@@ -101,12 +105,27 @@ def divide_skip(lists: Sequence[Sequence[int]], thresholds: Sequence[int]) -> di
     return out
 
 
-def linked(query: np.ndarray, candidates: list[np.ndarray]) -> list[int]:
-    """Places of the candidates whose overlap with the query reaches the similarity."""
-    sizes = [len(candidate) for candidate in candidates]
-    thresholds = [-(-3 * (len(query) + n) // 7) for n in sizes]
+def least_overlap(x: int, y: int) -> int:
+    """Shingles that linked sets of these sizes have in common."""
+    return -(-3 * (x + y) // 7)
+
+
+def least_common(x: int, y: int) -> int:
+    """Prefix shingles that linked sets of these sizes have in common.
+
+    Of the common shingles only those outside the prefix that ends first can be missing there,
+    and outside a prefix of n shingles lie all but a quarter of n.
+    """
+    return max(1, least_overlap(x, y) + 1 - max(-(-3 * x // 4), -(-3 * y // 4)))
+
+
+def t_occurrence(query: np.ndarray, candidates: list[np.ndarray], thresholds: list[int]) -> list[int]:
+    """Places of the candidates that share at least their threshold of numbers with the query, all sorted.
+
+    The candidates are turned into an inverted list for each number of the query.
+    """
     flat = np.concatenate(candidates)
-    owner = np.repeat(np.arange(len(candidates)), sizes)
+    owner = np.repeat(np.arange(len(candidates)), [len(candidate) for candidate in candidates])
     at = np.searchsorted(query, flat)
     hit = query[np.minimum(at, len(query) - 1)] == flat
     at, owner = at[hit], owner[hit]
@@ -116,50 +135,72 @@ def linked(query: np.ndarray, candidates: list[np.ndarray]) -> list[int]:
     return sorted(divide_skip(lists, thresholds)) if lists else []
 
 
-def classes_and_frequent(docs: DataFrame) -> DataFrame:
-    """One pass: rows of documents (kind 0) and rows of shingles frequent in a task (kind 1)."""
-    schema = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("doc_id", docs.schema["doc_id"].dataType), *T._parse_datatype_string(
-        "n bigint, number bigint").fields])
+# ---------------------------------------------------------------- one order of all shingles
+
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()
-        kept: list[np.ndarray] = []
-        held = 0
-
-        def frequent() -> Iterator[pa.RecordBatch]:
-            found, counts = np.unique(np.concatenate(kept), return_counts=True)
-            found, counts = found[counts >= FREQUENT_IN_TASK], counts[counts >= FREQUENT_IN_TASK]
-            none = pa.nulls(len(found), type_of_id)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(len(found), np.int32)), none, pa.array(counts.astype(np.int64)),
-                 pa.array(_signed(found))], schema.names)
 
+def classes_and_sketches(docs: DataFrame) -> DataFrame:
+    """One pass: rows of documents (kind 0), and parts of the counts of shingles by slot (kind 1).
+
+    A task counts the shingles of its sets in 2^SKETCH_BITS slots and gives them away in
+    parts of SKETCH_PART slots, which add up over the tasks.
+    """
+    schema = T.StructType([
+        T.StructField("kind", T.IntegerType()), T.StructField("doc_id", docs.schema["doc_id"].dataType),
+        *T._parse_datatype_string("text_id bigint, n bigint, number bigint, part int, counts binary").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << SKETCH_BITS, np.int64)
+        type_of_id = None
         for whole in batches:
             type_of_id = whole.column("doc_id").type
             for batch in text_slices(whole):
                 sets = shingle_sets(batch.column("text").to_pylist())
+                rows = len(sets)
+                if any(map(len, sets)):
+                    counts += np.bincount(_slots(np.concatenate(sets)), minlength=len(counts))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.zeros(len(sets), np.int32)), batch.column("doc_id"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([set_number(s) for s in sets], pa.int64())], schema.names)
-                kept += sets
-                held += sum(map(len, sets))
-                if held > 4_000_000:
-                    yield from frequent()
-                    kept, held = [], 0
-        if kept:
-            yield from frequent()
+                    pa.array(np.zeros(rows, np.int32)), batch.column("doc_id"), batch.column("text_id"),
+                    pa.array([len(s) for s in sets], pa.int64()), pa.array([set_number(s) for s in sets], pa.int64()),
+                    pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], schema.names)
+        if type_of_id is not None and counts.any():
+            parts = counts.reshape(-1, SKETCH_PART)
+            rows = len(parts)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.ones(rows, np.int32)), pa.nulls(rows, type_of_id), pa.nulls(rows, pa.int64()),
+                pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()), pa.array(np.arange(rows, dtype=np.int32)),
+                pa.array([part.astype("<i8").tobytes() for part in parts], pa.binary())], schema.names)
+
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_id")).mapInArrow(run, schema)
+
+
+def _added(sketches: DataFrame) -> np.ndarray:
+    """The counts of all tasks by slot: 2^SKETCH_BITS numbers, whatever the corpus."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
+                counts = np.frombuffer(counts, "<i8")
+                sums[part] = sums[part] + counts if part in sums else counts
+        if sums:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["part", "counts"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    total = np.zeros((1 << SKETCH_BITS) // SKETCH_PART * SKETCH_PART, np.int64).reshape(-1, SKETCH_PART)
+    for part, counts in sketches.select("part", "counts").repartition("part").mapInArrow(run, "part int, counts binary").collect():
+        total[part] = np.frombuffer(counts, "<i8")
+    return total.ravel()
 
 
-def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(token, set_id, n, hot) of the prefix of every set; `frequent` is sorted, most frequent last by its second row."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+def _prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
+    """(token, set_id, n, hot) of the prefix of every set: its shingles of the least frequent slots, then by number."""
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    often = int(3 * np.median(counts)) + OFTEN
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()
-        numbers, ranks = shared.value
+        counts = shared.value
         seen: set[int] = set()
         for whole in batches:
             for batch in text_slices(whole):
@@ -171,20 +212,10 @@ def _prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                         continue
                     seen.add(number)
                     length = prefix_length(n)
-                    if len(numbers):
-                        at = np.minimum(np.searchsorted(numbers, shingles), len(numbers) - 1)
-                        hot = numbers[at] == shingles
-                        if hot.any():
-                            # Stable: the others keep their order by number and come first.
-                            order = np.argsort(np.where(hot, ranks[at], -1), kind="stable")[:length]
-                            tokens.append(shingles[order])
-                            hots.append(hot[order])
-                        else:
-                            tokens.append(shingles[:length])
-                            hots.append(hot[:length])
-                    else:
-                        tokens.append(shingles[:length])
-                        hots.append(np.zeros(length, bool))
+                    found = counts[_slots(shingles)]
+                    order = np.argsort(found, kind="stable")[:length]  # equal counts keep their order by number
+                    tokens.append(shingles[order])
+                    hots.append(found[order] >= often)
                     ids.append(number)
                     sizes.append(n)
                 if ids:
@@ -310,110 +341,119 @@ def _cross_pairs(posts: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _needed_sets(docs: DataFrame, posts: DataFrame) -> DataFrame:
-    """(set_id, shingles) of the sets in lists, five bytes a shingle, each once."""
-    spark = docs.sparkSession
-    # At most SLOTS small numbers.
-    slots = posts.select(F.pmod("set_id", F.lit(SLOTS)).alias("slot")).distinct().toArrow()["slot"].to_numpy()
-    bits = np.zeros(SLOTS, bool)
-    bits[slots] = True
-    shared = spark.sparkContext.broadcast(np.packbits(bits))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()
-        wanted, seen = np.unpackbits(shared.value).astype(bool), set()
-        for whole in batches:
-            for batch in text_slices(whole):
-                ids, values = [], []
-                for shingles in shingle_sets(batch.column("text").to_pylist()):
-                    number = set_number(shingles)
-                    if len(shingles) and wanted[number % SLOTS] and number not in seen:
-                        seen.add(number)
-                        ids.append(number)
-                        values.append(pack_set(shingles))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(values, pa.binary())], ["set_id", "shingles"])
-
-    sets = docs.select("text").mapInArrow(run, "set_id bigint, shingles binary")
-    return sets.groupBy("set_id").agg(F.first("shingles").alias("shingles"))
-
-
-def pack_set(shingles: np.ndarray) -> bytes:
-    """The upper five bytes of each number, in order; two of a pair of sets fall together once in 10^6 pairs."""
-    return shingles[:, None].view(np.uint8)[:, 3:].tobytes()
+# ---------------------------------------------------------------- candidates and links
 
+def _searched(pairs: DataFrame, values: DataFrame, least) -> DataFrame:
+    """The pairs (a, b) whose numbers in `values` (set_id, n, numbers) have `least(n of a, n of b)` in common.
 
-def unpack_set(packed: bytes) -> np.ndarray:
-    out = np.zeros((len(packed) // 5, 8), np.uint8)
-    out[:, 3:] = np.frombuffer(packed, np.uint8).reshape(-1, 5)
-    return out.view(np.uint64).ravel()
-
-
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity; those of one `a` are dealt to blocks."""
+    The candidates of one `a` are dealt to blocks, so that a set with very many of them is
+    searched in many tasks; in each block DivideSkip runs over their inverted lists.
+    """
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     dealt = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"), "b")
     rows = dealt.select("a", "block", F.col("b").alias("set_id")).unionByName(
         dealt.select("a", "block", F.col("a").alias("set_id")).distinct())
-    rows = rows.join(sets, "set_id").withColumn("other", F.col("set_id") != F.col("a"))
+    rows = rows.join(values, "set_id").withColumn("other", F.col("set_id") != F.col("a"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()
         key, query, members, found = None, None, [], []
 
         def decide() -> None:
-            for start in range(0, len(members), BLOCK):
-                some = members[start:start + BLOCK]
-                found.extend((key[0], some[i][0]) for i in linked(query, [s for _, s in some]))
+            n, numbers = query
+            kept = t_occurrence(numbers, [own for _, _, own in members], [least(n, m) for _, m, _ in members])
+            found.extend((key[0], members[i][0]) for i in kept)
+            members.clear()
 
         for batch in batches:
-            for a, block, other, set_id, packed in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for a, block, other, set_id, n, packed in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 if (a, block) != key:
                     if members:
                         decide()
-                    key, query, members = (a, block), None, []
+                    key, query = (a, block), None
+                numbers = np.frombuffer(packed, np.uint64)
                 if other:
-                    members.append((set_id, unpack_set(packed)))
-                    if len(members) >= 2 * BLOCK:
+                    members.append((set_id, n, numbers))
+                    if len(members) >= BLOCK:
                         decide()
-                        members = []
                 else:
-                    query = unpack_set(packed)
+                    query = (n, numbers)
             if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(side, pa.int64()) for side in zip(*found)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*found)], ["a", "b"])
                 found.clear()
         if members:
             decide()
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*found)], ["a", "b"])
 
-    return rows.select("a", "block", "other", "set_id", "shingles").repartition("a", "block").sortWithinPartitions(
+    # The query comes before its candidates.
+    return rows.select("a", "block", "other", "set_id", "n", "numbers").repartition("a", "block").sortWithinPartitions(
         "a", "block", "other", "set_id").mapInArrow(run, "a bigint, b bigint")
 
 
+def _listed(posts: DataFrame) -> DataFrame:
+    """(set_id, n, numbers): the prefix shingles of a set that others have in theirs, sorted, packed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [np.sort(tokens.values.to_numpy().view(np.uint64)).tobytes() for tokens in batch.column("tokens")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("set_id"), batch.column("n"), pa.array(packed, pa.binary())], ["set_id", "n", "numbers"])
+
+    gathered = posts.groupBy("set_id").agg(F.first("n").alias("n"), F.collect_list("token").alias("tokens"))
+    return gathered.mapInArrow(run, "set_id bigint, n bigint, numbers binary")
+
+
+def _whole_sets(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(set_id, n, numbers): all shingles of the sets in `pairs`, each made from one of its texts."""
+    ends = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
+    wanted = members.join(ends, "set_id", "left_semi").groupBy("set_id").agg(F.min("text_id").alias("text_id"))
+    place = F.pmod("text_id", F.lit(SLOTS)) + 1
+    # A bitmap of fixed size says which texts may be wanted; the others are not turned into shingles.
+    parts = wanted.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    bits = np.zeros(SLOTS // 8, np.uint8)
+    for bucket, part in parts:
+        bits[(bucket - 1) * 4096:(bucket - 1) * 4096 + len(part)] = np.frombuffer(part, np.uint8)
+    packed = bits.tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, seen = np.unpackbits(np.frombuffer(packed, np.uint8), bitorder="little").astype(bool), set()
+        for whole in batches:
+            for batch in text_slices(whole.filter(pa.array(known[whole.column("text_id").to_numpy() % SLOTS]))):
+                texts = {i: text for i, text in zip(batch.column("text_id").to_pylist(), batch.column("text").to_pylist())
+                         if i not in seen}
+                seen.update(texts)
+                sets = shingle_sets(list(texts.values()))
+                kept = [s for s in sets if len(s)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([set_number(s) for s in kept], pa.int64()), pa.array([len(s) for s in kept], pa.int64()),
+                     pa.array([s.tobytes() for s in kept], pa.binary())], ["set_id", "n", "numbers"])
+
+    texts = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("text_id"), "text")
+    made = texts.mapInArrow(run, "set_id bigint, n bigint, numbers binary")
+    # Texts that fell into a wanted slot by chance go; of texts with one set, or copies in several tasks, one stays.
+    return made.join(ends, "set_id", "left_semi").groupBy("set_id").agg(
+        F.first("n").alias("n"), F.first("numbers").alias("numbers"))
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, set_id, component_id) of all rows of `docs` (doc_id, text)."""
     docs = docs.select("doc_id", "text")
-    spark = docs.sparkSession
-    passed = stage(classes_and_frequent(docs), "classes")
-    members = passed.where("kind = 0").select("doc_id", "n", F.col("number").alias("set_id"))
-    # At most MOST_FREQUENT rows come to the driver.
-    top = passed.where("kind = 1").groupBy("number").agg(F.sum("n").alias("n")).orderBy(
-        F.desc("n"), "number").limit(MOST_FREQUENT).toArrow()
-    numbers = top["number"].to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(numbers)
-    rank_of = np.arange(len(numbers))[::-1]  # the most frequent is last of all
-    frequent = np.stack([numbers[order], rank_of[order].astype(np.uint64)])
-    prefixes = _prefixes(docs, (frequent[0], frequent[1].astype(np.int64)))
-    posts = stage(_with_share(stage(_shared_tokens(prefixes), "shared")), "posts")
-    sets = stage(_needed_sets(docs, posts), "sets")
+    passed = stage(classes_and_sketches(docs), "classes")
+    members = passed.where("kind = 0").select("doc_id", "text_id", "n", F.col("number").alias("set_id"))
+    counts = _added(passed.where("kind = 1"))
+    posts = stage(_with_share(stage(_shared_tokens(_prefixes(docs, counts)), "shared")), "posts")
+    listed = stage(_listed(posts), "listed")
     links: list[DataFrame] = []
     labels = None
     for turn in range(3):
         pairs = _cross_pairs(posts, labels) if turn == 2 else _star_pairs(posts, labels, turn)
-        links.append(stage(verified(stage(pairs, "pairs"), sets), "linked"))
-        labels = stage(components(reduce(DataFrame.unionByName, links)), "labels")
+        likely = stage(_searched(stage(pairs, "pairs"), listed, least_common), "likely")
+        if not likely.isEmpty():
+            sets = stage(_whole_sets(docs, members, likely), "sets")
+            links.append(stage(_searched(likely, sets, least_overlap), "linked"))
+            labels = stage(components(reduce(DataFrame.unionByName, links)), "labels")
+        elif labels is None:
+            labels = stage(components(likely), "labels")
     labels = labels.select(F.col("id").alias("set_id"), "component")
     named = members.join(labels, "set_id", "left").withColumn("component", F.when(
         F.col("n") > 0, F.coalesce("component", "set_id")))
