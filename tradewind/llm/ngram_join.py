@@ -347,16 +347,18 @@ def _searched(pairs: DataFrame, values: DataFrame, least) -> DataFrame:
     """The pairs (a, b) whose numbers in `values` (set_id, n, numbers) have `least(n of a, n of b)` in common.
 
     The candidates of one `a` are dealt to blocks, so that a set with very many of them is
-    searched in many tasks; in each block DivideSkip runs over their inverted lists.
+    searched in many tasks; in each block DivideSkip runs over their inverted lists. The pairs
+    are staged, so that the planner knows their size and shuffles `values` only if they are many.
+    `values` may have a set more than once.
     """
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    dealt = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"), "b")
-    rows = dealt.select("a", "block", F.col("b").alias("set_id")).unionByName(
-        dealt.select("a", "block", F.col("a").alias("set_id")).distinct())
-    rows = rows.join(values, "set_id").withColumn("other", F.col("set_id") != F.col("a"))
+    dealt = stage(pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"), "b"), "dealt")
+    rows = stage(dealt.select("a", "block", F.col("b").alias("set_id")).unionByName(
+        dealt.select("a", "block", F.col("a").alias("set_id")).distinct()), "ends")
+    rows = values.join(rows, "set_id").withColumn("other", F.col("set_id") != F.col("a"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, query, members, found = None, None, [], []
+        key, query, last, members, found = None, None, None, [], []
 
         def decide() -> None:
             n, numbers = query
@@ -369,14 +371,15 @@ def _searched(pairs: DataFrame, values: DataFrame, least) -> DataFrame:
                 if (a, block) != key:
                     if members:
                         decide()
-                    key, query = (a, block), None
+                    key, query, last = (a, block), None, None
                 numbers = np.frombuffer(packed, np.uint64)
-                if other:
+                if not other:
+                    query = (n, numbers)
+                elif set_id != last:
                     members.append((set_id, n, numbers))
                     if len(members) >= BLOCK:
                         decide()
-                else:
-                    query = (n, numbers)
+                last = set_id
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*found)], ["a", "b"])
                 found.clear()
@@ -403,7 +406,10 @@ def _listed(posts: DataFrame) -> DataFrame:
 
 
 def _whole_sets(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(set_id, n, numbers): all shingles of the sets in `pairs`, each made from one of its texts."""
+    """(set_id, n, numbers): all shingles of the sets in `pairs`, each made from one of its texts.
+
+    Copies of a text in several tasks give the same row.
+    """
     ends = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
     wanted = members.join(ends, "set_id", "left_semi").groupBy("set_id").agg(F.min("text_id").alias("text_id"))
     place = F.pmod("text_id", F.lit(SLOTS)) + 1
@@ -429,10 +435,8 @@ def _whole_sets(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFr
                      pa.array([s.tobytes() for s in kept], pa.binary())], ["set_id", "n", "numbers"])
 
     texts = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("text_id"), "text")
-    made = texts.mapInArrow(run, "set_id bigint, n bigint, numbers binary")
-    # Texts that fell into a wanted slot by chance go; of texts with one set, or copies in several tasks, one stays.
-    return made.join(ends, "set_id", "left_semi").groupBy("set_id").agg(
-        F.first("n").alias("n"), F.first("numbers").alias("numbers"))
+    # Texts that fell into a wanted slot by chance go in the join with the pairs.
+    return texts.mapInArrow(run, "set_id bigint, n bigint, numbers binary")
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
@@ -444,13 +448,20 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     posts = stage(_with_share(stage(_shared_tokens(_prefixes(docs, counts)), "shared")), "posts")
     listed = stage(_listed(posts), "listed")
     links: list[DataFrame] = []
+    decided: list[DataFrame] = []
     labels = None
     for turn in range(3):
         pairs = _cross_pairs(posts, labels) if turn == 2 else _star_pairs(posts, labels, turn)
-        likely = stage(_searched(stage(pairs, "pairs"), listed, least_common), "likely")
+        # Each pair once, as it is: `a` is the leader, whose candidates meet in blocks.
+        ends = {"low": F.least("a", "b"), "high": F.greatest("a", "b")}
+        pairs = pairs.withColumns(ends).dropDuplicates(["low", "high"])
+        for earlier in decided:
+            pairs = pairs.join(earlier, ["low", "high"], "left_anti")
+        pairs = stage(pairs, "pairs")
+        decided.append(pairs.select("low", "high"))
+        likely = stage(_searched(pairs.select("a", "b"), listed, least_common), "likely")
         if not likely.isEmpty():
-            sets = stage(_whole_sets(docs, members, likely), "sets")
-            links.append(stage(_searched(likely, sets, least_overlap), "linked"))
+            links.append(stage(_searched(likely, _whole_sets(docs, members, likely), least_overlap), "linked"))
             labels = stage(components(reduce(DataFrame.unionByName, links)), "labels")
         elif labels is None:
             labels = stage(components(likely), "labels")
