@@ -159,3 +159,26 @@ def test_licenses(spark, nothing):
     assert got[1, "GPL-3.0"].start_word == 500 and 0.75 <= got[1, "Apache-2.0-header"].containment < 1
     assert licenses.collision_probability(0.3) > 0.999
     assert licenses.op4_license_scan(nothing).count() == 0
+
+
+def test_viterbi_against_every_labelling():
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    for penalty in (0.0, 0.5, 3.0):
+        scores = [rng.normal(size=(n, 3)) for n in (1, 2, 5, 6)]
+        for own, labels in zip(scores, langid.viterbi(scores, penalty)):
+            def value(path):
+                return sum(own[i, label] for i, label in enumerate(path)) - penalty * sum(a != b for a, b in zip(path, path[1:]))
+            assert value(labels.tolist()) == pytest.approx(max(map(value, itertools.product(range(3), repeat=len(own)))))
+
+
+def test_every_language_is_learned(spark):
+    rows = [(i * 10 + j, " ".join(f"{chr(97 + i // 26)}{chr(97 + i % 26)}word{k}" for k in "abcdefgh"), f"l{i:03d}") for i in range(80) for j in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.learn(docs)
+    assert len(model.languages) == 80
+    got = langid.identify(docs, model, spans=False).where("lang = lang_pred").count()
+    assert got > 0.9 * len(rows)

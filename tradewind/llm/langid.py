@@ -11,7 +11,9 @@ language, each task into an array of fixed size; the sums, at most BUCKETS x (nu
 what is broadcast does not grow with the corpus.
 
 Defined cases: a text that is NULL or has no letter is `und` with score 0, no spans; a
-language that is NULL is not learned from; without any labelled text all are `und`.
+language that is NULL is not learned from; without any labelled text all are `und`. Of
+languages that are equally likely the first in text order is taken. Repeated rows and ids
+are labelled one by one; an empty table gives no rows. Long texts are labelled whole.
 """
 
 from __future__ import annotations
@@ -34,7 +36,8 @@ from tradewind.llm.common import crc_share, text_slices
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 SWITCH_PENALTY = 6.0
-MOST_LANGUAGES = 64
+# Characters of the texts that go through Viterbi together.
+CHARACTERS = 8_000_000
 _SMOOTHING = 0.5
 _BASE, _SPREAD = np.uint64(1_000_003), np.uint64(0x9E3779B97F4A7C15)
 
@@ -114,9 +117,8 @@ def learn(
     labelled = docs.select(
         F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.xxhash64(key).alias("key"),
     ).where("text IS NOT NULL AND lang IS NOT NULL")
-    # Fixed bound: the languages are labels of the model, the most frequent MOST_LANGUAGES of them.
-    rows = {row["lang"]: row["count"] for row in labelled.groupBy("lang").count().orderBy(
-        F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
+    # Every label is learned: a row for each comes to the driver.
+    rows = {row["lang"]: row["count"] for row in labelled.groupBy("lang").count().collect()}
     languages = tuple(sorted(rows))
     if not languages:
         return LanguageModel((), np.zeros((BUCKETS, 0)), np.zeros((len(SCRIPTS), 0), bool))
@@ -149,7 +151,7 @@ def learn(
             ["language", "bucket", "n"])
 
     table = labelled.mapInArrow(count, "language int, bucket int, n bigint").groupBy("language", "bucket").agg(
-        F.sum("n").alias("n")).toArrow()  # at most MOST_LANGUAGES x (BUCKETS + scripts) rows
+        F.sum("n").alias("n")).toArrow()  # at most (number of languages) x (BUCKETS + scripts) rows
     counts = np.zeros((size, len(languages)))
     counts[table["bucket"].to_numpy(), table["language"].to_numpy()] = table["n"].to_numpy()
     grams, scripts = counts[:BUCKETS], counts[BUCKETS:]
@@ -209,7 +211,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", spans: b
         held = shared.value
         span_type = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int32()), ("n_words", pa.int32())]))
         for whole in batches:
-            for batch in text_slices(whole, 24_000_000, text):
+            for batch in text_slices(whole, CHARACTERS, text):
                 predictions = _label(batch.column(text).to_pylist(), held, spans)
                 columns = [pa.array([p[0] for p in predictions], pa.string()),
                            pa.array([p[1] for p in predictions], pa.float64())]
