@@ -8,6 +8,7 @@ from collections import Counter
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.oracle import connect, difference
@@ -182,3 +183,21 @@ def test_every_language_is_learned(spark):
     assert len(model.languages) == 80
     got = langid.identify(docs, model, spans=False).where("lang = lang_pred").count()
     assert got > 0.9 * len(rows)
+
+
+def test_following_documents_over_two_thousand_ranges(spark, tmp_path):
+    rows = [(i * 3 if i % 50 else None, f"text {i} " + "word " * 30) for i in range(4000)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    size = sum(p.stat().st_size for p in (tmp_path / "docs").glob("*.parquet"))
+    got = merkle.with_next(docs, max(1, size // 2000)).select("doc_id", "text", "_range", "_edge", F.spark_partition_id().alias("p")).collect()
+    ranges = {}
+    for row in got:
+        ranges.setdefault(row._range, []).append(row)
+    assert len(ranges) > 1000 and len(got) == 4000 + len(ranges)
+    chain = [row for at in sorted(ranges) for row in ranges[at] if not row._edge]
+    assert [r.doc_id for r in chain if r.doc_id is not None] == sorted((i for i, _ in rows if i is not None), reverse=True)
+    # The follower of the last row of a range is the first of the next one, of the last range that of the first.
+    order = sorted(ranges)
+    for at, after in zip(order, [*order[1:], order[0]]):
+        assert ranges[at][-1]._edge and ranges[at][-1].text == next(r.text for r in ranges[after] if not r._edge)

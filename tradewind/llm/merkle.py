@@ -164,34 +164,35 @@ def fingerprints(docs: DataFrame, text: str = "text", to: str = "fingerprint") -
 RANGE_BYTES = 16 << 20
 
 
-def with_next(docs: DataFrame) -> DataFrame:
+def with_next(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(doc_id, text, _range, _rank, _edge): documents in ranges of descending id, each range with its follower.
 
     One id per range comes to the driver. The texts are shuffled once; a copy of the first
-    document of each range goes along to the range before, as its last row (`_edge`).
+    document of each range goes along to the range before, as its last row (`_edge`). NULL ids
+    come after all others, in ranges by a hash of the text.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    parts = slots_for(docs, RANGE_BYTES)
+    parts = slots_for(docs, range_bytes)
     bounds = [] if parts == 1 else sorted(set(docs.select("doc_id").approxQuantile(
         "doc_id", [i / parts for i in range(1, parts)], 0.2 / parts)), reverse=True)
-    inside = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda bound: F.col("doc_id") < bound)) if bounds else F.lit(0)
-    # NULL ids come after all others, as a range of their own.
+    inside = F.size(F.filter(F.lit(bounds), lambda bound: F.col("doc_id") < bound)) if bounds else F.lit(0)
+    hashed = F.pmod(F.xxhash64("text"), F.lit(parts)) + len(bounds) + 1
     ranged = docs.withColumns({
-        "_range": F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(inside).cast("int"),
-        "_edge": F.lit(False)})
+        "_range": F.when(F.col("doc_id").isNull(), hashed).otherwise(inside).cast("int"), "_edge": F.lit(False)})
     # The first row of a range has its largest id and, of rows with that id, the smallest text.
     tops = dict(ranged.groupBy("_range").agg(F.max("doc_id")).collect())
     order = sorted(tops)
     if order:
-        first, to = F.lit(False), F
-        for last, this in zip([order[-1], *order[:-1]], order):
-            here = F.col("_range") == this
-            first = first | (here & F.col("doc_id").eqNullSafe(F.lit(tops[this])))
-            to = to.when(here, F.lit(last))
-        edges = ranged.where(first).withColumn("_range", to.cast("int")).groupBy("_range").agg(
+        # A row of three numbers for each range: where its first document goes as the follower.
+        follows = docs.sparkSession.createDataFrame(
+            [(this, tops[this], last) for last, this in zip([order[-1], *order[:-1]], order)],
+            T.StructType([T.StructField("_of", T.IntegerType()), T.StructField("_top", docs.schema["doc_id"].dataType),
+                          T.StructField("_to", T.IntegerType())]))
+        first = (F.col("_range") == F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("_top"))
+        edges = ranged.join(F.broadcast(follows), first).groupBy(F.col("_to").alias("_range")).agg(
             F.max("doc_id").alias("doc_id"), F.min("text").alias("text"), F.lit(True).alias("_edge"))
         ranged = ranged.unionByName(edges)
-    return ranged.repartitionByRange(len(order) or 1, "_range").sortWithinPartitions(
+    return ranged.repartitionById(max(order, default=0) + 1, F.col("_range")).sortWithinPartitions(
         "_range", "_edge", F.col("doc_id").desc_nulls_last(), "text")
 
 
