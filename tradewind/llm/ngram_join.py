@@ -258,12 +258,13 @@ def _shared_tokens(prefixes: DataFrame) -> DataFrame:
         lengths = np.diff(np.concatenate((first, [len(tokens)])))
         distinct = np.add.reduceat(new, first)
         keep = np.repeat(distinct > 1, lengths) & new
-        keep |= rows.column("hot").to_numpy(zero_copy_only=False)
+        keep |= rows.column("hot").to_numpy(zero_copy_only=False) & new
         yield rows.filter(pa.array(keep)).select(["token", "set_id", "n"])
 
     place = F.when(F.col("hot"), F.xxhash64("token", "set_id")).otherwise(F.col("token"))
+    # Equal rows are neighbours, also those dealt by row.
     return prefixes.repartition(place).sortWithinPartitions("token", "set_id").mapInArrow(
-        run, "token bigint, set_id bigint, n bigint").distinct()
+        run, "token bigint, set_id bigint, n bigint")
 
 
 def _band(n: Column) -> Column:
