@@ -17,6 +17,10 @@ most a row for each CHUNK_WORDS words in the shuffle, however many documents sha
 Words are compared in blocks of BLOCK words, so an owner that many documents match is
 looked up in a join that can be split, and is never gathered.
 
+The words of all texts are numbered once, four bytes each, and staged; seeds, blocks and
+runs are made from the numbers. Two different words share a number with probability 2^-32.
+After the first round of alignments only the documents that are still asked for are kept.
+
 Defined cases: a NULL or empty text, and one of fewer words than a passage has, has no
 passages; rows with the same id count as one document, a NULL id as one for each text;
 passages within one document are no repeats; extra columns are not used.
@@ -50,7 +54,7 @@ MARGIN = 32
 MOST_MARGIN = 8192
 FAR = 1 << 30
 BLOCK = 32
-SLOTS = 1 << 22
+SLICE_BYTES = 4_000_000  # of word numbers, taken at once
 _NONE = np.uint64(2 ** 64 - 1)
 # Seeds, their documents and positions, and the number of words they were taken from.
 Rows = tuple[np.ndarray, np.ndarray, np.ndarray, int]
@@ -61,6 +65,27 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text")).alias("doc"), "text")
 
 
+def numbered_words(docs: DataFrame, min_words: int = SEED) -> DataFrame:
+    """(doc, words): the word numbers of the texts of `min_words` words or more, four bytes each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in text_slices(whole):
+                numbers, lengths = word_numbers(batch.column("text").to_pylist())
+                data, ends = mixed(numbers).astype("<u4").tobytes(), (4 * np.cumsum(lengths)).tolist()
+                words = [data[end - 4 * n:end] for end, n in zip(ends, lengths.tolist())]
+                out = pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(words, pa.binary())], ["doc", "words"])
+                yield out.filter(pa.array(lengths >= min_words))
+
+    return docs.mapInArrow(run, "doc bigint, words binary")
+
+
+def _numbers(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of a column of `words` in a row, and how many each row has."""
+    rows = words.to_pylist()
+    return np.frombuffer(b"".join(rows), "<u4"), np.fromiter(map(len, rows), np.int64, len(rows)) // 4
+
+
 def minimizers(numbers: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(seed, text, position) of the minimizers of texts whose word numbers stand in a row."""
     kmers = runs(numbers, SEED)
@@ -81,7 +106,7 @@ def minimizers(numbers: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np
     return kmers[at], text[at], at - starts[text[at]]
 
 
-def _led(docs: DataFrame, chosen: Callable[[pa.RecordBatch], Rows]) -> DataFrame:
+def _led(words: DataFrame, chosen: Callable[[pa.RecordBatch], Rows]) -> DataFrame:
     """(seed, doc, pos, owner, owner_pos, common) of the rows `chosen` takes from a batch.
 
     The owner is NULL for the first document of a seed in a chunk; `common` says whether
@@ -91,7 +116,7 @@ def _led(docs: DataFrame, chosen: Callable[[pa.RecordBatch], Rows]) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        words = 0
+        taken = 0
 
         def combined() -> pa.RecordBatch:
             seed, doc, pos = (np.concatenate(column) for column in zip(*held))
@@ -115,17 +140,17 @@ def _led(docs: DataFrame, chosen: Callable[[pa.RecordBatch], Rows]) -> DataFrame
             ], ["seed", "doc", "pos", "owner", "owner_pos", "common"])
 
         for whole in batches:
-            for batch in text_slices(whole):
+            for batch in text_slices(whole, SLICE_BYTES, "words"):
                 rows = chosen(batch)
                 held.append(rows[:3])
-                words += rows[3]
-                if words > CHUNK_WORDS:
+                taken += rows[3]
+                if taken > CHUNK_WORDS:
                     yield combined()
-                    held, words = [], 0
+                    held, taken = [], 0
         if held:
             yield combined()
 
-    return docs.mapInArrow(run, "seed bigint, doc bigint, pos int, owner bigint, owner_pos int, common boolean")
+    return words.mapInArrow(run, "seed bigint, doc bigint, pos int, owner bigint, owner_pos int, common boolean")
 
 
 def _whole_keys(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.RecordBatch]:
@@ -181,15 +206,15 @@ def _matches(led: DataFrame) -> DataFrame:
         run, "doc bigint, pos int, owner bigint, owner_pos int")
 
 
-def seed_matches(docs: DataFrame) -> DataFrame:
+def seed_matches(words: DataFrame) -> DataFrame:
     """The matches of the minimizers of the texts."""
 
     def chosen(batch: pa.RecordBatch) -> Rows:
-        numbers, lengths = word_numbers(batch.column("text").to_pylist())
-        seed, text, pos = minimizers(numbers, lengths)
+        numbers, lengths = _numbers(batch.column("words"))
+        seed, text, pos = minimizers(numbers.astype(np.uint64), lengths)
         return seed, batch.column("doc").to_numpy()[text], pos, len(numbers)
 
-    return _matches(_led(docs, chosen))
+    return _matches(_led(words, chosen))
 
 
 class Fenwick:
@@ -273,26 +298,26 @@ def pieces(pos: list[int], owner_pos: list[int]) -> list[list[int]]:
     return out
 
 
-def regions(pos: list[int], exact: list[tuple[int, int]], width: int) -> list[tuple[int, int]]:
-    """Ranges of the places where a run of `width` words may start that another document has too.
+def regions(doc: np.ndarray, pos: np.ndarray, exact: dict[int, list[tuple[int, int]]], width: int) -> list[tuple[int, int, int]]:
+    """(doc, start, end): the places where a run of `width` words may start that another document has too.
 
     `pos` are the places of the seeds that others have. All `width` words of an equal run lie
     on such seeds, but for WINDOW - 1 at either end. Runs within `exact` are known already.
     """
-    out, first, last = [], None, None
-    for p in [*pos, None]:
-        if last is not None and (p is None or p > last + WINDOW):
-            if last + SEED - first >= width - 2 * (WINDOW - 1):
-                out.append((max(first - WINDOW + 1, 0), last + SEED + WINDOW - width))
-            first = p
-        elif first is None:
-            first = p
-        last = p
-    for start, end in exact:
-        known = start, end - width + 1
-        if known[0] < known[1]:
-            out = [part for a, b in out for part in ((a, min(b, known[0])), (max(a, known[1]), b)) if part[0] < part[1]]
-    return [part for part in out if part[0] < part[1]]
+    order = np.lexsort((pos, doc))
+    doc, pos = doc[order], pos[order]
+    first = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (pos[1:] > pos[:-1] + WINDOW))))
+    last = pos[np.concatenate((first[1:], [len(doc)])) - 1]
+    wide = last + SEED - pos[first] >= width - 2 * (WINDOW - 1)
+    out = []
+    for name, start, end in zip(doc[first][wide].tolist(), pos[first][wide].tolist(), last[wide].tolist()):
+        parts = [(max(start - WINDOW + 1, 0), end + SEED + WINDOW - width)]
+        for a, b in exact.get(name, ()):
+            b = b - width + 1
+            if a < b:
+                parts = [part for low, high in parts for part in ((low, min(high, a)), (max(low, b), high)) if part[0] < part[1]]
+        out += [(name, *part) for part in parts if part[0] < part[1]]
+    return out
 
 
 _FOUND = "doc bigint, chain int, start int, end int, owner bigint, owner_start int, owner_end int"
@@ -304,68 +329,56 @@ def chained(matches: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     Rows without an owner are the `regions` of a document.
     """
 
+    names = ["doc", "chain", "start", "end", "owner", "owner_start", "owner_end"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()
         for batch in _whole_keys(batches, ["doc"]):
-            doc = batch.column("doc").to_numpy()
-            owner = batch.column("owner").to_pylist()
-            pos, owner_pos = batch.column("pos").to_pylist(), batch.column("owner_pos").to_pylist()
-            cuts = np.flatnonzero(doc[1:] != doc[:-1]) + 1
-            rows = []
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(doc)]):
-                chain, exact, name = 0, [], int(doc[a])
-                i = a
-                while i < b:
-                    j = i + 1
-                    while j < b and owner[j] == owner[i]:
-                        j += 1
-                    if owner[i] is not None:
-                        at, owner_at = pos[i:j], owner_pos[i:j]
-                        for *_, members in chains(at, owner_at):
-                            for piece in pieces([at[k] for k in members], [owner_at[k] for k in members]):
-                                rows.append((name, chain, piece[0], piece[1], owner[i], piece[2], piece[3]))
-                                exact.append((piece[0], piece[1]))
-                            chain += 1
-                    i = j
-                for start, end in regions(sorted(set(pos[a:b])), exact, min_words):
-                    rows.append((name, None, start, end, None, None, None))
+            doc, pos = batch.column("doc").to_numpy(), batch.column("pos").to_numpy()
+            matched = batch.column("owner").is_valid().to_numpy(zero_copy_only=False)
+            owner = pc.fill_null(batch.column("owner"), 0).to_numpy(zero_copy_only=False)
+            owner_pos = pc.fill_null(batch.column("owner_pos"), 0).to_numpy(zero_copy_only=False)
+            fresh = np.concatenate(([True], doc[1:] != doc[:-1]))
+            # A chain is named by the place of a match among those of its document.
+            place = np.arange(len(doc)) - np.maximum.accumulate(np.where(fresh, np.arange(len(doc)), 0))
+            first = np.flatnonzero(fresh | np.concatenate(([True], (owner[1:] != owner[:-1]) | (matched[1:] != matched[:-1]))))
+            size = np.diff(np.concatenate((first, [len(doc)])))
+            # One match with an owner is a chain and a piece.
+            at = first[(size == 1) & matched[first]]
+            yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(
+                (doc[at], place[at], pos[at], pos[at] + SEED, owner[at], owner_pos[at], owner_pos[at] + SEED), kinds)], names)
+            exact: dict[int, list[tuple[int, int]]] = {}
+            if SEED >= min_words:
+                for i in at.tolist():
+                    exact.setdefault(int(doc[i]), []).append((int(pos[i]), int(pos[i]) + SEED))
+            rows: list[tuple] = []
+            several = (size > 1) & matched[first]
+            for a, n in zip(first[several].tolist(), size[several].tolist()):
+                name, chain, with_ = int(doc[a]), int(place[a]), int(owner[a])
+                here, there = pos[a:a + n].tolist(), owner_pos[a:a + n].tolist()
+                for *_, members in chains(here, there):
+                    for piece in pieces([here[k] for k in members], [there[k] for k in members]):
+                        rows.append((name, chain, piece[0], piece[1], with_, piece[2], piece[3]))
+                        if piece[1] - piece[0] >= min_words:
+                            exact.setdefault(name, []).append((piece[0], piece[1]))
+                    chain += 1
+            rows += [(name, None, start, end, None, None, None) for name, start, end in regions(doc, pos, exact, min_words)]
             if rows:
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)],
-                    ["doc", "chain", "start", "end", "owner", "owner_start", "owner_end"])
+                yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)], names)
 
     sorted_matches = matches.repartition("doc").sortWithinPartitions("doc", "owner", "pos", "owner_pos")
     return sorted_matches.mapInArrow(run, _FOUND).withColumn("piece", F.monotonically_increasing_id())
 
 
-def _blocks(docs: DataFrame, slots: np.ndarray) -> DataFrame:
-    """(doc, block, words): word numbers, four bytes each, of the documents in `slots`."""
-    bits = np.zeros(SLOTS, bool)
-    bits[slots] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+def _blocks(words: DataFrame) -> DataFrame:
+    """(doc, block, words): the numbers of BLOCK words after the other."""
+    return words.select(
+        "doc", "words", F.explode(F.sequence(F.lit(0), F.floor((F.length("words") - 1) / (4 * BLOCK)).cast("int"))).alias("block"),
+    ).select("doc", "block", F.expr(f"substring(words, {4 * BLOCK} * block + 1, {4 * BLOCK})").alias("words"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()
-        wanted = np.unpackbits(shared.value).astype(bool)
-        for whole in batches:
-            for batch in text_slices(whole):
-                batch = batch.filter(pa.array(wanted[batch.column("doc").to_numpy() % SLOTS]))
-                numbers, lengths = word_numbers(batch.column("text").to_pylist())
-                numbers = mixed(numbers).astype("<u4")
-                docs_, blocks, words, at = [], [], [], 0
-                for doc, length in zip(batch.column("doc").to_pylist(), lengths.tolist()):
-                    data = numbers[at:at + length].tobytes()
-                    at += length
-                    for block in range(-(-length // BLOCK)):
-                        docs_.append(doc)
-                        blocks.append(block)
-                        words.append(data[4 * BLOCK * block:4 * BLOCK * (block + 1)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs_, pa.int64()), pa.array(blocks, pa.int32()), pa.array(words, pa.binary())],
-                    ["doc", "block", "words"])
 
-    return docs.mapInArrow(run, "doc bigint, block int, words binary")
+STEPS = ((1, 1), (1, 0), (0, 1), (2, 2), (2, 1), (1, 2), (2, 0), (0, 2))  # words passed on either side at a difference
 
 
 def alignment(a: list[int], b: list[int]) -> tuple[int, int, int]:
@@ -383,7 +396,7 @@ def alignment(a: list[int], b: list[int]) -> tuple[int, int, int]:
         best = None
         if set(a[i:i + 6]).isdisjoint(b[j:j + 6]):
             break
-        for di, dj in ((1, 1), (1, 0), (0, 1), (2, 2), (2, 1), (1, 2), (2, 0), (0, 2)):
+        for di, dj in STEPS:
             agree = sum(x == y for x, y in zip(a[i + di:i + di + 4], b[j + dj:j + dj + 4]))
             if agree >= 3 and (best is None or agree > best[0]):
                 best = agree, di, dj
@@ -393,20 +406,53 @@ def alignment(a: list[int], b: list[int]) -> tuple[int, int, int]:
     return end
 
 
-def extended(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    return alignment(a.tolist(), b.tolist())[:2]
+def aligned_edges(numbers: np.ndarray, own: np.ndarray, other: np.ndarray, ahead: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(i, j, same) of `alignment` for many pairs of lists at once.
+
+    `numbers` holds the `own` words of the first pair, its `other` words, and so on. Lists that
+    are not `ahead` are aligned from their ends back. What agrees up to the first difference,
+    and whether that difference can be passed, is found for all pairs together.
+    """
+    starts = np.cumsum(own + other) - own - other
+    sign = np.where(ahead, 1, -1)
+    a0 = np.where(ahead, starts, starts + own - 1)
+    b0 = np.where(ahead, starts + own, starts + own + other - 1)
+    least = np.minimum(own, other)
+    pair = np.repeat(np.arange(len(own)), least)
+    step = np.arange(len(pair)) - np.repeat(np.cumsum(least) - least, least)
+    differ = numbers[a0[pair] + sign[pair] * step] != numbers[b0[pair] + sign[pair] * step]
+    same = least.copy()
+    np.minimum.at(same, pair[differ], step[differ])
+    i, j = same.copy(), same.copy()
+    at = np.flatnonzero(same < least)
+    places = same[at, None] + np.arange(6)
+    sides = []
+    for begin, count, none in ((a0, own, -1), (b0, other, -2)):
+        inside = places < count[at, None]
+        index = begin[at, None] + sign[at, None] * np.where(inside, places, 0)
+        sides.append(np.where(inside, numbers[index].astype(np.int64), none))
+    passed = np.zeros(len(at), bool)
+    for di, dj in STEPS:
+        passed |= (sides[0][:, di:di + 4] == sides[1][:, dj:dj + 4]).sum(1) >= 3
+    for k in at[passed].tolist():
+        done = int(same[k])
+        a = numbers[starts[k]:starts[k] + own[k]].tolist()
+        b = numbers[starts[k] + own[k]:starts[k] + own[k] + other[k]].tolist()
+        if not ahead[k]:
+            a, b = a[::-1], b[::-1]
+        x, y, agree = alignment(a[done:], b[done:])
+        i[k], j[k], same[k] = done + x, done + y, done + agree
+    return i, j, same
 
 
-def _slots(found: DataFrame) -> np.ndarray:
-    """Residues of the documents and owners of `found`: at most SLOTS small numbers."""
-    return found.where("owner IS NOT NULL").select(F.explode(F.array("doc", "owner")).alias("doc")).select(
-        F.pmod("doc", F.lit(SLOTS)).alias("slot")).distinct().toArrow()["slot"].to_numpy().astype(np.int64)
+def extended(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
+    return alignment(a.tolist(), b.tolist())[:2]
 
 
 def _moved(edges: DataFrame, blocks: DataFrame, margin: int) -> DataFrame:
     """(edge, i, j, same, more): how far the words align from the edges on, for at most `margin` words.
 
-    `more` says that the margin ended it.
+    `more` says that the margin ended it. Edges that do not move have no row.
     """
 
     def asked(side: int, doc: str, at: str, limit: str) -> DataFrame:
@@ -416,29 +462,31 @@ def _moved(edges: DataFrame, blocks: DataFrame, margin: int) -> DataFrame:
             "*", F.explode(F.sequence((F.col("from") / BLOCK).cast("int"), ((F.col("to") - 1) / BLOCK).cast("int"))).alias("block"))
 
     wanted = asked(0, "doc", "at", "limit").unionByName(asked(1, "owner", "owner_at", "owner_limit"))
+    low = F.greatest(F.col("from") - BLOCK * F.col("block"), F.lit(0))
+    high = F.least(F.col("to") - BLOCK * F.col("block"), F.lit(BLOCK))
     # Rows with the same id have the same blocks twice.
-    got = wanted.join(blocks, ["doc", "block"]).select("edge", "ahead", "side", "from", "to", "block", "words")
+    got = wanted.join(blocks.hint("merge"), ["doc", "block"]).select(
+        "edge", "ahead", "side", "block", F.substring("words", 4 * low + 1, 4 * (high - low)).alias("words"))
+    kinds = [pa.int64()] + [pa.int32()] * 3 + [pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()
         for batch in _whole_keys(batches, ["edge"]):
-            sides: tuple[dict[int, list[int]], ...] = {}, {}
-            rows = []
-            columns = [batch.column(i).to_pylist() for i in range(7)]
-            for i, (edge, ahead, side, low, high, block, words) in enumerate(zip(*columns)):
-                first = block * BLOCK
-                sides[side].setdefault(block, np.frombuffer(words, "<u4")[max(low - first, 0):max(high - first, 0)].tolist())
-                if i + 1 == batch.num_rows or columns[0][i + 1] != edge:
-                    a, b = ([word for at in sorted(parts) for word in parts[at]] for parts in sides)
-                    if not ahead:
-                        a, b = a[::-1], b[::-1]
-                    x, y, same = alignment(a, b)
-                    # Differences within the last words of the margin can not be judged yet.
-                    more = x > 0 and any(len(part) == margin and at >= margin - SEED for part, at in ((a, x), (b, y)))
-                    rows.append((edge, x, y, same, more))
-                    sides = {}, {}
+            edge, side, block = (batch.column(name).to_numpy() for name in ("edge", "side", "block"))
+            again = np.concatenate(([False], (edge[1:] == edge[:-1]) & (side[1:] == side[:-1]) & (block[1:] == block[:-1])))
+            if again.any():
+                batch = batch.filter(pa.array(~again))
+                edge, side = (batch.column(name).to_numpy() for name in ("edge", "side"))
+            numbers, lengths = _numbers(batch.column("words"))
+            first = np.flatnonzero(np.concatenate(([True], edge[1:] != edge[:-1])))
+            ahead = batch.column("ahead").to_numpy(zero_copy_only=False)[first]
+            counts = [np.add.reduceat(np.where(side == which, lengths, 0), first) for which in (0, 1)]
+            i, j, same = aligned_edges(numbers, counts[0], counts[1], ahead)
+            # Differences within the last words of the margin can not be judged yet.
+            more = ((counts[0] == margin) & (i >= margin - SEED)) | ((counts[1] == margin) & (j >= margin - SEED))
+            moved = same > 0
             yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(zip(*rows), [pa.int64()] + [pa.int32()] * 3 + [pa.bool_()])],
+                [pa.array(column[moved], kind) for column, kind in zip((edge[first], i, j, same, more), kinds)],
                 ["edge", "i", "j", "same", "more"])
 
     return got.repartition("edge").sortWithinPartitions("edge", "side", "block").mapInArrow(
@@ -460,21 +508,26 @@ def _edges(found: DataFrame) -> DataFrame:
         "at != limit AND owner_at != owner_limit")
 
 
-def aligned(found: DataFrame, docs: DataFrame, slots: np.ndarray, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, start, end, owner, owner_start) of what aligns, of `min_words` equal words or more.
+def aligned(found: DataFrame, words: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
+    """(doc, start, end, owner, owner_start) of what aligns, of `min_words` equal words or more; the words still asked for.
 
     Pieces are moved outwards as far as the words align, in rounds of growing margins. Those of a
-    chain are one alignment only if they meet, but for up to MERGE_GAP words on both sides.
+    chain are one alignment only if they meet, but for up to MERGE_GAP words on both sides. The
+    words returned are those of the documents with `regions`, and of those of later rounds.
     """
-    blocks = stage(_blocks(docs, slots), "blocks")
-    edges, margin, moves = stage(_edges(found), "edges"), MARGIN, []
+    spans, found = found.where("owner IS NULL").select("doc"), found.where("owner IS NOT NULL")
+    edges, margin, moves, kept = stage(_edges(found), "edges"), MARGIN, [], None
     while True:
-        moves.append(stage(_moved(edges, blocks, margin), "moves"))
+        moves.append(stage(_moved(edges, _blocks(words if kept is None else kept), margin), "moves"))
         more = moves[-1].where("more")
-        if more.isEmpty():
+        last = more.isEmpty()
+        if kept is None:
+            asked = edges.join(more.hint("merge"), "edge").select(F.explode(F.array("doc", "owner")).alias("doc"))
+            kept = stage(words.join((spans if last else spans.unionByName(asked)).hint("merge"), "doc", "left_semi"), "words")
+        if last:
             break
         sign = F.when(F.col("ahead"), 1).otherwise(-1)
-        edges = stage(edges.join(more, "edge").select(
+        edges = stage(edges.join(more.hint("merge"), "edge").select(
             "edge", "ahead", "doc", (F.col("at") + sign * F.col("i")).alias("at"), "limit", "owner",
             (F.col("owner_at") + sign * F.col("j")).alias("owner_at"), "owner_limit").where(
             "at != limit AND owner_at != owner_limit"), "edges")
@@ -484,7 +537,7 @@ def aligned(found: DataFrame, docs: DataFrame, slots: np.ndarray, min_words: int
         F.coalesce(F.max(F.when(F.col("edge") % 2 == side, F.col(c))), F.lit(0)).alias(f"{c}{side}")
         for side in (0, 1) for c in ("i", "j", "same")])
     counts = [f"{c}{side}" for side in (0, 1) for c in ("i", "j", "same")]
-    grown = found.join(total, "piece", "left").na.fill(0, counts).select(
+    grown = found.join(total.hint("merge"), "piece", "left").na.fill(0, counts).select(
         "doc", "chain", "start", "end", "owner", "owner_start", "owner_end", *counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -511,30 +564,21 @@ def aligned(found: DataFrame, docs: DataFrame, slots: np.ndarray, min_words: int
                     ["doc", "start", "end", "owner", "owner_start"])
 
     return grown.repartition("doc").sortWithinPartitions("doc", "chain", "start").mapInArrow(
-        run, "doc bigint, start int, end int, owner bigint, owner_start int")
+        run, "doc bigint, start int, end int, owner bigint, owner_start int"), kept
 
 
-def equal_runs(found: DataFrame, docs: DataFrame, slots: np.ndarray, width: int = MIN_WORDS) -> DataFrame:
+def equal_runs(found: DataFrame, words: DataFrame, width: int = MIN_WORDS) -> DataFrame:
     """(doc, start, end, owner, owner_start) of equal runs of `width` words or more within the `regions`.
 
     Every run of `width` words is matched as a whole. So it is found whichever documents have its
     seeds, and also if it is one line over and over.
     """
-    bits = np.zeros(SLOTS, bool)
-    bits[slots] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
-
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(shared.value).astype(bool)
-        for batch in batches:
-            yield batch.filter(pa.array(wanted[batch.column("doc").to_numpy() % SLOTS]))
-
     spans = found.where("owner IS NULL").groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    texts = docs.mapInArrow(linked, "doc bigint, text string").join(spans, "doc")
+    texts = words.join(spans.hint("merge"), "doc").select("doc", "words", "spans")
 
     def chosen(batch: pa.RecordBatch) -> Rows:
-        numbers, lengths = word_numbers(batch.column("text").to_pylist())
-        every = runs(numbers, width)
+        numbers, lengths = _numbers(batch.column("words"))
+        every = runs(numbers.astype(np.uint64), width)
         at, text, first = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
         starts = []
         for i, (length, parts) in enumerate(zip(lengths.tolist(), batch.column("spans").to_pylist())):
@@ -570,9 +614,10 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     touch or overlap are one passage, whichever documents they are with; the partner named
     is that of the longest of them.
     """
-    docs = _numbered(docs)
-    found = stage(chained(seed_matches(docs), min_words), "chains")
-    slots = _slots(found)
+    # A text of fewer words can not hold a passage.
+    words = stage(numbered_words(_numbered(docs), max(min_words, SEED)), "words")
+    found = stage(chained(seed_matches(words), min_words), "chains")
+    pieced, words = aligned(found, words, min_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _whole_keys(batches, ["doc"]):
@@ -592,9 +637,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 pa.array([e - s for s, e in zip(start, end)], pa.int32()), pa.array(owner, pa.int64()),
                 pa.array(owner_start, pa.int32())], ["doc", "start_word", "n_words", "other_doc", "other_start"])
 
-    pairs = found.where("owner IS NOT NULL")
     return (
-        aligned(pairs, docs, slots, min_words).unionByName(equal_runs(found, docs, slots, min_words))
+        pieced.unionByName(equal_runs(found, words, min_words))
         .repartition("doc").sortWithinPartitions("doc", "start", F.desc("end"), "owner")
         .mapInArrow(run, "doc bigint, start_word int, n_words int, other_doc bigint, other_start int")
     )
