@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tradewind.operators import denormalize, ranking, sales
 from tradewind.plans.roles import role
+from tradewind.session import TASK_BYTES, tune
 from tradewind.plans.tables import facts, wide
 from tradewind.schemas import RAW_SCHEMAS
 
@@ -65,6 +66,16 @@ def test_items_are_shuffled_once_per_key(spark, sf_dir):
     assert len([line for line in items if "hashpartitioning(seller_id" in line]) == 2
 
 
+def test_tasks_of_relational_queries_take_bounded_shares(spark):
+    advisory, partitions = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions"
+    with settings(spark, **{advisory.replace(".", "__"): "64MB", partitions.replace(".", "__"): "4"}):
+        tune(spark, 50 * TASK_BYTES, TASK_BYTES)
+        assert (spark.conf.get(advisory), spark.conf.get(partitions)) == (f"{TASK_BYTES}b", "25")
+        spark.conf.set(advisory, "1m")
+        tune(spark, 50 * TASK_BYTES, TASK_BYTES)
+        assert spark.conf.get(advisory) == f"{1 << 20}b"
+
+
 def hot_tables(spark):
     """20,000 of 60,000 items, and of as many payments, belong to one order."""
     day = F.lit(dt.datetime(2018, 1, 5)).cast("timestamp_ntz")
