@@ -157,3 +157,20 @@ def test_large_fan_out_is_built_once_without_an_exchange_above_it(spark, monkeyp
     # From the top down to the last join there is no shuffle.
     assert "Exchange" not in text.split("Join")[0]
     assert wide.select("price", "review_comment_title").agg(F.count("*"), F.sum("price")).first()[:] == (n ** 3, sum(range(n)) * 1.0 * n * n)
+
+
+def test_payments_and_reviews_roll_up_side_by_side(spark):
+    """Orders with one of both or none, more rows than a chunk, and texts that are missing."""
+    payments = spark.createDataFrame(
+        [("a", 2, "card", 1, 0.5), ("a", 1, None, 2, 1.5), ("b", 1, "cash", None, None), (None, 1, "card", 1, 1.0)]
+        + [("long", i, f"t{i}", 1, 1.0) for i in range(2500)],
+        "order_id string, payment_sequential int, payment_type string, payment_installments int, payment_value double")
+    reviews = spark.createDataFrame(
+        [("a", 3, "good", None, 1), ("a", 4, None, "note", 0), ("c", 5, None, None, 0), ("d", None, "bad", "x", None)],
+        "order_id string, review_score int, review_comment_title string, review_comment_message string, at int")
+    for few in (payments.where("order_id <> 'long'"), payments):
+        for known in (reviews.where("at IS NOT NULL"), reviews):
+            apart = d.payments_rollup(few).join(d.reviews_rollup(known, sequence="at"), "order_id", "full")
+            got = d.payments_and_reviews_rollup(few, known, "at")
+            assert got.columns == apart.columns
+            assert sorted(map(str, got.collect())) == sorted(map(str, apart.collect()))

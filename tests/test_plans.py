@@ -66,6 +66,14 @@ def test_items_are_shuffled_once_per_key(spark, sf_dir):
     assert len([line for line in items if "hashpartitioning(seller_id" in line]) == 2
 
 
+def test_the_columns_of_an_order_meet_the_items_last(spark, sf_dir):
+    """They are as wide as all others together, and would be shuffled with every item for product and seller."""
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        text = plan(wide(spark, sf_dir))
+    joins = [line for line in text.splitlines() if "SortMergeJoin" in line and "LeftOuter" in line]
+    assert "order_id" in joins[0] and "seller_id" in joins[1] and "product_id" in joins[2]
+
+
 def test_tasks_of_relational_queries_take_bounded_shares(spark):
     advisory, partitions = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions"
     with settings(spark, **{advisory.replace(".", "__"): "64MB", partitions.replace(".", "__"): "4"}):
