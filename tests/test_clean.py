@@ -1,7 +1,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from tradewind.functions import normalized
 from tradewind.functions import elapsed_days, normalized
 from tradewind.operators import clean, profile
 from tradewind.sources import stage
@@ -67,3 +69,14 @@ def test_cleaned_table_has_47_columns_and_the_message_as_title(spark, sf_dir):
     assert small.where("review_comment_title <> coalesce(review_comment_message, 'no_comment')").isEmpty()
     ranged = clean.clean(table)
     assert small.exceptAll(ranged.select(small.columns)).isEmpty()
+
+
+def test_edges_of_texts_are_unicode_white_space(spark):
+    """Every character of the basic plane, against the class of regular expressions; none is searched for by one."""
+    chars = spark.range(1, 0x10000).where("id NOT BETWEEN 55296 AND 57343").select(
+        F.decode(F.unhex(F.lpad(F.hex("id"), 4, "0")), "UTF-16BE").alias("c"))
+    text = F.concat("c", F.lit(" "), "c", F.lit("a"), "c", F.lit("b\n"), "c")
+    by_search = F.regexp_replace(F.lower(text), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    assert chars.where(normalized(text) != by_search).count() == 0
+    assert chars.where(normalized(F.col("c")) == "").count() == 29
+    assert "regexp" not in chars.select(normalized(text))._jdf.queryExecution().executedPlan().toString()
