@@ -175,6 +175,46 @@ def test_histories_give_a_distribution():
     assert np.allclose(np.exp(maxent.log_probabilities(np.arange(50), weights)).sum(1), 1)
 
 
+def test_lm_words_depend_on_the_words_before(spark):
+    """All words have one ending, so they are of one class, and are equally frequent."""
+    train = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10]
+    held = [i for i in range(400) if i not in train][:2]
+    texts = {i: ("alphaword betaword " if i % 2 else "gammaword deltaword ") * 9 for i in train[:len(train) // 2 * 2]}
+    texts |= {held[0]: "alphaword betaword alphaword betaword", held[1]: "alphaword deltaword alphaword deltaword"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in maxent.op1_lm_scoring(docs).collect()}
+    assert abs(got[held[0]].base_score - got[held[1]].base_score) < 0.5
+    assert got[held[0]].score > got[held[1]].score + 2
+
+
+def test_words_of_a_class_have_a_distribution():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    members = maxent.Members(np.array([7, 9], np.uint32), np.array([0, 1]), 16)
+    numbers, classes = rng.integers(0, 1 << 32, 60).astype(np.uint32), rng.integers(0, maxent.CLASSES, 60)
+    numbers[:2] = 7, 9
+    n = rng.integers(0, 50, 60)
+    weights = rng.normal(size=(maxent.CLASSES * 16, maxent.MEMBERS))
+    at, shares = members.of(numbers), np.zeros((maxent.CLASSES, maxent.MEMBERS + 1))
+    np.add.at(shares, (classes, at), n + maxent.ALPHA)
+    shares[:, -1] = maxent.ALPHA
+    total = shares.sum(1)
+    slots = members.features(numbers, classes, np.array([20, 40]))
+    s, _, sums = maxent.word_scores(slots, classes, weights, shares / total[:, None])
+    for token in range(60):
+        c = classes[token]
+        words = np.flatnonzero(classes == c)
+        p = [(n[w] + maxent.ALPHA) / total[c] * np.exp(sum(weights[slot, at[w]] for slot in slots[token])) / sums[token] for w in words]
+        assert np.isclose(sum(p) + maxent.ALPHA / total[c] / sums[token], 1)
+        assert np.isclose(np.exp(s[token, at[token]]), np.exp(sum(weights[slot, at[token]] for slot in slots[token])))
+    # A gradient step makes what was seen more probable.
+    out = np.zeros((maxent.CLASSES * 16, maxent.MEMBERS))
+    maxent._word_gradient(slots, classes, at, np.zeros_like(out), shares / total[:, None], out)
+    s, _, sums = maxent.word_scores(slots, classes, 0.1 * out, shares / total[:, None])
+    assert (s[np.arange(60), at] - np.log(sums)).sum() > 0
+
+
 @pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES[:-1]])
 def test_stage_takes_an_empty_table(spark, name):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)

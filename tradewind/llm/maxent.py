@@ -1,25 +1,37 @@
-"""LM scoring with a hashed maximum-entropy model of word classes.
+"""LM scoring with a hashed maximum-entropy model, factored by word classes.
 
-log P(word | history) = log P(class | history) + log P(word | class). The first factor is a
-softmax over the classes, its features n-grams and skips of the classes before (the last,
-the last two together, the one before, and the topic most of the eight words before
-belong to), hashed into FEATURES slots. The second is the share of the word in its class,
-smoothed as the base score is: a class has one type more, for words not seen.
+log P(word | history) = log P(class | history) + log P(word | class, history), two softmaxes.
+The features of the first are n-grams and skips of the classes before (the last, the last
+two together, the one before, and the topic most of the eight words before belong to),
+hashed into FEATURES slots. The second goes over all words of the class. Its features are
+n-grams and skips of the words before (the last, the last two together, the one before),
+hashed into slots of the class, as many as the counted vocabulary asks for; a weight belongs to a
+slot and a member of the class. The most frequent words are members by themselves, the others are hashed into members.
+With s the sum of the weights of a word's member, and share its count in the class, smoothed
+as in the base score,
+
+    P(word | class, history) = share * exp(s) / (sum over the words of the class of share * exp(s)).
+
+The sum is taken by members, whose shares are counted exactly, so it has all words. A class has one
+type more, with s = 0, for words not seen.
 
 Learning, all on the training documents:
-1. words are counted exactly; words of one ending are a bucket, and the buckets near a
+1. the words of a slice of texts are numbered once, and the numbers staged; words are counted exactly;
+   words of one ending are a bucket, and the buckets near a
    bucket are counted in a signed sketch of DIMENSIONS numbers; buckets with like
    neighbourhoods are a topic, and a class is a topic with a shape of the word's end, or
    one frequent bucket alone;
-2. events (history, class) are counted; there are at most as many as histories x classes;
+2. events (history, class) are counted; there are at most as many as histories x classes. What stands
+   with each slot is counted by members;
 3. the weights are trained by gradient updates: every task computes the gradient of its
-   events, the sums of all are one step.
-What comes to the driver is bounded by the sizes of the model (BUCKETS x DIMENSIONS, CLASSES, FEATURES).
+   events, the sums of all are one step. Those of the words start from the counts, and a step takes
+   one part of the slices: all steps together take every slice.
+What comes to the driver is bounded by the sizes of the model (BUCKETS x DIMENSIONS, CLASSES, FEATURES,
+CLASSES x MOST_SLOTS x MEMBERS).
 
-Scoring deals documents to chunks of about CHUNK_BYTES. The distinct words of a chunk are
-joined with the counts of the corpus and come back to their chunk, which is scored with
-the log probabilities of its own histories in sparse numpy batches. The vocabulary is
-never gathered, and a frequent word has one row in each chunk.
+The distinct words of a slice are joined with the counts of the corpus and come back to their
+slice, which is scored from its numbers in numpy batches. The vocabulary is
+never gathered, and a frequent word has one row in each slice.
 
 Defined cases: a NULL or empty text has one token, the end; without training documents the
 base score is that of N = 0, V = 0, and so is the model; rows with equal or NULL ids are
@@ -33,19 +45,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.llm.common import crc_share, slots_for, stage, text_slices
-from tradewind.llm.shingles import words_of
+from tradewind.llm.common import crc_share, stage, text_slices
 
 BUCKETS = 1 << 15
 DIMENSIONS = 32
-BLOCK = 512  # buckets in a row of a sketch
+BLOCK = 512  # rows of a table in a row of a DataFrame
 NEAR = 6  # words on either side
 CLASSES = 64
 TOPICS = 8
@@ -55,10 +66,19 @@ FEATURES = 4096
 STEPS = 20
 WINDOW = 8  # words before the last two that give the topic
 ALPHA = 0.1
-CHUNK_BYTES = 3 << 20
+SLICE_CHARACTERS = 8_000_000
 END = BUCKETS  # the bucket of the end of a text
+MEMBERS = 32  # of a class
+OWN = 24  # of them for one word each
+FREQUENT = 4096  # words that may be members by themselves
+MOST_SLOTS = 1024  # of a class, for features of words
+WORD_FEATURES = 3
+WORD_STEPS = 4
+SMOOTH, SPREAD, RATE = 8.0, 1.2, 1.0  # of the start of the weights of words, and of their steps
 _START = CLASSES  # the class before the first word
-_END_WORD = b" "  # no word holds white space
+_END_WORD = b"\xff"  # no word of a text in UTF-8
+_TOKENS = 1 << 14  # taken at once
+PIECE = 1 << 18  # tokens of texts that are taken together
 
 
 def bucket_of(word: bytes) -> int:
@@ -72,88 +92,153 @@ def shape_of(word: bytes) -> int:
     return {b".": 1, b",": 2, b"|": 3, b"!": 4}.get(last, 0 if last >= b"\x80" or b"a" <= last <= b"z" else 5)
 
 
-def word_number(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
+_SHAPES = np.array([shape_of(bytes([last])) for last in range(256)], np.int32)
 
 
-def chunk_words(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(vocabulary, place of every token in it, tokens of each text); every text ends with the end token."""
-    lists = [[*(words_of(text) if text else ()), _END_WORD] for text in texts]
-    flat = [word for words in lists for word in words]
-    vocabulary = list(dict.fromkeys(flat))
-    place = dict(zip(vocabulary, range(len(vocabulary))))
-    return (vocabulary, np.fromiter(map(place.__getitem__, flat), np.int64, len(flat)),
-            np.fromiter(map(len, lists), np.int64, len(lists)))
-
+@dataclass(frozen=True)
+class Words:
+    """The texts of a slice as places in its vocabulary; every text ends with the end token."""
 
-def _buckets(vocabulary: list[bytes]) -> np.ndarray:
-    return np.fromiter((END if word == _END_WORD else bucket_of(word) for word in vocabulary), np.int64, len(vocabulary))
+    ids: np.ndarray
+    lengths: np.ndarray  # tokens of each text
+    numbers: np.ndarray  # of each word of the vocabulary, 64 bits
+    buckets: np.ndarray
+    shapes: np.ndarray
 
 
-def _chunked(docs: DataFrame) -> DataFrame:
-    """(chunk, doc_id, text, held_out) of all documents, dealt by id and text."""
-    chunks = slots_for(docs, CHUNK_BYTES)
-    return docs.select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"), "doc_id", "text",
-        (crc_share(F.col("doc_id"), 10) == 0).alias("held_out"))
+def slice_words(texts: list[bytes | None]) -> Words:
+    flat = b" ".join([part for text in texts for part in (text or b"", _END_WORD)]).lower().split()
+    vocabulary = list(dict.fromkeys(flat))
+    place = dict(zip(vocabulary, range(len(vocabulary))))
+    ids = np.fromiter(map(place.__getitem__, flat), np.int32, len(flat))
+    numbers = np.fromiter(map(xxhash.xxh3_64_intdigest, vocabulary), np.uint64, len(vocabulary))
+    # As bucket_of and shape_of, for all words at once.
+    buckets = (numbers % np.uint64(BUCKETS)).astype(np.int64)
+    long = np.flatnonzero(np.fromiter(map(len, vocabulary), np.int64, len(vocabulary)) > 6)
+    endings = [vocabulary[i][-4:] for i in long.tolist()]
+    bucket = {ending: xxhash.xxh3_64_intdigest(ending) % BUCKETS for ending in dict.fromkeys(endings)}
+    buckets[long] = np.fromiter(map(bucket.__getitem__, endings), np.int64, len(endings))
+    shapes = _SHAPES[np.fromiter((word[-1] for word in vocabulary), np.uint8, len(vocabulary))]
+    if _END_WORD in place:
+        buckets[place[_END_WORD]] = END
+    ends = np.flatnonzero(ids == place.get(_END_WORD, -1))
+    return Words(ids, np.diff(ends, prepend=-1), numbers, buckets, shapes)
 
 
 def _counted(docs: DataFrame) -> DataFrame:
-    """Rows of words (kind 0: chunk, word, bucket, shape, n of training) and of sketches (kind 1: block of buckets, sketch)."""
-    schema = "kind int, chunk int, word bigint, bucket int, shape int, n bigint, sketch binary"
-    names = ["kind", "chunk", "word", "bucket", "shape", "n", "sketch"]
+    """Rows of slices of the texts, as the input deals them: the ids of the documents, which are held out, their `Words`
+    and how often each is in the training texts. Rows without a chunk are a block of buckets and its sketch."""
+    id_type = docs.schema["doc_id"].dataType
+    schema = T.StructType([
+        *T._parse_datatype_string(
+            "chunk bigint, block int, data binary, n_tokens bigint, lengths array<bigint>, low binary, high binary, buckets binary, "
+            "shapes binary, n binary, held_out array<boolean>").fields, T.StructField("doc_ids", T.ArrayType(id_type))])
+    names = schema.names
+
+    def row(id_kind: pa.DataType, **columns) -> pa.RecordBatch:
+        kinds = dict(zip(names, (
+            pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 5, pa.list_(pa.bool_()),
+            pa.list_(id_kind))))
+        return pa.RecordBatch.from_arrays([pa.array([columns.get(name)], kinds[name]) for name in names], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()
         columns = 2 * DIMENSIONS  # the second half counts negatively
         near = np.zeros((BUCKETS + 1) * columns, np.int64)
-
-        def words(chunk: int, texts: list[str | None], train: np.ndarray) -> pa.RecordBatch:
-            vocabulary, ids, lengths = chunk_words(texts)
-            buckets = _buckets(vocabulary)
-            learn = np.repeat(train, lengths)
-            n = np.bincount(ids[learn], minlength=len(vocabulary)).astype(np.int64)
-            b, text = buckets[ids], np.repeat(np.arange(len(lengths)), lengths)
-            for lag in range(1, NEAR + 1):
-                inside = learn[lag:] & (text[lag:] == text[:-lag]) & (b[lag:] != END)
-                x, y = b[:-lag][inside], b[lag:][inside]
-                np.add.at(near, x * columns + y % columns, 1)
-                np.add.at(near, y * columns + x % columns, 1)
-            shapes = np.fromiter(map(shape_of, vocabulary), np.int32, len(vocabulary))
-            return pa.RecordBatch.from_arrays([
-                pa.array(np.zeros(len(vocabulary), np.int32)), pa.array(np.full(len(vocabulary), chunk, np.int32)),
-                pa.array([word_number(word) for word in vocabulary], pa.int64()),
-                pa.array(buckets.astype(np.int32)), pa.array(shapes), pa.array(n),
-                pa.nulls(len(vocabulary), pa.binary())], names)
-
-        for chunk, texts, train in _chunks(batches):
-            yield words(chunk, texts, train)
+        chunk = TaskContext.get().partitionId() << 32
+        id_kind = pa.null()
+        for whole in batches:
+            id_kind = whole.column("doc_id").type
+            for batch in text_slices(whole, SLICE_CHARACTERS):
+                if not batch.num_rows:
+                    continue
+                words = slice_words(batch.column("text").cast(pa.binary()).to_pylist())
+                ids = words.ids
+                learn = np.repeat(~batch.column("held_out").to_numpy(zero_copy_only=False), words.lengths)
+                b, text = words.buckets[ids], np.repeat(np.arange(len(words.lengths)), words.lengths)
+                for lag in range(1, NEAR + 1):
+                    inside = learn[lag:] & (text[lag:] == text[:-lag]) & (b[lag:] != END)
+                    x, y = b[:-lag][inside], b[lag:][inside]
+                    np.add.at(near, x * columns + y % columns, 1)
+                    np.add.at(near, y * columns + x % columns, 1)
+                parts = words.numbers.view(np.uint32).reshape(-1, 2)
+                yield row(
+                    id_kind, chunk=chunk, data=_packed(ids), n_tokens=len(ids), lengths=words.lengths, low=parts[:, 0].tobytes(),
+                    high=parts[:, 1].tobytes(), buckets=words.buckets.astype(np.uint16).tobytes(),
+                    shapes=words.shapes.astype(np.uint8).tobytes(),
+                    n=_packed(np.bincount(ids[learn], minlength=len(parts)).astype(np.int32)),
+                    held_out=batch.column("held_out").to_pylist(), doc_ids=batch.column("doc_id").to_pylist())
+                chunk += 1
         table = near.reshape(-1, columns)[:BUCKETS]
         sketch = np.concatenate((table[:, :DIMENSIONS] - table[:, DIMENSIONS:], table.sum(1, keepdims=True)), axis=1)
-        for block in range(BUCKETS // BLOCK):
-            rows = sketch[block * BLOCK:(block + 1) * BLOCK]
-            if rows.any():
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([1], pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()),
-                    pa.array([block], pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()),
-                    pa.array([rows.tobytes()], pa.binary())], names)
+        for block, data in _blocks(sketch):
+            yield row(id_kind, block=block, data=data)
+
+    return docs.mapInArrow(run, schema)
 
-    return docs.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(run, schema)
 
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers of 32 bits, compressed: their first bytes, then their second ones, and so on."""
+    planes = np.ascontiguousarray(values.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    return pa.Codec("zstd", 1).compress(planes.tobytes(), asbytes=True)
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[str | None], np.ndarray]]:
-    """Texts of one chunk after the other; the rows come sorted by chunk."""
-    chunk, texts, train = None, [], []
-    for batch in batches:
-        for c, text, held_out in zip(*(batch.column(name).to_pylist() for name in ("chunk", "text", "held_out"))):
-            if c != chunk:
-                if texts:
-                    yield chunk, texts, np.array(train)
-                chunk, texts, train = c, [], []
-            texts.append(text)
-            train.append(not held_out)
-    if texts:
-        yield chunk, texts, np.array(train)
+
+def _unpacked(data: pa.Buffer, count: int) -> np.ndarray:
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data, 4 * count), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
+def _words(slices: DataFrame) -> DataFrame:
+    """(chunk, word, place, bucket, shape, n) of the words of each slice; n counts the training texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                low, high, buckets, shapes, n = (batch.column(name)[i].as_buffer() for name in ("low", "high", "buckets", "shapes", "n"))
+                size = low.size // 4
+                numbers = np.stack((np.frombuffer(low, np.uint32), np.frombuffer(high, np.uint32)), axis=1).view(np.int64).ravel()
+                columns = (
+                    np.full(size, batch.column("chunk")[i].as_py()), numbers, np.arange(size, dtype=np.int32),
+                    np.frombuffer(buckets, np.uint16).astype(np.int32), np.frombuffer(shapes, np.uint8).astype(np.int32),
+                    _unpacked(n, size).astype(np.int64))
+                for start in range(0, size, 100_000):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(column[start:start + 100_000]) for column in columns], ["chunk", "word", "place", "bucket", "shape", "n"])
+
+    return slices.select("chunk", "low", "high", "buckets", "shapes", "n").mapInArrow(
+        run, "chunk bigint, word bigint, place int, bucket int, shape int, n bigint")
+
+
+def _blocks(table: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """The blocks of rows of a table that hold something."""
+    for block in range(-(-len(table) // BLOCK)):
+        rows = table[block * BLOCK:(block + 1) * BLOCK]
+        if rows.any():
+            yield block, rows.tobytes()
+
+
+def _summed(parts: DataFrame, shape: tuple[int, int], kind: type) -> np.ndarray:
+    """The sum of tables given as (block, data) of `_blocks`; the sums of blocks are made by tasks, in two steps."""
+
+    def run(of: type):
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for block, data in zip(batch.column("block").to_pylist(), batch.column("data").to_pylist()):
+                    values = np.frombuffer(data, of).astype(np.float64)
+                    sums[block] = sums[block] + values if block in sums else values
+            if sums:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
+                    ["block", "data"])
+        return add
+
+    spread = parts.repartition("block").mapInArrow(run(kind), "block int, data binary")
+    out = np.zeros(shape)
+    # One row for each block of the table.
+    for row in spread.collect():
+        out[row["block"] * BLOCK:(row["block"] + 1) * BLOCK] += np.frombuffer(row["data"]).reshape(-1, shape[1])
+    return out
 
 
 def _clusters(rows: np.ndarray, weights: np.ndarray, k: int, rounds: int = 25) -> np.ndarray:
@@ -180,28 +265,6 @@ class Classes:
     topic_of: np.ndarray  # topic of each class
 
 
-def _summed(sketches: DataFrame) -> np.ndarray:
-    """The sum of all sketches, BUCKETS x (DIMENSIONS + 1); the sums of blocks are made by tasks, in two steps."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, sketch in zip(batch.column("bucket").to_pylist(), batch.column("sketch").to_pylist()):
-                values = np.frombuffer(sketch, np.int64)
-                sums[block] = sums[block] + values if block in sums else values
-        if sums:
-            yield pa.RecordBatch.from_arrays([
-                pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
-                ["bucket", "sketch"])
-
-    parts = sketches.mapInArrow(run, "bucket int, sketch binary").repartition("bucket")
-    out = np.zeros((BUCKETS, DIMENSIONS + 1))
-    # One row for each of the BUCKETS / BLOCK blocks.
-    for row in parts.mapInArrow(run, "bucket int, sketch binary").collect():
-        out[row["bucket"] * BLOCK:(row["bucket"] + 1) * BLOCK] += np.frombuffer(row["sketch"], np.int64).reshape(BLOCK, -1)
-    return out
-
-
 def _classes(near: np.ndarray, tokens: np.ndarray, shapes: np.ndarray) -> Classes:
     """Class 0 is the end, the next ALONE are the most frequent buckets, the others a topic and a shape each."""
     weight = near[:, -1]
@@ -219,8 +282,80 @@ def _classes(near: np.ndarray, tokens: np.ndarray, shapes: np.ndarray) -> Classe
     return Classes(of_bucket, topic_of)
 
 
+@dataclass(frozen=True)
+class Members:
+    """Which member of its class a word is; words are known by 32 bits of their numbers."""
+
+    frequent: np.ndarray  # sorted numbers of words that are members by themselves
+    place: np.ndarray  # and their places in their classes
+    slots: int  # of a class, for features of words
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        out = OWN + (_hashed(numbers.astype(np.uint64)) >> np.uint64(32)).astype(np.int64) % (MEMBERS - OWN)
+        if len(self.frequent):
+            at = np.minimum(np.searchsorted(self.frequent, numbers), len(self.frequent) - 1)
+            out = np.where(self.frequent[at] == numbers, self.place[at], out)
+        return out
+
+    def features(self, numbers: np.ndarray, classes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Slots of every token, from the `numbers` and `classes` of all: the last word, the last two, the one before."""
+        place = np.arange(len(numbers)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        words = numbers.astype(np.uint64) + np.uint64(1)
+        last, before = np.zeros_like(words), np.zeros_like(words)
+        last[1:], before[2:] = words[:-1], words[:-2]
+        last[place < 1], before[place < 2] = 0, 0
+        keys = (last, last * np.uint64(0xD6E8FEB86659FD93) + before + np.uint64(1 << 40), before + np.uint64(1 << 41))
+        own = classes * self.slots
+        return np.stack([own + ((_hashed(key) >> np.uint64(40)).astype(np.int64) & (self.slots - 1)) for key in keys], axis=1)
+
+
+def _hashed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return (values ^ (values >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _members(totals: DataFrame, classes: Classes, types: int) -> Members:
+    """The most frequent words of a class are members by themselves; slots grow with the types a class has on average."""
+    # FREQUENT rows.
+    top = totals.orderBy(F.desc("n"), "word").limit(FREQUENT).select("word", "bucket").toArrow()
+    numbers = top["word"].to_numpy().view(np.uint64).astype(np.uint32)
+    own = classes.of_bucket[top["bucket"].to_numpy()]
+    taken, place = np.zeros(CLASSES, np.int64), {}
+    for number, of in zip(numbers.tolist(), own.tolist()):
+        if taken[of] < OWN and number not in place:
+            place[number] = int(taken[of])
+            taken[of] += 1
+    frequent = np.array(sorted(place), np.uint32)
+    slots = 1 << max(4, (max(types, 1) // CLASSES).bit_length())
+    return Members(frequent, np.array([place[number] for number in frequent.tolist()], np.int64), min(slots, MOST_SLOTS))
+
+
+def _member_counts(totals: DataFrame, classes: Classes, members: Members) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and types of training of every member, classes x MEMBERS."""
+    shared = totals.sparkSession.sparkContext.broadcast((classes, members))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, own = shared.value
+        tokens, types = np.zeros(CLASSES * MEMBERS, np.int64), np.zeros(CLASSES * MEMBERS, np.int64)
+        for batch in batches:
+            numbers = batch.column("word").to_numpy().view(np.uint64).astype(np.uint32)
+            at = of.of_bucket[batch.column("bucket").to_numpy()] * MEMBERS + own.of(numbers)
+            np.add.at(tokens, at, batch.column("n").to_numpy())
+            types += np.bincount(at, minlength=len(types))
+        at = np.flatnonzero(types)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(tokens[at]), pa.array(types[at])], ["at", "tokens", "types"])
+
+    counts = totals.select("word", "bucket", "n").mapInArrow(run, "at bigint, tokens bigint, types bigint")
+    tokens, types = np.zeros(CLASSES * MEMBERS), np.zeros(CLASSES * MEMBERS)
+    # At most CLASSES x MEMBERS rows.
+    table = counts.groupBy("at").agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).toArrow()
+    at = table["at"].to_numpy()
+    tokens[at], types[at] = table["tokens"].to_numpy(), table["types"].to_numpy()
+    return tokens.reshape(CLASSES, MEMBERS), types.reshape(CLASSES, MEMBERS)
+
+
 def histories(classes: np.ndarray, lengths: np.ndarray, topic_of: np.ndarray) -> np.ndarray:
-    """A number for the history of every token: the last class, the one before, and the topic before those."""
+    """A number for the history of every token's class: the last class, the one before, and the topic before those."""
     n = len(classes)
     starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
     place = np.arange(n) - starts
@@ -237,6 +372,9 @@ def histories(classes: np.ndarray, lengths: np.ndarray, topic_of: np.ndarray) ->
     return (last * (CLASSES + 1) + before) * (TOPICS + 1) + best
 
 
+HISTORIES = (CLASSES + 1) ** 2 * (TOPICS + 1)
+
+
 def features(history: np.ndarray) -> np.ndarray:
     """Slots of the features of histories, one row each: bias, last, last two, skip, topic, topic with last."""
     topic, rest = history % (TOPICS + 1), history // (TOPICS + 1)
@@ -254,30 +392,92 @@ def log_probabilities(history: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return scores - np.log(np.exp(scores).sum(1, keepdims=True))
 
 
-def _events(docs: DataFrame, classes: Classes) -> DataFrame:
-    """(history, class, n) over the training documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(classes)
+def word_scores(slots: np.ndarray, classes: np.ndarray, weights: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(s, p, total): the sums of weights of all members, their shares times exp(s), and the sum over the words of the class.
+
+    `shares` has the shares of members in their class, and last that of words not seen, whose s is 0.
+    """
+    s = weights[slots[:, 0]]
+    for k in range(1, slots.shape[1]):
+        s = s + weights[slots[:, k]]
+    p = np.exp(s) * shares[classes, :-1]
+    return s, p, p.sum(1) + shares[classes, -1]
+
+
+@dataclass(frozen=True)
+class _Slice:
+    """A slice of the texts, with the classes and members of its vocabulary."""
+
+    doc_ids: pa.Array
+    held_out: np.ndarray
+    lengths: np.ndarray
+    ids: np.ndarray
+    numbers: np.ndarray
+    label: np.ndarray
+    member: np.ndarray
+
+
+_SLICE = ("data", "n_tokens", "lengths", "low", "buckets", "held_out", "doc_ids")
+
+
+def _read(batch: pa.RecordBatch | pa.Table, i: int, classes: Classes, members: Members) -> _Slice:
+    row = {name: batch.column(name)[i] for name in _SLICE}
+    numbers = np.frombuffer(row["low"].as_buffer(), np.uint32)
+    return _Slice(
+        row["doc_ids"].values, row["held_out"].values.to_numpy(zero_copy_only=False), row["lengths"].values.to_numpy(),
+        _unpacked(row["data"].as_buffer(), row["n_tokens"].as_py()), numbers,
+        classes.of_bucket[np.frombuffer(row["buckets"].as_buffer(), np.uint16)], members.of(numbers))
+
+
+def _pieces(lengths: np.ndarray) -> Iterator[tuple[slice, slice]]:
+    """Runs of whole texts of about PIECE tokens: which texts, and which tokens."""
+    ends = np.cumsum(lengths)
+    first, start = 0, 0
+    while first < len(lengths):
+        last = max(int(np.searchsorted(ends, start + PIECE, "right")), first + 1)
+        yield slice(first, last), slice(start, int(ends[last - 1]))
+        first, start = last, int(ends[last - 1])
+
+
+def _training(part: _Slice) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in the vocabulary of the tokens of training, and the lengths of their texts, in pieces."""
+    for texts, tokens in _pieces(part.lengths):
+        learn, lengths = ~part.held_out[texts], part.lengths[texts]
+        if learn.any():
+            yield part.ids[tokens][np.repeat(learn, lengths)], lengths[learn]
+
+
+def _events(slices: DataFrame, classes: Classes, members: Members) -> DataFrame:
+    """(history, class, n) over the training documents, and (block, data) of the counts of members at each slot."""
+    shared = slices.sparkSession.sparkContext.broadcast((classes, members))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()
-        held = shared.value
-        size = (CLASSES + 1) ** 2 * (TOPICS + 1) * CLASSES
-        sums = np.zeros(size, np.uint32)
-        for whole in batches:
-            for batch in text_slices(whole):
-                vocabulary, ids, lengths = chunk_words(batch.column("text").to_pylist())
-                c = held.of_bucket[_buckets(vocabulary)][ids]
-                keys, n = np.unique(histories(c, lengths, held.topic_of) * CLASSES + c, return_counts=True)
-                sums[keys] += n.astype(np.uint32)
+        of, own = shared.value
+        sums = np.zeros(HISTORIES * CLASSES, np.uint32)
+        counts = np.zeros(CLASSES * own.slots * MEMBERS, np.uint32)
+        names, one = ["history", "class", "n", "block", "data"], np.uint32(1)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                part = _read(batch, i, of, own)
+                for ids, lengths in _training(part):
+                    c = part.label[ids]
+                    np.add.at(sums, histories(c, lengths, of.topic_of) * CLASSES + c, one)
+                    slots, member = own.features(part.numbers[ids], c, lengths), part.member[ids]
+                    for column in slots.T:
+                        np.add.at(counts, column * MEMBERS + member, one)
         keys = np.flatnonzero(sums)
         for start in range(0, len(keys), 200_000):
             part = keys[start:start + 200_000]
             yield pa.RecordBatch.from_arrays([
                 pa.array((part // CLASSES).astype(np.int32)), pa.array((part % CLASSES).astype(np.int32)),
-                pa.array(sums[part].astype(np.int64))], ["history", "class", "n"])
+                pa.array(sums[part].astype(np.int64)), pa.nulls(len(part), pa.int32()), pa.nulls(len(part), pa.binary())], names)
+        for block, data in _blocks(counts.reshape(-1, MEMBERS)):
+            yield pa.RecordBatch.from_arrays([
+                *(pa.nulls(1, kind) for kind in (pa.int32(), pa.int32(), pa.int64())), pa.array([block], pa.int32()),
+                pa.array([data], pa.binary())], names)
 
-    train = docs.where("NOT held_out").select("text")
-    return train.mapInArrow(run, "history int, class int, n bigint").groupBy("history", "class").agg(F.sum("n").alias("n"))
+    return slices.mapInArrow(run, "history int, class int, n bigint, block int, data binary")
 
 
 def _trained(events: DataFrame, steps: int = STEPS) -> np.ndarray:
@@ -309,7 +509,7 @@ def _trained(events: DataFrame, steps: int = STEPS) -> np.ndarray:
 
     active = features(np.zeros(1, np.int64)).shape[1]
     for _ in range(steps):
-        shared = context.broadcast(weights)
+        shared = context.broadcast(weights.astype(np.float32))
         observed, expected = np.zeros((FEATURES, CLASSES)), np.zeros((FEATURES, CLASSES))
         # At most FEATURES rows from each task of the events, whose number is bounded.
         table = gradient(shared).toArrow()
@@ -320,17 +520,79 @@ def _trained(events: DataFrame, steps: int = STEPS) -> np.ndarray:
         # The gradient, scaled by the expected counts (its diagonal curvature) and damped by the features of an event.
         step = (observed - expected - 0.01 * weights) / (expected + 1.0)
         weights = weights + np.clip(step, -1.5, 1.5) * (1.5 / active)
-        shared.unpersist()
+        shared.destroy()
     return weights
 
 
+def _word_gradient(slots: np.ndarray, classes: np.ndarray, member: np.ndarray, weights: np.ndarray, shares: np.ndarray,
+                   out: np.ndarray) -> None:
+    """Add to `out` what is observed less what is expected, by slot and member."""
+    for start in range(0, len(slots), _TOKENS):
+        here, c, m = (column[start:start + _TOKENS] for column in (slots, classes, member))
+        _, p, total = word_scores(here, c, weights, shares)
+        p /= -total[:, None]
+        p[np.arange(len(m)), m] += 1
+        for k in range(here.shape[1]):
+            order = np.argsort(here[:, k].astype(np.uint16), kind="stable")  # there are at most 2^16 slots
+            slot = here[order, k]
+            first = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1])))
+            out[slot[first]] += np.add.reduceat(p[order], first, axis=0)
+
+
+def _trained_words(slices: DataFrame, counts: np.ndarray, shares: np.ndarray, classes: Classes, members: Members,
+                   steps: int = WORD_STEPS) -> np.ndarray:
+    """Weights (slots x members) of the words; the steps take the slices in turn, those of few slices all of them."""
+    context = slices.sparkSession.sparkContext
+    seen = counts.sum(1, keepdims=True)
+    share = np.repeat(shares[:, :-1], members.slots, axis=0)
+    # The start: what each feature would weigh alone, smoothed, dealt to the features of a token.
+    with np.errstate(divide="ignore", invalid="ignore"):
+        alone = np.log((counts + SMOOTH * share) / (seen + SMOOTH) / share)
+    weights = (np.where(share > 0, np.nan_to_num(alone, neginf=0.0), 0.0) * (SPREAD / WORD_FEATURES)).astype(np.float32)
+    curvature = np.maximum(counts, seen * share)
+    parts = min(steps, max(slices.count(), 1))
+    tasks = max(1, slices.rdd.getNumPartitions() // parts)
+    for step in range(steps):
+        shared = context.broadcast((classes, members, weights, shares.astype(np.float32)))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            gc.disable()
+            of, own, held, base = shared.value
+            out = np.zeros(held.shape, np.float32)
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    part = _read(batch, i, of, own)
+                    for ids, lengths in _training(part):
+                        c = part.label[ids]
+                        _word_gradient(own.features(part.numbers[ids], c, lengths), c, part.member[ids], held, base, out)
+            for block, data in _blocks(out):
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([data], pa.binary())], ["block", "data"])
+
+        taken = slices.where(F.pmod(F.xxhash64("chunk"), F.lit(parts)) == step % parts)
+        gradient = _summed(taken.coalesce(tasks).mapInArrow(run, "block int, data binary"), weights.shape, np.float32)
+        # Scaled by what the taken part has of the counts (its diagonal curvature) and damped by the features of a token.
+        move = (gradient - 0.01 * weights) / (curvature / parts + 4.0)
+        weights = (weights + np.clip(move, -1, 1) * (RATE / WORD_FEATURES)).astype(np.float32)
+        shared.destroy()
+    return weights
+
+
+def _class_table(history: np.ndarray, weights: np.ndarray, table: np.ndarray) -> None:
+    """Fill in log10 P(class | history) for the histories that occur and have only zeros so far."""
+    here = np.flatnonzero(np.bincount(history, minlength=HISTORIES))
+    new = here[~table[here].any(1)]
+    for start in range(0, len(new), 4096):
+        table[new[start:start + 4096]] = log_probabilities(new[start:start + 4096], weights) / np.log(10)
+
+
 def score_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of all rows of `docs`."""
     id_field = docs.schema["doc_id"]
-    docs = _chunked(docs)
+    docs = docs.select("doc_id", "text", (crc_share(F.col("doc_id"), 10) == 0).alias("held_out"))
     spark = docs.sparkSession
     counted = stage(_counted(docs), "counts")
-    words = counted.where("kind = 0").select("chunk", "word", "bucket", "shape", "n")
+    words = _words(counted.where("chunk IS NOT NULL"))
+    slices = counted.where("chunk IS NOT NULL").select("chunk", *_SLICE)
     totals = stage(words.groupBy("word", "bucket").agg(F.sum("n").alias("n")).where("n > 0"), "vocabulary")
     # BUCKETS + 1 rows.
     by_bucket = words.groupBy("bucket").agg(F.max_by("shape", F.col("n") * SHAPES + F.col("shape")).alias("shape")).join(
@@ -338,54 +600,58 @@ def score_documents(docs: DataFrame) -> DataFrame:
     tokens, types, shapes = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1, np.int64)
     for name, values in (("n", tokens), ("types", types), ("shape", shapes)):
         values[by_bucket["bucket"].to_numpy()] = by_bucket[name].to_numpy()
-    near = _summed(counted.where("kind = 1").select("bucket", "sketch"))
+    near = _summed(counted.where("chunk IS NULL").select("block", "data"), (BUCKETS, DIMENSIONS + 1), np.int64)
     classes = _classes(near, tokens[:BUCKETS], shapes[:BUCKETS])
-    events = stage(_events(docs, classes).repartition(F.col("history")).sortWithinPartitions("history"), "events")
-    weights = _trained(events)
     n_all, v_all = int(tokens.sum()), int(types.sum())
-    class_tokens = np.bincount(classes.of_bucket, tokens, CLASSES)
-    class_types = np.bincount(classes.of_bucket, types, CLASSES)
+    members = _members(totals, classes, v_all)
+    member_tokens, member_types = _member_counts(totals, classes, members)
+    class_total = member_tokens.sum(1) + ALPHA * (member_types.sum(1) + 1)
+    shares = np.column_stack((member_tokens + ALPHA * member_types, np.full(CLASSES, ALPHA))) / class_total[:, None]
+    found = stage(_events(slices, classes, members), "events")
+    events = found.where("history IS NOT NULL").groupBy("history", "class").agg(F.sum("n").alias("n"))
+    weights = _trained(stage(events.repartition(F.col("history")).sortWithinPartitions("history"), "events"))
+    counts = _summed(found.where("block IS NOT NULL").select("block", "data"), (CLASSES * members.slots, MEMBERS), np.uint32)
     model = {
-        "classes": classes, "weights": weights,
-        "base": np.log10(n_all + ALPHA * (v_all + 1)), "share": np.log10(class_tokens + ALPHA * (class_types + 1)),
-        "train_tokens": n_all,
+        "classes": classes, "members": members, "given": weights, "shares": shares.astype(np.float32),
+        "weights": _trained_words(slices, counts, shares, classes, members),
+        "base": np.log10(n_all + ALPHA * (v_all + 1)), "share": np.log10(class_total), "train_tokens": n_all,
     }
     shared = spark.sparkContext.broadcast(model)
     schema = T.StructType([id_field, *T._parse_datatype_string(
         "held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double").fields])
 
-    def score(texts: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+    def score(texts: pa.Table, known: pa.Table) -> pa.Table:
         gc.disable()
         m = shared.value
-        vocabulary, ids, lengths = chunk_words(texts["text"].tolist())
-        count_of = dict(zip(known["word"].tolist(), known["n"].tolist()))
-        c = np.fromiter((count_of.get(word_number(word), 0) for word in vocabulary), np.float64, len(vocabulary))
-        label = m["classes"].of_bucket[_buckets(vocabulary)]
-        starts = np.cumsum(lengths) - lengths
-        own = np.log10(c + ALPHA)
-        history, place = np.unique(histories(label[ids], lengths, m["classes"].topic_of), return_inverse=True)
-        given = np.empty(len(ids))
-        # The table of the chunk's own histories, some at a time.
-        order = np.argsort(place, kind="stable")
-        bounds = np.searchsorted(place[order], np.arange(0, len(history) + 4096, 4096))
-        for i, start in enumerate(range(0, len(history), 4096)):
-            table = log_probabilities(history[start:start + 4096], m["weights"])
-            rows = order[bounds[i]:bounds[i + 1]]
-            given[rows] = table[place[rows] - start, label[ids[rows]]] / np.log(10)
-        sums = {
-            "n_known": np.add.reduceat((c > 0)[ids].astype(np.int64), starts),
-            "base_score": np.add.reduceat(own[ids] - m["base"], starts),
-            "score": np.add.reduceat(own[ids] - m["share"][label[ids]] + given, starts),
-        }
-        return pd.DataFrame({
-            "doc_id": texts["doc_id"], "held_out": texts["held_out"], "n_tokens": lengths,
-            "n_known": sums["n_known"], "train_tokens": m["train_tokens"],
-            "base_score": sums["base_score"], "score": sums["score"]})
-
-    known = words.select("chunk", "word").join(totals.select("word", "n"), "word")
-    return docs.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInPandas(
-        lambda texts, rows: score(texts, rows) if len(texts) else pd.DataFrame(
-            {field.name: [] for field in schema.fields}), schema)
+        part = _read(texts, 0, m["classes"], m["members"])
+        c = np.zeros(len(part.numbers))
+        c[known["place"].to_numpy()] = known["n"].to_numpy()
+        columns, table = [], np.zeros((HISTORIES, CLASSES), np.float32)
+        for texts, tokens in _pieces(part.lengths):
+            ids, lengths = part.ids[tokens], part.lengths[texts]
+            starts = np.cumsum(lengths) - lengths
+            label, member, seen = part.label[ids], part.member[ids], (c > 0)[ids]
+            own = np.log10(c + ALPHA)[ids]
+            slots = m["members"].features(part.numbers[ids], label, lengths)
+            factor = np.empty(len(ids))
+            for start in range(0, len(ids), _TOKENS):
+                here = slice(start, start + _TOKENS)
+                s, _, total = word_scores(slots[here], label[here], m["weights"], m["shares"])
+                factor[here] = np.where(seen[here], s[np.arange(len(s)), member[here]], 0) - np.log(total)
+            history = histories(label, lengths, m["classes"].topic_of)
+            _class_table(history, m["given"], table)
+            given = table[history, label]
+            columns.append((
+                np.add.reduceat(seen.astype(np.int64), starts), np.add.reduceat(own - m["base"], starts),
+                np.add.reduceat(own - m["share"][label] + given + factor / np.log(10), starts)))
+        n_known, base_score, scores = (np.concatenate(column) for column in zip(*columns))
+        return pa.table({
+            id_field.name: part.doc_ids, "held_out": part.held_out, "n_tokens": part.lengths, "n_known": n_known,
+            "train_tokens": np.full(len(n_known), m["train_tokens"], np.int64), "base_score": base_score, "score": scores})
+
+    known = words.select("chunk", "word", "place").join(totals.select("word", "n"), "word").select(
+        F.col("chunk").alias("slice"), "place", "n")
+    return slices.groupBy("chunk").cogroup(known.groupBy("slice")).applyInArrow(score, schema)
 
 
 def op1_lm_scoring(docs: DataFrame) -> DataFrame:
