@@ -1,6 +1,7 @@
 """Operators that compare documents, against brute force."""
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from math import log10
@@ -175,6 +176,23 @@ def test_histories_give_a_distribution():
     assert np.allclose(np.exp(maxent.log_probabilities(np.arange(50), weights)).sum(1), 1)
 
 
+def test_words_of_a_slice_are_objects_only_piece_by_piece():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"Word{k}" for k in rng.integers(0, 3000, 400)).encode() for _ in range(1000)] + [None, b""]
+    tracemalloc.start()
+    words = maxent.slice_words(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    flat = [w for text in texts for w in [*(text or b"").lower().split(), maxent._END_WORD]]
+    place = {w: k for k, w in enumerate(dict.fromkeys(flat))}
+    assert words.ids.tolist() == [place[w] for w in flat]
+    assert words.lengths.tolist() == [401] * 1000 + [1, 1]
+    # 401,000 words would be 17 MB as objects, and their list 3 MB.
+    assert peak < 16_000_000
+
+
 def test_lm_words_depend_on_the_words_before(spark):
     """All words have one ending, so they are of one class, and are equally frequent."""
     train = [i for i in range(400) if zlib.crc32(str(i).encode()) % 10]

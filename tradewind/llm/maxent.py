@@ -41,7 +41,7 @@ scored each; a NULL id counts as the empty text where ids are hashed.
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -79,6 +79,7 @@ _START = CLASSES  # the class before the first word
 _END_WORD = b"\xff"  # no word of a text in UTF-8
 _TOKENS = 1 << 14  # taken at once
 PIECE = 1 << 18  # tokens of texts that are taken together
+PIECE_BYTES = 1 << 20  # of texts whose words are Python objects at once
 
 
 def bucket_of(word: bytes) -> int:
@@ -106,11 +107,29 @@ class Words:
     shapes: np.ndarray
 
 
-def slice_words(texts: list[bytes | None]) -> Words:
-    flat = b" ".join([part for text in texts for part in (text or b"", _END_WORD)]).lower().split()
-    vocabulary = list(dict.fromkeys(flat))
-    place = dict(zip(vocabulary, range(len(vocabulary))))
-    ids = np.fromiter(map(place.__getitem__, flat), np.int32, len(flat))
+def _few(texts: Sequence[bytes | None]) -> Iterator[Sequence[bytes | None]]:
+    """Runs of texts of about PIECE_BYTES."""
+    start, held = 0, 0
+    for i, text in enumerate(texts):
+        held += len(text or b"")
+        if held >= PIECE_BYTES:
+            yield texts[start:i + 1]
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield texts[start:]
+
+
+def slice_words(texts: Sequence[bytes | None]) -> Words:
+    place: dict[bytes, int] = {}
+    pieces = [np.zeros(0, np.int32)]
+    # A word that stands in the text again is an object only within a piece.
+    for few in _few(texts):
+        flat = b" ".join([part for text in few for part in (text or b"", _END_WORD)]).lower().split()
+        for word in dict.fromkeys(flat):
+            place.setdefault(word, len(place))
+        pieces.append(np.fromiter(map(place.__getitem__, flat), np.int32, len(flat)))
+        del flat
+    ids, vocabulary = np.concatenate(pieces), list(place)
     numbers = np.fromiter(map(xxhash.xxh3_64_intdigest, vocabulary), np.uint64, len(vocabulary))
     # As bucket_of and shape_of, for all words at once.
     buckets = (numbers % np.uint64(BUCKETS)).astype(np.int64)
@@ -153,20 +172,24 @@ def _counted(docs: DataFrame) -> DataFrame:
                 if not batch.num_rows:
                     continue
                 words = slice_words(batch.column("text").cast(pa.binary()).to_pylist())
-                ids = words.ids
-                learn = np.repeat(~batch.column("held_out").to_numpy(zero_copy_only=False), words.lengths)
-                b, text = words.buckets[ids], np.repeat(np.arange(len(words.lengths)), words.lengths)
-                for lag in range(1, NEAR + 1):
-                    inside = learn[lag:] & (text[lag:] == text[:-lag]) & (b[lag:] != END)
-                    x, y = b[:-lag][inside], b[lag:][inside]
-                    np.add.at(near, x * columns + y % columns, 1)
-                    np.add.at(near, y * columns + x % columns, 1)
+                ids, given = words.ids, ~batch.column("held_out").to_numpy(zero_copy_only=False)
                 parts = words.numbers.view(np.uint32).reshape(-1, 2)
+                n = np.zeros(len(parts), np.int64)
+                for texts, tokens in _pieces(words.lengths):
+                    lengths = words.lengths[texts]
+                    learn, text = np.repeat(given[texts], lengths), np.repeat(np.arange(len(lengths)), lengths)
+                    b = words.buckets[ids[tokens]]
+                    for lag in range(1, NEAR + 1):
+                        inside = learn[lag:] & (text[lag:] == text[:-lag]) & (b[lag:] != END)
+                        x, y = b[:-lag][inside], b[lag:][inside]
+                        np.add.at(near, x * columns + y % columns, 1)
+                        np.add.at(near, y * columns + x % columns, 1)
+                    n += np.bincount(ids[tokens][learn], minlength=len(n))
                 yield row(
                     id_kind, chunk=chunk, data=_packed(ids), n_tokens=len(ids), lengths=words.lengths, low=parts[:, 0].tobytes(),
                     high=parts[:, 1].tobytes(), buckets=words.buckets.astype(np.uint16).tobytes(),
                     shapes=words.shapes.astype(np.uint8).tobytes(),
-                    n=_packed(np.bincount(ids[learn], minlength=len(parts)).astype(np.int32)),
+                    n=_packed(n.astype(np.int32)),
                     held_out=batch.column("held_out").to_pylist(), doc_ids=batch.column("doc_id").to_pylist())
                 chunk += 1
         table = near.reshape(-1, columns)[:BUCKETS]
