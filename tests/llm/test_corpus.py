@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 from math import log10
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -76,6 +77,39 @@ def test_passages(spark, corpus, nothing):
     assert substring.op3_substring_dedup(nothing).count() == 0
 
 
+def test_substring_steps_hold_few_texts_and_seeds_at_once(spark, tmp_path, monkeypatch):
+    """The batches that the steps give and take are small, and the result does not depend on them."""
+    rng = random.Random(3)
+    texts = [" ".join(f"v{rng.randrange(5000)}" for _ in range(70)) for _ in range(2400)]
+    texts[7] = texts[2000] + " " + texts[7]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1).write.parquet(path)
+    docs = spark.read.parquet(path)
+    given = docs.selectExpr("doc_id AS doc", "text")
+
+    class Words:  # the step of seeds on one batch
+        def mapInArrow(self, run, schema):
+            numbers, lengths = substring.word_numbers(texts)
+            data, ends = substring.mixed(numbers).astype("<u4").tobytes(), (4 * lengths.cumsum()).tolist()
+            words = [data[end - 4 * n:end] for end, n in zip(ends, lengths.tolist())]
+            return list(run(iter([pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(words, pa.binary())], ["doc", "words"])])))
+
+    monkeypatch.setattr(substring, "_matches", lambda led: led)
+    led = substring.seed_matches(Words())
+    assert sum(batch.num_rows for batch in led) < substring.CHUNK_WORDS
+    monkeypatch.setattr(substring, "BATCH_ROWS", 1000)
+    small = substring.seed_matches(Words())
+    assert max(batch.num_rows for batch in small) <= 1000
+    assert pa.Table.from_batches(small).equals(pa.Table.from_batches(led))
+    monkeypatch.setattr(substring, "PIECE_BYTES", 1)  # each text for itself
+    assert pa.Table.from_batches(substring.seed_matches(Words())).equals(pa.Table.from_batches(led))
+
+    before = spark.conf.get(substring._BATCH)
+    with substring._small_batches(spark):
+        most = given.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n bigint").agg({"n": "max"}).first()[0]
+    assert most == substring.TEXT_ROWS and spark.conf.get(substring._BATCH) == before
+
+
 def test_fuzzy_passage_and_chain():
     words = list(range(100))
     assert substring.extended(*map(__import__("numpy").array, (words, [*words[:50], 999, *words[51:]]))) == (100, 100)
