@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -7,6 +8,7 @@ from tradewind.operators.timeseries import daily_sales
 from tradewind.sources import (
     load_or_build, read_periods, read_raw, replace_periods, write_csv, write_fact_table, write_series,
 )
+from tradewind.sources.staging import stage
 
 
 def test_csv_with_byte_order_mark(spark, tmp_path, rows):
@@ -123,3 +125,23 @@ def test_only_the_wanted_months_are_opened(spark, tmp_path):
     assert {(r.order_purchase_month) for r in month.collect()} == {2, None} and month.count() == 40
     filters = month._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("], PushedFilters")[0]
     assert "order_purchase_year" in filters and "order_purchase_month" in filters
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    """They go when it is written, not when the driver happens to collect its garbage."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {name for name in (file.getName() for file in _each(files.getAllFiles())) if name.startswith("shuffle_")}
+
+    def _each(found):
+        return (found.apply(i) for i in range(found.size()))
+
+    before = shuffled()
+    staged = stage(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count())
+    staged = stage(staged.groupBy("k").agg({"count": "sum"}).repartition(3))
+    for _ in range(50):  # the files of an execution are removed by a message after its end
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.1)
+    assert not left and staged.count() == 7

@@ -21,14 +21,28 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def word_numbers(texts: Sequence[str | None], strip: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+class WordTable(dict):
+    """The numbers of the words met so far, for `word_numbers` of one text after the other; it starts anew when it is full."""
+
+    MOST = 100_000
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.MOST:
+            self.clear()
+        number = self[word] = xxhash.xxh3_64_intdigest(word)
+        return number
+
+
+def word_numbers(
+    texts: Sequence[str | None], strip: bytes = b"", known: WordTable | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of all words of the texts in a row, and how many words each text has.
 
-    Characters of `strip` at either end of a word do not count.
+    Characters of `strip` at either end of a word do not count; `known` is for words that are not stripped.
     """
     lists = [words_of(text) if text else [] for text in texts]
     flat = list(chain.from_iterable(lists))
-    table = {word: xxhash.xxh3_64_intdigest(word.strip(strip) if strip else word) for word in dict.fromkeys(flat)}
+    table = known if known is not None else {word: xxhash.xxh3_64_intdigest(word.strip(strip) if strip else word) for word in dict.fromkeys(flat)}
     numbers = np.fromiter(map(table.__getitem__, flat), np.uint64, len(flat))
     return numbers, np.fromiter(map(len, lists), np.int64, len(lists))
 
