@@ -71,6 +71,15 @@ def test_cleaned_table_has_47_columns_and_the_message_as_title(spark, sf_dir):
     assert small.exceptAll(ranged.select(small.columns)).isEmpty()
 
 
+def test_titles_that_are_not_used_are_not_staged(spark, sf_dir):
+    from tradewind.plans.tables import wide
+
+    cleaned = clean.clean(wide(spark, sf_dir, geolocation=True))
+    assert cleaned.columns.index("review_comment_title") + 1 == cleaned.columns.index("review_comment_message")
+    staged = spark.read.parquet(*cleaned.inputFiles()).columns
+    assert "review_comment_message" in staged and "review_comment_title" not in staged
+
+
 def test_edges_of_texts_are_unicode_white_space(spark):
     """Every character of the basic plane, against the class of regular expressions; none is searched for by one."""
     chars = spark.range(1, 0x10000).where("id NOT BETWEEN 55296 AND 57343").select(

@@ -55,3 +55,12 @@ def test_many_columns_with_nulls_tell_their_places(spark):
     rows = [tuple(1 if i == at else None for i in range(130)) for at in range(130)]
     df = fingerprint.with_fingerprint(spark.createDataFrame(rows, ", ".join(f"{n} INT" for n in names)))
     assert df.select("_fingerprint_high").distinct().count() == 130 == df.select("_fingerprint_low").distinct().count()
+
+
+def test_half_a_fingerprint_is_shuffled_and_rows_that_share_it_are_compared(spark, monkeypatch):
+    df = stage(spark.createDataFrame([(i % 50, i % 2) for i in range(200)], "a INT, b INT"))
+    text = fingerprint._counted(df)._jdf.queryExecution().executedPlan().toString()
+    assert all("_low" not in line for line in text.splitlines() if "Exchange" in line)
+    high, low = fingerprint.fingerprint(df.columns)
+    monkeypatch.setattr(fingerprint, "fingerprint", lambda columns: (F.pmod(high, F.lit(3)), low))
+    assert sorted(map(tuple, drop_duplicate_rows(df).collect())) == sorted({(i % 50, i % 2) for i in range(200)})
