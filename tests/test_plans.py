@@ -129,3 +129,59 @@ def test_a_hot_order_is_split_in_the_join_from_orders(spark):
         # The orders o0..o4999 whose number is met by an item, and the hot one.
         assert sums.collect()[0][1:] == (60_000, 60_000)
         assert "skew=true" in plan(sums)
+
+
+def whole_tables(spark):
+    """`hot_tables` with 20,000 products, three sellers, a customer for each order, and reviews."""
+    tables = hot_tables(spark)
+    tables["order_items"] = tables["order_items"].withColumns({
+        "product_id": F.concat(F.lit("product"), F.col("product_id").substr(8, 9).cast("long") % 25_000),
+        "seller_id": F.element_at(F.array(F.lit("s1"), F.lit("s2"), F.lit("s3"), F.lit("none"), F.lit(None)),
+                                  F.pmod(F.xxhash64("seller_id"), F.lit(5)).cast("int") + 1)})
+    text = F.sha2(F.col("id").cast("string"), 512)
+    products = spark.range(20_000).select(
+        F.concat(F.lit("product"), "id").alias("product_id"), text.alias("product_category_name"),
+        *[F.rand(seed).alias(name) for seed, name in enumerate(RAW_SCHEMAS["products"].names[2:])])
+    return tables | {
+        "products": products,
+        "category_translation": spark.createDataFrame([("a", "b")], "product_category_name string, product_category_name_english string"),
+        "sellers": spark.createDataFrame([(f"s{i}", i, f"city {i}", "x") for i in (1, 2, 3)], RAW_SCHEMAS["sellers"].simpleString()),
+        "customers": spark.range(-1, 4000).select(
+            F.concat(F.lit("c"), "id").alias("customer_id"), text.alias("customer_unique_id"), F.lit(1).alias("customer_zip_code_prefix"),
+            F.lit("city").alias("customer_city"), F.lit("x").alias("customer_state")),
+        "reviews": spark.range(0, 6000, 1, 4).select(
+            F.concat(F.lit("o"), F.col("id") % 5500).alias("order_id"), (F.col("id") % 5).cast("int").alias("review_score"),
+            F.lit("title").alias("review_comment_title"), text.alias("review_comment_message")),
+    }
+
+
+def test_nothing_else_is_shuffled_with_the_items_of_a_whole_table(spark):
+    """The shuffles of customers, payments and reviews are over by then, and small sellers are met last, without one."""
+    tables = whole_tables(spark)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="100KB"):
+        whole = denormalize.denormalize(tables, whole=True)
+        text = plan(whole)
+        plain = denormalize.denormalize(tables)
+        assert whole.columns == plain.columns
+        ours, theirs = (sorted(map(str, df.collect())) for df in (whole, plain))
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+    assert len(exchanges) == 4
+    assert len([line for line in exchanges if "(product_id" in line]) == len([line for line in exchanges if "(order_id" in line]) == 2
+    joins = [line for line in text.splitlines() if "Join" in line]
+    assert "BroadcastHashJoin" in joins[0] and "seller_id" in joins[0] and "order_id" in joins[1] and "product_id" in joins[2]
+    assert ours == theirs
+
+
+def test_columns_of_a_whole_table_can_be_left_out(spark):
+    wide = denormalize.denormalize(whole_tables(spark), whole=True, without=["review_comment_title"])
+    assert "review_comment_title" not in wide.columns and "review_comment_message" in wide.columns
+
+
+def test_a_large_side_of_a_whole_table_meets_the_items_before_their_orders(spark):
+    with settings(spark, **SKEW):
+        joined = denormalize.denormalize(whole_tables(spark), whole=True)
+        sums = joined.groupBy().agg(F.sum("price"), F.count_distinct("product_category_name"), F.count("payment_type"))
+        assert tuple(sums.collect()[0]) == (90_000.0, 20_000, 60_000)
+        text = plan(sums)
+    joins = [line for line in text.splitlines() if "SortMergeJoin" in line]
+    assert "order_id" in joins[0] and "skew=true" in text
