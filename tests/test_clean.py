@@ -80,6 +80,26 @@ def test_titles_that_are_not_used_are_not_staged(spark, sf_dir):
     assert "review_comment_message" in staged and "review_comment_title" not in staged
 
 
+def test_a_wide_table_without_titles_gets_them_in_their_place(spark, sf_dir, rows):
+    from tradewind.plans.tables import wide
+
+    table = wide(spark, sf_dir, geolocation=True)
+    full, bare = clean.clean(table), clean.clean(table.drop("review_comment_title"))
+    assert bare.columns == full.columns
+    assert rows(bare) == rows(full)
+
+
+def test_the_query_cleans_a_wide_table_whose_texts_are_joined_already(spark, sf_dir, monkeypatch):
+    from tradewind.plans import tables
+
+    given = []
+    cleaning = clean.clean
+    monkeypatch.setattr(clean, "clean", lambda wide: given.append(wide) or cleaning(wide))
+    assert len(tables.cleaned_table(spark, sf_dir).columns) == 47
+    assert "review_comment_title" not in given[0].columns
+    assert "collect_list" not in given[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_edges_of_texts_are_unicode_white_space(spark):
     """Every character of the basic plane, against the class of regular expressions; none is searched for by one."""
     chars = spark.range(1, 0x10000).where("id NOT BETWEEN 55296 AND 57343").select(
