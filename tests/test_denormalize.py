@@ -181,3 +181,35 @@ def test_rows_to_roll_up_are_shuffled_as_they_are(tables):
     rolled = d.payments_and_reviews_rollup(tables["payments"], tables["reviews"])
     before = rolled._jdf.queryExecution().executedPlan().toString().split("Exchange ")
     assert len(before) == 2 and "Aggregate" not in before[1]
+
+
+@pytest.fixture
+def small_tables(spark, tmp_path):
+    """An order with three items, payments and reviews, and one with none of them."""
+    day = dt.datetime(2018, 1, 5)
+    tables = {
+        "nation": ([(1, "PERU")], "n_nationkey int, n_name string"),
+        "customer": ([(1, 1, "AUTO")], "c_custkey bigint, c_nationkey int, c_mktsegment string"),
+        "supplier": ([(1, "one", 1, 2.0)], "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"),
+        "part": ([(1, "a part", "SMALL", 3, 2.5)], "p_partkey bigint, p_name string, p_type string, p_size int, p_retailprice double"),
+        "orders": ([(1, 1, "F", day), (2, 1, "P", day)], "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz"),
+        "lineitem": (
+            [(1, 1, 1, line, 1.0, 10.0 * line, 0.0, 0.1, "R", "O", day) for line in (1, 2, 3)],
+            "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double,"
+            " l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+    }
+    for name, (values, schema) in tables.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_the_rebuilt_table_has_every_payment_and_review(spark, small_tables):
+    from tradewind.plans.tables import fallback_wide
+
+    found = fallback_wide(spark, small_tables)
+    assert found.groupBy("order_id").count().orderBy("order_id").collect() == [(1, 27), (2, 1)]
+    one = found.where("order_id = 1")
+    # No two payments of one type are one, and no two reviews.
+    assert one.select("payment_sequential", "payment_value").distinct().count() == 3
+    assert one.select("review_score", "review_comment_message").distinct().count() == 3
+    assert "review_sequence" not in found.columns
