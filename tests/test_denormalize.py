@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tradewind.operators import denormalize as d
 from tradewind.operators import sales
@@ -213,3 +214,17 @@ def test_the_rebuilt_table_has_every_payment_and_review(spark, small_tables):
     assert one.select("payment_sequential", "payment_value").distinct().count() == 3
     assert one.select("review_score", "review_comment_message").distinct().count() == 3
     assert "review_sequence" not in found.columns
+
+
+def test_missing_values_are_counted_in_all_columns_of_the_wide_table(spark, small_tables):
+    from tradewind.plans.tables import null_profile, wide
+
+    lines = spark.read.parquet(f"{small_tables}/lineitem.parquet")
+    lines.unionByName(lines.withColumn("l_suppkey", F.lit(9).cast("bigint"))).write.parquet(f"{small_tables}/twice/lineitem.parquet")
+    for name in ("nation", "customer", "supplier", "part", "orders"):
+        spark.read.parquet(f"{small_tables}/{name}.parquet").write.parquet(f"{small_tables}/twice/{name}.parquet")
+    found = dict(map(tuple, null_profile(spark, f"{small_tables}/twice").collect()))
+    assert list(found) == wide(spark, f"{small_tables}/twice", geolocation=True).columns and len(found) == 41
+    missing = {name for name, count in found.items() if count}
+    assert missing == {"seller_zip_code_prefix", "seller_city", "seller_state", "seller_lat", "seller_lng"}
+    assert found["seller_city"] == found["seller_lat"] == 3
